@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, functions as F
 
+from dimflow.functions.predicates import all_present
+
 # Accepted formats, ranges and countries.
 NAME_PATTERN = r"^[A-Za-z ]+$"
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
@@ -75,7 +75,7 @@ def customer_rules(as_of: str) -> list[Rule | UniqueRule]:
         Rule("dob_valid", (born.cast("timestamp_ntz") < now) & (F.year(born) > BORN_AFTER_YEAR)),
         Rule("phone_valid", F.col("phone_number").cast("string").rlike(PHONE_PATTERN)),
         Rule("country_valid", F.col("country").isin(*COUNTRIES)),
-        Rule("not_null", reduce(and_, (F.col(c).isNotNull() for c in MANDATORY))),
+        Rule("not_null", all_present(MANDATORY)),
         UniqueRule("no_duplicates", ("full_name", "date_of_birth")),
         Rule("age_consistency", F.abs(years_between(born, today) - age) <= MAX_AGE_GAP),
     ]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dimflow.entities import EntitySpec
+from dimflow.functions.predicates import all_present
 from dimflow.operators.dedup import dedup_by_key
 from dimflow.schemas import require_columns
 
@@ -38,8 +39,7 @@ def prepare(df: DataFrame, spec: EntitySpec, as_of: str) -> DataFrame:
     """Rows with every mandatory field of ``spec``, stamped with the load time."""
     stamp = F.lit(as_of).cast(spec.stamp_type)
     require_columns(df, spec.required)
-    kept = df.na.drop(subset=list(spec.required)) if spec.required else df
     stamps = {spec.start: stamp}
     if spec.updated:
         stamps[spec.updated] = stamp
-    return kept.withColumns(stamps)
+    return df.where(all_present(spec.required)).withColumns(stamps)

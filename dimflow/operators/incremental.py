@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, TimestampType
 
+from dimflow.functions.predicates import all_present
 from dimflow.operators.dedup import dedup_by_key
 from dimflow.schemas import AUDIT
 from dimflow.sources.tables import read_table, write_table
@@ -87,5 +88,5 @@ def insert_ignore(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()
 ) -> DataFrame:
     """The incoming rows whose keys the target lacks, the first of each key."""
-    first = dedup_by_key(incoming.na.drop(subset=list(keys)), keys, order_by)
+    first = dedup_by_key(incoming.where(all_present(keys)), keys, order_by)
     return first.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)

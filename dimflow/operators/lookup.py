@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from dimflow.functions.predicates import all_present, any_missing
 from dimflow.operators.dedup import dedup_by_key
 
 # Keys joined by broadcast. Any key with more than 1/HOT_KEYS of the rows is among them.
@@ -60,7 +61,7 @@ def lookup_join(
     fact_keys = list(on)
     side_keys = [f"__key{i}" for i in range(len(on))]
     if not null_safe:
-        dim = dim.na.drop(subset=list(on.values()))
+        dim = dim.where(all_present(on.values()))
     if not unique:
         dim = dedup_by_key(dim, list(on.values()))
     side = dim.select(
@@ -101,7 +102,7 @@ def _split_hot_keys(
     # Hot and NULL-key rows get an odd scatter value that no dim row (always 0) can equal.
     settled = F.coalesce("__is_hot", F.lit(False))
     if not null_safe:
-        settled = settled | reduce(or_, (F.col(k).isNull() for k in fact_keys))
+        settled = settled | any_missing(fact_keys)
     scatter = F.xxhash64(*fact.columns).bitwiseOR(F.lit(1).cast("long"))
     names = [f"k{i}" for i in range(len(fact_keys))]
     marked = marked.withColumn(
@@ -130,7 +131,7 @@ def hot_keys(
     """The at most ``HOT_KEYS`` most frequent keys, from a map-side combined count."""
     counts = key_counts if key_counts is not None else df.groupBy(*keys).count()
     if not null_safe:
-        counts = counts.na.drop(subset=list(keys))
+        counts = counts.where(all_present(keys))
     return counts.orderBy(F.desc("count"), *keys).limit(HOT_KEYS).select(*keys)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, DateType
 
 from dimflow.entities import EntitySpec
+from dimflow.functions.predicates import all_present
 from dimflow.operators.dedup import dedup_by_key
 from dimflow.schemas import conform
 
@@ -44,7 +45,7 @@ def _same(columns: Sequence[str]) -> Column:
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], unique: bool) -> DataFrame:
-    keyed = source.na.drop(subset=list(keys))
+    keyed = source.where(all_present(keys))
     return keyed if unique else dedup_by_key(keyed, keys, order_by)
 
 
@@ -84,7 +85,7 @@ def scd2_merge(
     if dim is None:
         return scd2_first_load(source, spec, as_of)
     dim = conform(dim, spec.dim_schema)
-    is_open = F.coalesce(F.col(spec.active), F.lit(False)) & reduce(and_, (F.col(k).isNotNull() for k in keys))
+    is_open = F.coalesce(F.col(spec.active), F.lit(False)) & all_present(keys)
 
     rows = _sides(dim.where(is_open), source, keys, small_source_rows)
     if absent == "drop":
@@ -145,7 +146,7 @@ def scd1_merge(
     keys = list(keys)
     attributes = [c for c in dim.columns if c not in (*keys, inserted, updated)]
     source = _one_per_key(source.select(*keys, *attributes), keys, order_by, unique_source)
-    has_key = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    has_key = all_present(keys)
     rows = _sides(dim.where(has_key), source, keys, small_source_rows)
 
     is_new = F.col("in_dim").isNull()
