@@ -114,18 +114,20 @@ class DimRef:
 def build_star(fact: DataFrame, refs: Sequence[DimRef]) -> DataFrame:
     """``fact`` with the attributes of its current dimension rows.
 
-    ``<name>_orphan`` is True where a foreign key has no current row; a NULL foreign
+    A versioned dimension has at most one active row per key; a dimension without
+    versions is reduced to one row per key. ``<name>_orphan`` is True where a foreign key has no current row; a NULL foreign
     key refers to nothing and is not an orphan.
     """
     columns = list(fact.columns)
     star = fact
     for ref in refs:
-        dim = ref.dim.where(ref.active) if ref.active in ref.dim.columns else ref.dim
+        versioned = ref.active in ref.dim.columns
+        dim = ref.dim.where(ref.active) if versioned else ref.dim
         found = f"__{ref.name}_found"
         star = lookup_join(
             star, dim.select(ref.key, *ref.attributes, F.lit(True).alias(found)),
             {ref.foreign_key: ref.key}, {**ref.attributes, found: found},
-            key_counts=fact.groupBy(ref.foreign_key).count(),
+            unique=versioned, key_counts=fact.groupBy(ref.foreign_key).count(),
         )
         columns += [*ref.attributes.values(), f"{ref.name}_orphan"]
         star = star.withColumn(f"{ref.name}_orphan", F.col(ref.foreign_key).isNotNull() & F.col(found).isNull())
@@ -165,5 +167,5 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str) -> D
     The fact is counted per key first, so the anti join sees each value once.
     """
     counts = fact.where(F.col(foreign_key).isNotNull()).groupBy(foreign_key).agg(F.count(F.lit(1)).alias("row_count"))
-    keys = dim.select(F.col(key).alias(foreign_key))
+    keys = dim.select(F.col(key).alias(foreign_key)).distinct()
     return counts.join(keys, foreign_key, "left_anti")

@@ -87,6 +87,9 @@ def compact(df: DataFrame) -> DataFrame:
 def insert_ignore(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()
 ) -> DataFrame:
-    """The incoming rows whose keys the target lacks, the first of each key."""
+    """The incoming rows whose keys the target lacks, the first of each key.
+
+    Target keys are reduced map-side, so a key the target repeats is shuffled once per task.
+    """
     first = dedup_by_key(incoming.where(all_present(keys)), keys, order_by)
-    return first.join(target.select(*keys), list(keys), "left_anti").select(*incoming.columns)
+    return first.join(target.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)

@@ -14,8 +14,22 @@ DEFAULTS = {
 }
 
 
+# Shuffle bytes per task to aim for before AQE merges small partitions, and the most partitions to start from.
+PARTITION_BYTES = 256 * 1024**2
+MAX_PARTITIONS = 100_000
+
+
+def initial_partitions(input_bytes: int, slots: int) -> int:
+    """Shuffle partitions to start from: enough that one fits a task's memory, and every slot gets work."""
+    return min(MAX_PARTITIONS, max(slots, -(-input_bytes // PARTITION_BYTES)))
+
+
 def get_session(app_name: str = "dimflow", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the library's defaults; ``conf`` keys use ``__`` in place of dots."""
+    """Session with the library's defaults; ``conf`` keys use ``__`` in place of dots.
+
+    On a cluster set ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` to
+    ``initial_partitions`` of the input: AQE merges partitions but does not add any.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

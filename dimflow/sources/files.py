@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
-from urllib.parse import unquote, urlparse
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -69,7 +70,7 @@ def merge_csv(spark: SparkSession, directory: str) -> DataFrame:
     """
     layouts: dict[tuple[bool, int], list[str]] = defaultdict(list)
     for row in csv_layouts(spark, directory).orderBy("path").toLocalIterator():
-        layouts[row.is_utf8, row.header].append(_unescape(row.path))
+        layouts[row.is_utf8, row.header].append(_exact(unquote(row.path)))  # _metadata paths are URL-encoded
     if not layouts:
         raise FileNotFoundError(f"no CSV files below {directory}")
     parts = [
@@ -79,9 +80,9 @@ def merge_csv(spark: SparkSession, directory: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _unescape(uri: str) -> str:
-    """``_metadata.file_path`` is URL-encoded; readers take the plain path."""
-    return unquote(uri) if "%" in uri else uri
+def _exact(path: str) -> str:
+    """``path`` as a read argument that matches only itself, not a glob."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 @dataclass
@@ -132,7 +133,7 @@ def convert_to_parquet(
         target = f"{target_dir}/{f.name}/{f.name}.parquet"
         try:
             schema = (schemas or {}).get(f.name)
-            path = _unescape(f.path)
+            path = _exact(f.path)
             if f.ext == "csv":
                 rows = read_csv(spark, path, schema, mode=mode)
             else:
@@ -149,15 +150,19 @@ def convert_to_parquet(
     return spark.createDataFrame([tuple(asdict(o).values()) for o in outcomes], MANIFEST)
 
 
+def _path_only(uri: str) -> str:
+    """Path without scheme and authority, such as ``file:`` or ``s3a://bucket``."""
+    return re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", uri)
+
+
 def archive_loaded(spark: SparkSession, manifest: DataFrame, source_dir: str, archive_dir: str, date: str) -> int:
     """Move the loaded files of a manifest to ``archive_dir/RAW_ARCHIVE/<date>/``; returns how many.
 
     Skipped and failed files stay where they are. Source and archive share a file system.
     """
-    root = urlparse(source_dir).path.rstrip("/")
+    root = _path_only(source_dir).rstrip("/")
     moved = 0
     for row in manifest.where(F.col("status") == LOADED).select("path").toLocalIterator():
-        path = _unescape(row.path)
-        below = urlparse(path).path.removeprefix(root).lstrip("/")
-        moved += storage.move(spark, path, f"{archive_dir}/RAW_ARCHIVE/{date}/{below}")
+        below = _path_only(row.path).removeprefix(root).lstrip("/")
+        moved += storage.move(spark, row.path, f"{archive_dir}/RAW_ARCHIVE/{date}/{below}")
     return moved
