@@ -75,16 +75,22 @@ def daily_user_metrics(
 ) -> DataFrame:
     """Per user and day: distinct log entries, and what was checked out.
 
-    All measures come from one conditional aggregation. The distinct count spreads its
-    first shuffle over (user, day, log), so a user with very many events is no hot spot.
+    Log entries are made distinct in a shuffle that carries nothing else and spreads a
+    busy user over its entries; what was checked out joins them, already combined
+    map-side, in the shuffle by user and day. Each scan reads only its own columns, and
+    the second one only checkouts.
     """
-    bought = F.col("event_type") == checkout
-    daily = fact.groupBy("user_id", "event_date").agg(
-        F.count_distinct("log_id").alias("count_of_logid"),
-        F.count_if(bought).alias("checkouts"),
-        F.sum(F.when(bought, F.col("quantity"))).alias("total_quantity"),
-        F.avg(F.when(bought, F.col("unit_price"))).alias("unit_price"),
-        F.sum(F.when(bought, F.col("total_amount"))).alias("total_amount"),
+    keys = ["user_id", "event_date"]
+    entries = fact.select(*keys, "log_id").distinct().select(*keys, F.col("log_id").isNotNull().alias("is_log"))
+    bought = fact.where(F.col("event_type") == checkout).select(
+        *keys, "quantity", "unit_price", "total_amount", F.lit(True).alias("is_checkout")
+    )
+    daily = entries.unionByName(bought, allowMissingColumns=True).groupBy(*keys).agg(
+        F.count_if("is_log").alias("count_of_logid"),
+        F.count_if("is_checkout").alias("checkouts"),
+        F.sum("quantity").alias("total_quantity"),
+        F.avg("unit_price").alias("unit_price"),
+        F.sum("total_amount").alias("total_amount"),
     )
     checkout_key = event_types.where(F.col("event_type_name") == checkout).agg(F.max("event_type_key")).scalar()
     metrics = daily.select(
@@ -96,7 +102,7 @@ def daily_user_metrics(
         "unit_price",
         "total_amount",
     ).na.fill(0, subset=["total_quantity", "unit_price", "total_amount"])
-    return metrics.orderBy("user_id", "event_date") if sort else metrics
+    return metrics.orderBy(*keys) if sort else metrics
 
 
 @dataclass(frozen=True)
@@ -127,7 +133,7 @@ def build_star(fact: DataFrame, refs: Sequence[DimRef]) -> DataFrame:
         star = lookup_join(
             star, dim.select(ref.key, *ref.attributes, F.lit(True).alias(found)),
             {ref.foreign_key: ref.key}, {**ref.attributes, found: found},
-            unique=versioned, key_counts=fact.groupBy(ref.foreign_key).count(),
+            unique=versioned,
         )
         columns += [*ref.attributes.values(), f"{ref.name}_orphan"]
         star = star.withColumn(f"{ref.name}_orphan", F.col(ref.foreign_key).isNotNull() & F.col(found).isNull())

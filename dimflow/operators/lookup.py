@@ -5,7 +5,8 @@ hot key does no harm. Beyond that size the fact side is shuffled by key, and one
 key holding a third of the rows would land in one task. There the heaviest keys
 (a fixed number of them) are joined by broadcast, and their rows - with the rows
 whose key is NULL - are scattered over all shuffle partitions instead of meeting
-on their key. Every row is kept either way.
+on their key. Which keys are heaviest is estimated; the result does not depend on
+it, and every row is kept either way.
 """
 
 from __future__ import annotations
@@ -19,8 +20,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dimflow.functions.predicates import all_present, any_missing
 from dimflow.operators.dedup import dedup_by_key
 
-# Keys joined by broadcast. Any key with more than 1/HOT_KEYS of the rows is among them.
+# Keys joined by broadcast, and the counters of the sketch that finds them: a key with
+# more than 1 in 700 of the rows is always found.
 HOT_KEYS = 200
+SKETCH_SIZE = 1024
+# Sketches are merged in this many groups before the last merge.
+MERGE_GROUPS = 256
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -43,7 +48,6 @@ def lookup_join(
     *,
     null_safe: bool = False,
     unique: bool = False,
-    key_counts: DataFrame | None = None,
     broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Left join ``columns`` (dim name -> output name) of ``dim`` onto ``fact``.
@@ -51,9 +55,8 @@ def lookup_join(
     ``on`` maps fact columns to dim columns. A dim with repeated keys is first
     reduced to one row per key, so the fact never fans out; pass ``unique=True``
     when its keys are known to be unique. With ``null_safe`` NULL keys match each
-    other. ``key_counts`` (the fact's key columns and ``count``) spares counting
-    the keys when the caller has the counts already. ``broadcast_limit`` (bytes)
-    replaces the session's broadcast threshold; 0 never broadcasts the dim.
+    other. ``broadcast_limit`` (bytes) replaces the session's broadcast threshold;
+    0 never broadcasts the dim.
     """
     clash = set(columns.values()) & set(fact.columns)
     if clash:
@@ -70,7 +73,7 @@ def lookup_join(
     )
     if fits_broadcast(side, broadcast_limit):
         return fact.join(side, _match(fact, side, fact_keys, side_keys, null_safe), "left").drop(*side_keys)
-    return _split_hot_keys(fact, side, fact_keys, side_keys, list(columns.values()), null_safe, key_counts)
+    return _split_hot_keys(fact, side, fact_keys, side_keys, list(columns.values()), null_safe)
 
 
 def _match(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool) -> Column:
@@ -79,60 +82,54 @@ def _match(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_ke
 
 
 def _split_hot_keys(
-    fact: DataFrame,
-    side: DataFrame,
-    fact_keys: list[str],
-    side_keys: list[str],
-    outputs: list[str],
-    null_safe: bool,
-    key_counts: DataFrame | None,
+    fact: DataFrame, side: DataFrame, fact_keys: list[str], side_keys: list[str], outputs: list[str], null_safe: bool
 ) -> DataFrame:
-    hot = hot_keys(fact, fact_keys, null_safe, key_counts).select(
-        *(F.col(f).alias(k) for f, k in zip(fact_keys, side_keys))
-    )
-    hot_side = side.join(F.broadcast(hot), _match(side, hot, side_keys, side_keys, null_safe), "left_semi")
-    hot = hot.join(F.broadcast(hot_side), _match(hot, hot_side, side_keys, side_keys, null_safe), "left").select(
-        *(hot[k].alias(f"__hot{i}") for i, k in enumerate(side_keys)),
-        F.lit(True).alias("__is_hot"),
-        *(hot_side[c].alias(f"__hot_{c}") for c in outputs),
+    hot = F.broadcast(hot_key_hashes(fact, fact_keys))
+    hashed_side = side.withColumn("__hash", F.xxhash64(*side_keys))
+    hot_names = [f"__hot_{c}" for c in (*side_keys, *outputs)]
+    # At most HOT_KEYS rows: the dim has one row per key.
+    hot_side = F.broadcast(hashed_side.join(hot, "__hash", "left_semi").drop("__hash").toDF(*hot_names))
+
+    marked = (
+        fact.withColumn("__hash", F.xxhash64(*fact_keys))
+        .join(hot.withColumn("__is_hot", F.lit(True)), "__hash", "left")
+        .join(hot_side, _match(fact, hot_side, fact_keys, hot_names, null_safe), "left")
     )
-    hot_names = [f"__hot{i}" for i in range(len(fact_keys))]
-    marked = fact.join(F.broadcast(hot), _match(fact, hot, fact_keys, hot_names, null_safe), "left")
-
-    # Hot and NULL-key rows get an odd scatter value that no dim row (always 0) can equal.
-    settled = F.coalesce("__is_hot", F.lit(False))
+    settled = F.col("__is_hot").isNotNull()
     if not null_safe:
         settled = settled | any_missing(fact_keys)
-    scatter = F.xxhash64(*fact.columns).bitwiseOR(F.lit(1).cast("long"))
-    names = [f"k{i}" for i in range(len(fact_keys))]
-    marked = marked.withColumn(
-        "__fact_key",
-        F.struct(
-            *(F.when(~settled, F.col(k)).alias(n) for k, n in zip(fact_keys, names)),
-            F.when(settled, scatter).otherwise(F.lit(0).cast("long")).alias("scatter"),
-        ),
+    # Hot and NULL-key rows get an odd scatter value; every other row and the dim have 0.
+    scatter = F.when(settled, F.hash(*fact.columns).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    cold_keys = [f"__cold{i}" for i in range(len(fact_keys))]
+    cold = marked.withColumns(
+        {c: F.when(~settled, F.col(k)) for c, k in zip(cold_keys, fact_keys)} | {"__scatter": scatter}
     )
-    keyed_side = side.select(
-        F.struct(
-            *(F.col(k).alias(n) for k, n in zip(side_keys, names)), F.lit(0).cast("long").alias("scatter")
-        ).alias("__side_key"),
-        *outputs,
+    # Written so that it is not folded into a literal, which would drop it from the join key.
+    rest = side.withColumn("__no_scatter", F.hash(*side_keys).bitwiseAND(F.lit(0)))
+    joined = cold.join(
+        rest, _match(cold, rest, cold_keys, side_keys, null_safe) & (cold["__scatter"] == rest["__no_scatter"]), "left"
     )
-    joined = marked.join(keyed_side, F.col("__fact_key") == F.col("__side_key"), "left")
+    is_hot = F.col("__is_hot").isNotNull()
     return joined.select(
-        *fact.columns,
-        *(F.when(F.col("__is_hot"), F.col(f"__hot_{c}")).otherwise(F.col(c)).alias(c) for c in outputs),
+        *fact.columns, *(F.when(is_hot, F.col(f"__hot_{c}")).otherwise(F.col(c)).alias(c) for c in outputs)
     )
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], null_safe: bool = False, key_counts: DataFrame | None = None
-) -> DataFrame:
-    """The at most ``HOT_KEYS`` most frequent keys, from a map-side combined count."""
-    counts = key_counts if key_counts is not None else df.groupBy(*keys).count()
-    if not null_safe:
-        counts = counts.where(all_present(keys))
-    return counts.orderBy(F.desc("count"), *keys).limit(HOT_KEYS).select(*keys)
+def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``__hash`` (xxhash64 of the key) of the at most ``HOT_KEYS`` most frequent keys.
+
+    Found by a frequent-items sketch of fixed size per task, so no key is shuffled.
+    """
+    partials = (
+        df.select(F.xxhash64(*keys).alias("hash"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
+        .agg(F.expr(f"approx_top_k_accumulate(hash, {SKETCH_SIZE})").alias("sketch"))
+    )
+    # Grouped by a constant: the sketch functions do not take empty partitions in a global aggregate.
+    merged = partials.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_SIZE})").alias("sketch"))
+    return merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_KEYS}))")).select(
+        F.col("item").alias("__hash")
+    )
 
 
 def flag_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -141,10 +138,9 @@ def flag_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     NULL keys compare equal. Counting combines map-side, and only the repeated keys
     are joined back, so a key with very many rows is never gathered in one task.
     """
-    counts = df.groupBy(*keys).count()
-    repeated = counts.where("count > 1").select(*keys, F.lit(True).alias("__repeated_key"))
+    repeated = df.groupBy(*keys).count().where("count > 1").select(*keys, F.lit(True).alias("__repeated_key"))
     flagged = lookup_join(
         df, repeated, {k: k for k in keys}, {"__repeated_key": "__repeated"},
-        null_safe=True, unique=True, key_counts=counts.where("count > 1"),
+        null_safe=True, unique=True,
     )
     return flagged.select(*df.columns, F.col("__repeated").isNull().alias(name))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimflow.operators import lookup
-from dimflow.operators.lookup import flag_unique, fits_broadcast, hot_keys, lookup_join
+from dimflow.operators.lookup import flag_unique, fits_broadcast, hot_key_hashes, lookup_join
 from tests.conftest import rows
 
 
@@ -36,16 +36,29 @@ def test_large_dim_gives_the_same_rows(spark, no_broadcast):
 
 def test_more_hot_candidates_than_slots(spark, no_broadcast, monkeypatch):
     monkeypatch.setattr(lookup, "HOT_KEYS", 3)
-    assert hot_keys(facts(spark), ["k"]).count() == 3
+    assert hot_key_hashes(facts(spark), ["k"]).count() == 3
     assert rows(lookup_join(facts(spark), dims(spark), {"k": "key"}, COLUMNS)) == expected(spark)
 
 
+def test_the_heaviest_keys_are_found(spark):
+    found = {r[0] for r in hot_key_hashes(facts(spark), ["k"]).collect()}
+    wanted = spark.sql("SELECT xxhash64(7L), xxhash64(CAST(NULL AS bigint))").first()
+    assert set(wanted) <= found and len(found) <= lookup.HOT_KEYS
+
+
+def test_empty_sides(spark, no_broadcast):
+    assert hot_key_hashes(facts(spark).limit(0), ["k"]).count() == 0
+    assert lookup_join(facts(spark).limit(0), dims(spark), {"k": "key"}, COLUMNS).count() == 0
+    assert lookup_join(facts(spark), dims(spark).limit(0), {"k": "key"}, COLUMNS).where("dim_name IS NOT NULL").count() == 0
+
+
 def test_hot_and_null_rows_are_spread_over_all_partitions(spark, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         hot = dims(spark).where("key <> 7")  # the hot key even refers to nothing
         joined = lookup_join(facts(spark, 20000), hot, {"k": "key"}, COLUMNS, unique=True)
         assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(__cold0" in joined._jdf.queryExecution().executedPlan().toString()
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
