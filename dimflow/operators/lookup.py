@@ -95,21 +95,16 @@ def _split_hot_keys(
         .join(hot.withColumn("__is_hot", F.lit(True)), "__hash", "left")
         .join(hot_side, _match(fact, hot_side, fact_keys, hot_names, null_safe), "left")
     )
-    settled = F.col("__is_hot").isNotNull()
-    if not null_safe:
-        settled = settled | any_missing(fact_keys)
-    # Hot and NULL-key rows get an odd scatter value; every other row and the dim have 0.
-    scatter = F.when(settled, F.hash(*fact.columns).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
-    cold_keys = [f"__cold{i}" for i in range(len(fact_keys))]
-    cold = marked.withColumns(
-        {c: F.when(~settled, F.col(k)) for c, k in zip(cold_keys, fact_keys)} | {"__scatter": scatter}
-    )
-    # Written so that it is not folded into a literal, which would drop it from the join key.
-    rest = side.withColumn("__no_scatter", F.hash(*side_keys).bitwiseAND(F.lit(0)))
-    joined = cold.join(
-        rest, _match(cold, rest, cold_keys, side_keys, null_safe) & (cold["__scatter"] == rest["__no_scatter"]), "left"
-    )
     is_hot = F.col("__is_hot").isNotNull()
+    settled = is_hot if null_safe else is_hot | any_missing(fact_keys)
+    # Rows meet on an even hash of their key. Settled rows get an odd hash of the whole row,
+    # which no dim row has. As the first join key it spreads the shuffle and speeds the sort.
+    odd, even = F.lit(1).cast("long"), F.lit(-2).cast("long")
+    place = F.when(settled, F.xxhash64(*fact.columns).bitwiseOR(odd)).otherwise(F.col("__hash").bitwiseAND(even))
+    marked = marked.withColumn("__place", place)
+    rest = side.withColumn("__side_place", F.xxhash64(*side_keys).bitwiseAND(even))
+    same_place = marked["__place"] == rest["__side_place"]
+    joined = marked.join(rest, same_place & _match(marked, rest, fact_keys, side_keys, null_safe), "left")
     return joined.select(
         *fact.columns, *(F.when(is_hot, F.col(f"__hot_{c}")).otherwise(F.col(c)).alias(c) for c in outputs)
     )

@@ -58,7 +58,7 @@ def test_hot_and_null_rows_are_spread_over_all_partitions(spark, no_broadcast):
         hot = dims(spark).where("key <> 7")  # the hot key even refers to nothing
         joined = lookup_join(facts(spark, 20000), hot, {"k": "key"}, COLUMNS, unique=True)
         assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(__cold0" in joined._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(__place" in joined._jdf.queryExecution().executedPlan().toString()
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
