@@ -15,15 +15,15 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dimflow.functions.predicates import all_present, any_missing
 from dimflow.operators.dedup import dedup_by_key
 
-# Keys joined by broadcast, and the counters of the sketch that finds them: a key with
-# more than 1 in 700 of the rows is always found.
-HOT_KEYS = 200
-SKETCH_SIZE = 1024
+# Keys joined by broadcast, and the counters of the sketch that finds them: it always
+# sees a key that holds more than 1 in 6000 of the rows.
+HOT_KEYS = 1000
+SKETCH_SIZE = 8192
 # Sketches are merged in this many groups before the last merge.
 MERGE_GROUPS = 256
 
@@ -97,12 +97,8 @@ def _split_hot_keys(
     )
     is_hot = F.col("__is_hot").isNotNull()
     settled = is_hot if null_safe else is_hot | any_missing(fact_keys)
-    # Rows meet on an even hash of their key. Settled rows get an odd hash of the whole row,
-    # which no dim row has. As the first join key it spreads the shuffle and speeds the sort.
-    odd, even = F.lit(1).cast("long"), F.lit(-2).cast("long")
-    place = F.when(settled, F.xxhash64(*fact.columns).bitwiseOR(odd)).otherwise(F.col("__hash").bitwiseAND(even))
-    marked = marked.withColumn("__place", place)
-    rest = side.withColumn("__side_place", F.xxhash64(*side_keys).bitwiseAND(even))
+    marked = marked.withColumn("__place", _place(settled, fact_keys, fact.columns))
+    rest = side.withColumn("__side_place", _place(F.lit(False), side_keys, side_keys))
     same_place = marked["__place"] == rest["__side_place"]
     joined = marked.join(rest, same_place & _match(marked, rest, fact_keys, side_keys, null_safe), "left")
     return joined.select(
@@ -110,6 +106,18 @@ def _split_hot_keys(
     )
 
 
+def _place(settled: Column, keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """Where a row is shuffled to: an even hash of its key, or an odd one that spreads settled rows.
+
+    The odd hash covers the whole row and its input partition, so even copies of one
+    row are spread, and a repeated task sends each row where it went before.
+    """
+    odd, even = F.lit(1).cast("long"), F.lit(-2).cast("long")
+    return F.when(settled, F.xxhash64(*columns, F.spark_partition_id()).bitwiseOR(odd)).otherwise(
+        F.xxhash64(*keys).bitwiseAND(even)
+    )
+
+
 def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``__hash`` (xxhash64 of the key) of the at most ``HOT_KEYS`` most frequent keys.
 
@@ -127,15 +135,26 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def flag_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def flag_unique(df: DataFrame, keys: Sequence[str], name: str, broadcast_limit: int | None = None) -> DataFrame:
     """Add boolean ``name``: False on every member of a group that shares ``keys``.
 
-    NULL keys compare equal. Counting combines map-side, and only the repeated keys
-    are joined back, so a key with very many rows is never gathered in one task.
+    NULL keys compare equal. Groups are counted by a window. In data above the
+    broadcast threshold the heaviest keys are counted apart, with map-side combining,
+    and their rows are spread over all tasks instead of gathering in one.
     """
-    repeated = df.groupBy(*keys).count().where("count > 1").select(*keys, F.lit(True).alias("__repeated_key"))
-    flagged = lookup_join(
-        df, repeated, {k: k for k in keys}, {"__repeated_key": "__repeated"},
-        null_safe=True, unique=True,
+    count = F.count(F.lit(1))
+    if fits_broadcast(df, broadcast_limit):
+        return df.withColumn(name, count.over(Window.partitionBy(*keys)) == 1)
+    hot_names = [f"__hot{i}" for i in range(len(keys))]
+    hot_counts = (
+        df.select(F.xxhash64(*keys).alias("__hash"), *keys)
+        .join(F.broadcast(hot_key_hashes(df, keys)), "__hash", "left_semi")
+        .groupBy(*(F.col(k).alias(h) for k, h in zip(keys, hot_names)))
+        .agg(count.alias("__hot_count"))
     )
-    return flagged.select(*df.columns, F.col("__repeated").isNull().alias(name))
+    marked = df.join(F.broadcast(hot_counts), _match(df, hot_counts, keys, hot_names, null_safe=True), "left")
+    is_hot = F.col("__hot_count").isNotNull()
+    placed = marked.withColumn("__place", _place(is_hot, keys, df.columns))
+    together = count.over(Window.partitionBy("__place", *keys))
+    alone = F.when(is_hot, F.col("__hot_count") == 1).otherwise(together == 1)
+    return placed.select(*df.columns, alone.alias(name))

@@ -152,6 +152,6 @@ def validate_stream(spark, sf_dir):
         Rule("priority_valid", F.col("o_orderpriority") != "4-NOT SPECIFIED"),
         Rule("price_valid", F.col("o_totalprice") > 1000),
     ]
-    stream = file_stream(spark, sf_dir, schema, fmt="parquet", pathGlobFilter="orders.parquet")
+    stream = file_stream(spark, f"{sf_dir}/orders.parquet", schema, fmt="parquet")
     run_validation(stream, rules, f"{root}/orders", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/orders").drop("batch_id")

@@ -94,8 +94,24 @@ def test_output_names_must_be_new(spark):
         lookup_join(facts(spark), dims(spark), {"k": "key"}, {"name": "id"})
 
 
-def test_flag_unique_keeps_every_row(spark):
-    df = facts(spark)
-    flagged = flag_unique(df, ["k"], "alone")
-    assert flagged.count() == df.count()
-    assert flagged.where("k = 7 AND alone").count() == 0
+def test_copies_of_one_row_are_spread(spark, no_broadcast, tmp_path):
+    rows_in = spark.range(0, 9000, 1, 30).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "1 AS same")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (
+            lookup_join(rows_in, dims(spark), {"k": "key"}, COLUMNS, unique=True),
+            flag_unique(rows_in, ["k"], "alone"),
+        ):
+            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 9000 and max(sizes) < 1.5 * 9000 / 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_flag_unique_is_exact(spark, limit):
+    df = facts(spark).withColumn("k", F.expr("CASE WHEN id < 100 THEN -id ELSE k END"))
+    flagged = flag_unique(df, ["k"], "alone", broadcast_limit=limit)
+    counts = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    assert sorted(counts.values())[0] == 1
+    assert rows(flagged, "id", "alone") == sorted(((r.id, counts[r.k] == 1) for r in df.collect()), key=repr)
