@@ -158,13 +158,17 @@ def build_claim_fact(
 def claim_summary(
     fact: DataFrame, by: Sequence[str], claimed: str = "claim_amount", approved: str = "approved_amount"
 ) -> DataFrame:
-    """Claim counts and amounts per ``by``, with the subtotals of each drill-down level."""
-    return fact.rollup(*by).agg(
-        F.grouping_id().cast("int").alias("level"),
-        F.count(F.lit(1)).alias("claims"),
-        F.sum(claimed).alias("claimed"),
-        F.sum(approved).alias("approved"),
+    """Claim counts and amounts per ``by``, with the subtotals of each drill-down level.
+
+    Claims are summed per full group first, so the roll-up multiplies groups, not claims.
+    """
+    groups = fact.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("claims"), F.sum(claimed).alias("claimed"), F.sum(approved).alias("approved")
+    )
+    totals = groups.rollup(*by).agg(
+        F.grouping_id().cast("int").alias("level"), *(F.sum(c).alias(c) for c in ("claims", "claimed", "approved"))
     )
+    return totals.withColumns({c: F.col(c).cast(groups.schema[c].dataType) for c in ("claims", "claimed", "approved")})
 
 
 def fk_orphans(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str) -> DataFrame:

@@ -152,6 +152,7 @@ def validate_stream(spark, sf_dir):
         Rule("priority_valid", F.col("o_orderpriority") != "4-NOT SPECIFIED"),
         Rule("price_valid", F.col("o_totalprice") > 1000),
     ]
-    stream = file_stream(spark, f"{sf_dir}/orders.parquet", schema, fmt="parquet")
+    # A glob, as a stream's path may be a directory or a pattern but not one file.
+    stream = file_stream(spark, f"{sf_dir}/orders.parquet*", schema, fmt="parquet")
     run_validation(stream, rules, f"{root}/orders", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/orders").drop("batch_id")
