@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()) -> DataFrame:
     """Keep the first row of each key group; NULL keys form one group.
 
-    The remaining columns break ties, so the surviving row is the same on every run.
+    The remaining columns (maps have no order) break ties, so the surviving row is the same on every run.
     Spark keeps only the best row per key in each map task before the shuffle
     (WindowGroupLimit), so a key with very many rows does not burden one task.
     """
-    ties = [c for c in df.columns if c not in keys]
+    ties = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, MapType)]
     order = [*order_by, *ties] or [F.lit(0)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")

@@ -10,7 +10,7 @@ from pyspark.sql.types import DataType, TimestampType
 from dimflow.functions.predicates import all_present
 from dimflow.operators.dedup import dedup_by_key
 from dimflow.schemas import AUDIT
-from dimflow.sources.tables import read_table, write_table
+from dimflow.sources.tables import compact, read_table, write_table
 
 
 def high_water_mark(audit: DataFrame, job: str, as_type: DataType) -> Column | None:
@@ -79,11 +79,6 @@ def run_incremental(
     return count
 
 
-def compact(df: DataFrame) -> DataFrame:
-    """Let AQE size the output files: a small result becomes one file, a large one many."""
-    return df.hint("rebalance")
-
-
 def insert_ignore(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()
 ) -> DataFrame:

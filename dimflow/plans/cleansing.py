@@ -15,7 +15,7 @@ from dimflow.operators.lookup import flag_unique
 from dimflow.operators.profile import flag_email as email_flag
 from dimflow.operators.profile import flag_phone as phone_flag
 from dimflow.operators.profile import null_nan_profile as profile
-from dimflow.operators.quality import read_split, rule_report, split, validate, write_split
+from dimflow.operators.quality import load_validated, read_split, rule_report, split, validate, write_split
 from dimflow.plans.base import load, query
 from dimflow.plans.inputs import AS_OF, PEOPLE_SQL, derive, people, select_list
 
@@ -232,6 +232,20 @@ def quarantine_sink(spark, sf_dir):
     return read_split(spark, path)[1]
 
 
+@query(f"""
+    WITH {_FLAGS} SELECT customer_id, full_name, email, age, date_of_birth, phone_number, country FROM checked WHERE is_valid
+""")
+def validated_load(spark, sf_dir):
+    """Two loads of the same rows: the second inserts nothing."""
+    root = storage.scratch_dir(spark, "validated")
+    for load_date in ("2024-06-30", "2024-07-01"):
+        load_validated(
+            spark, people(spark, sf_dir), customer_rules(AS_OF), f"{root}/split", f"{root}/dim_customer", load_date,
+            ["customer_id"],
+        )
+    return spark.read.parquet(f"{root}/dim_customer")
+
+
 @query(f"""
     SELECT customer_id, country, count(*) OVER (PARTITION BY customer_id) = 1 AS customer_id_unique
     FROM (SELECT o_custkey AS customer_id, o_orderstatus AS country FROM orders) o

@@ -35,7 +35,7 @@ def _source(spark, sf_dir, b: Binding):
     return derive(table, snapshot(b)).unionByName(derive(table, repeated(b)))
 
 
-def _dim(spark, sf_dir, b: Binding, spec: EntitySpec):
+def versioned_dim(spark, sf_dir, b: Binding, spec: EntitySpec):
     """An open and a closed version of every row."""
     table = load(spark, sf_dir, b.table)
 
@@ -102,7 +102,7 @@ def _scd2_sql(b: Binding, spec: EntitySpec, absent: str = "keep", first_load: bo
 
 def _scd2(spark, sf_dir, entity: str, **options):
     b, spec = BINDINGS[entity], ENTITIES[entity]
-    return scd2_merge(_dim(spark, sf_dir, b, spec), _prepared(spark, sf_dir, b, spec), spec, AS_OF, **options)
+    return scd2_merge(versioned_dim(spark, sf_dir, b, spec), _prepared(spark, sf_dir, b, spec), spec, AS_OF, **options)
 
 
 for _name in ENTITIES:
@@ -137,8 +137,7 @@ def _twice_merged_sql(b: Binding, spec: EntitySpec) -> str:
     d, s = (", ".join(f"{side}.{c}" for c in cols) for side in "ds")
     stamps = "{} AS insert_date, {} AS update_date, {} AS is_active, {} AS end_date".format
     return f"""WITH d AS (SELECT {select_list(b.columns)} FROM {b.table}),
-    s AS (SELECT * FROM (SELECT {select_list(snapshot(b))} FROM {b.table}) t),
-    j AS (SELECT 1)
+    s AS (SELECT {select_list(snapshot(b))} FROM {b.table})
     SELECT {d}, {stamps(first, later, 'true', never)} FROM d JOIN s ON d.{key} = s.{key} WHERE {same}
     UNION ALL SELECT {d}, {stamps(first, later, 'false', later)} FROM d JOIN s ON d.{key} = s.{key} WHERE NOT ({same})
     UNION ALL SELECT {s}, {stamps(later, never, 'true', never)} FROM d JOIN s ON d.{key} = s.{key} WHERE NOT ({same})

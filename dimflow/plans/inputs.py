@@ -194,7 +194,6 @@ def older(b: Binding) -> dict[str, str]:
 
 
 # Events in the shape of the raw log. Purchases are checkouts with 0 to 3 cart lines.
-_K = "k"
 LOGS = {
     "log_id": "CAST(event_id AS string)",
     "user_id": "CAST(user_id AS string)",

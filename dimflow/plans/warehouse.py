@@ -15,7 +15,7 @@ from dimflow.operators.facts import fk_orphans as orphan_keys
 from dimflow.operators.incremental import audit_rows, incremental_extract as extract, run_incremental
 from dimflow.operators.lookup import lookup_join
 from dimflow.plans.base import load, query
-from dimflow.plans.dimensions import _dim
+from dimflow.plans.dimensions import versioned_dim
 from dimflow.plans.inputs import BINDINGS, LOGS_SQL, PRODUCTS, derive, event_logs, select_list
 from dimflow.schemas import AUDIT, EVENT_LOG, conform
 from dimflow.sources.tables import write_table
@@ -78,7 +78,7 @@ def fact_events_keep_empty_carts(spark, sf_dir):
 _EVENT_TYPES_SQL = "SELECT CAST(min(event_id) AS int) + 1 AS event_type_key, event_type AS event_type_name FROM events GROUP BY event_type"
 
 
-def _event_types(spark, sf_dir):
+def event_types(spark, sf_dir):
     keys = load(spark, sf_dir, "events").groupBy("event_type").agg(F.min("event_id").alias("first"))
     return keys.selectExpr("CAST(first AS int) + 1 AS event_type_key", "event_type AS event_type_name")
 
@@ -94,7 +94,7 @@ _EVENT_FACT = {
 }
 
 
-def _event_fact(spark, sf_dir):
+def event_fact(spark, sf_dir):
     events = load(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS int) AS k")
     return derive(events, _EVENT_FACT)
 
@@ -127,12 +127,12 @@ _METRICS_SQL = f"""
 
 @query(_METRICS_SQL)
 def daily_user_metrics(spark, sf_dir):
-    return _as_doubles(user_metrics(_event_fact(spark, sf_dir), _event_types(spark, sf_dir), checkout="purchase"))
+    return _as_doubles(user_metrics(event_fact(spark, sf_dir), event_types(spark, sf_dir), checkout="purchase"))
 
 
 @query(_METRICS_SQL)
 def daily_user_metrics_sorted(spark, sf_dir):
-    metrics = user_metrics(_event_fact(spark, sf_dir), _event_types(spark, sf_dir), checkout="purchase", sort=True)
+    metrics = user_metrics(event_fact(spark, sf_dir), event_types(spark, sf_dir), checkout="purchase", sort=True)
     return _as_doubles(metrics)
 
 
@@ -145,7 +145,7 @@ _LOOKUP_SQL = f"""
 @query(_LOOKUP_SQL)
 def event_type_lookup(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    types = _event_types(spark, sf_dir)
+    types = event_types(spark, sf_dir)
     return lookup_join(events, types, {"event_type": "event_type_name"}, {"event_type_key": "event_type_key"}, unique=True)
 
 
@@ -202,7 +202,7 @@ _STAR_SQL = (
 
 def _claim_fact(spark, sf_dir):
     claims = derive(load(spark, sf_dir, "lineitem"), _CLAIMS)
-    dims = {name: _dim(spark, sf_dir, BINDINGS[name], ENTITIES[name]) for name, _, _ in _STAR}
+    dims = {name: versioned_dim(spark, sf_dir, BINDINGS[name], ENTITIES[name]) for name, _, _ in _STAR}
     return build_claim_fact(claims, dims["customer"], dims["policy"], dims["provider"], dims["region"])
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from dimflow import storage
@@ -57,9 +57,21 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load()
 
 
-def write_table(df: DataFrame, fmt: str, options: Mapping[str, str], mode: str = "append") -> None:
+def write_table(
+    df: DataFrame, fmt: str, options: Mapping[str, str], mode: str = "append", partition_by: Sequence[str] = ()
+) -> None:
     """Append to or overwrite a table of any Spark sink format."""
-    df.write.format(fmt).options(**options).mode(mode).save()
+    writer = df.write.format(fmt).options(**options).mode(mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save()
+
+
+def compact(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Let AQE size the output files: a small result becomes one file, a large one many.
+
+    With ``partition_by`` rows of one table partition are brought together first; a
+    partition much larger than others is split again, so none is left to one task.
+    """
+    return df.hint("rebalance", *(F.col(c) for c in partition_by))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -41,6 +41,12 @@ def test_dedup_keeps_one_row_per_key_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text[exchange:], "no limit below the exchange"
 
 
+def test_dedup_with_nothing_to_order_by(spark):
+    assert rows(dedup_by_key(spark.createDataFrame([(1,), (1,), (2,)], "k int"), ["k"])) == [(1,), (2,)]
+    maps = spark.sql("SELECT 1 AS k, map('a', 1) AS m UNION ALL SELECT 1, map('a', 1)")
+    assert dedup_by_key(maps, ["k"]).count() == 1
+
+
 def test_remove_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "k int, v string")
     assert rows(remove_duplicates(df)) == [(1, "a"), (1, "b")]

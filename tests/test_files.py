@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from dimflow import storage
 from dimflow.schemas import AUDIT, CUSTOMER, EVENT_LOG, struct, STRING, INT
-from dimflow.sources.files import archive_loaded, base_name, convert_to_parquet, extension, merge_csv
+from dimflow.sources.files import archive_loaded, base_name, convert_to_parquet, csv_layouts, extension, merge_csv
 from dimflow.sources.jdbc import DIALECTS, ReadSplit, export_table, jdbc_options, read_jdbc
-from dimflow.sources.tables import read_csv, read_json, read_table, write_csv, write_parquet, write_table
+from dimflow.sources.tables import compact, read_csv, read_json, read_table, write_csv, write_parquet, write_table
 from tests.conftest import rows
 
 
@@ -39,6 +39,15 @@ def test_tables(spark, tmp_path):
     assert read_table(spark, "parquet", path).count() == 2
 
 
+def test_compact_writes_one_file_per_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = spark.range(0, 1000, 1, 8).selectExpr("id", "id % 2 AS day")
+    write_table(compact(many, "day"), "parquet", {"path": path}, partition_by=["day"])
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 2
+    write_table(compact(many), "parquet", {"path": path + "2"})
+    assert len(list((tmp_path / "t2").glob("*.parquet"))) == 1
+
+
 def test_merge_reads_each_file_in_its_encoding_and_matches_columns_by_name(spark, tmp_path):
     (tmp_path / "sub dir").mkdir()
     (tmp_path / "a.csv").write_text("id,name\n1,Zoë\n", encoding="utf-8")
@@ -75,6 +84,12 @@ def test_names_with_special_characters(spark, tmp_path):
     assert archive_loaded(spark, manifest, str(src), str(tmp_path / "arc"), "2024-06-30") == 5
 
 
+def test_layouts_are_found_by_hash_aggregation(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id\n1\n")
+    plan = csv_layouts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 def test_merge_without_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):

@@ -5,7 +5,7 @@ from dimflow.functions.rules import (
     CUSTOMER_ID_UNIQUE, Rule, UniqueRule, customer_rules, iso_date, rule_names, years_between,
 )
 from dimflow.operators.profile import flag_email, flag_phone, null_nan_profile
-from dimflow.operators.quality import read_split, rule_report, split, validate, write_split
+from dimflow.operators.quality import load_validated, read_split, rule_report, split, validate, write_split
 from dimflow.schemas import CUSTOMER_VALIDATION, INT, struct
 from dimflow.sources.tables import read_csv
 from tests.conftest import rows
@@ -155,6 +155,18 @@ def test_split_is_written_once_and_a_date_replaces_itself(spark, tmp_path):
     assert rows(quarantined, "id", "small") == [(3, False), (4, False)]
 
 
+def test_validated_load(spark, tmp_path):
+    rules = [Rule("small", F.col("id") < 3)]
+    run = lambda n, date: load_validated(
+        spark, spark.range(n), rules, str(tmp_path / "split"), str(tmp_path / "target"), date, ["id"]
+    )
+    assert rows(run(2, "2024-06-14")) == [("is_valid", 2, 0), ("small", 2, 0)]
+    assert rows(run(5, "2024-06-15")) == [("is_valid", 3, 2), ("small", 3, 2)]
+    run(5, "2024-06-15")
+    assert rows(spark.read.parquet(str(tmp_path / "target"))) == [(0,), (1,), (2,)]
+    assert read_split(spark, str(tmp_path / "split"))[1].count() == 2
+
+
 def test_strings_survive_the_csv_reader(spark, tmp_path):
     (tmp_path / "c.csv").write_text(",".join(CUSTOMER_VALIDATION.names) + "\n1,Ann Lee,,34,1990-1-20,0123456789,UK\n")
     row = read_csv(spark, str(tmp_path / "c.csv"), CUSTOMER_VALIDATION).first()

@@ -27,7 +27,7 @@ from dimflow.operators.lookup import flag_unique, lookup_join  # noqa: E402
 from dimflow.operators.scd import scd2_merge  # noqa: E402
 from dimflow.plans.base import load  # noqa: E402
 from dimflow.plans.inputs import AS_OF, BINDINGS, LOADED_AT, derive, snapshot  # noqa: E402
-from dimflow.plans.warehouse import _event_fact, _event_types  # noqa: E402
+from dimflow.plans.warehouse import event_fact, event_types  # noqa: E402
 from dimflow.session import get_session  # noqa: E402
 
 
@@ -95,14 +95,14 @@ def main() -> None:
     source = stored(derive(orders, snapshot(b)), "source")
     stored(repeat("events", "event_id"), "e").createOrReplaceTempView("e")
     events = spark.table("e").selectExpr("*", "CAST(get_json_object(props, '$.k') AS int) AS k")
-    fact = _event_fact(spark, sf_dir).limit(0).unionByName(
+    fact = event_fact(spark, sf_dir).limit(0).unionByName(
         events.selectExpr(
             "event_id AS log_id", "user_id", "CAST(ts AS date) AS event_date", "event_type",
             "CAST(k AS decimal(10,2)) AS quantity", "CAST(value AS decimal(12,2)) AS unit_price",
             "CAST(value * k AS decimal(14,2)) AS total_amount",
         )
     )
-    types = stored(_event_types(spark, sf_dir), "types")
+    types = stored(event_types(spark, sf_dir), "types")
     # One key on a third of the lines, no key on a ninth.
     lines = stored(
         repeat("lineitem", "l_orderkey").selectExpr(
