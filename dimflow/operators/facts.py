@@ -75,33 +75,31 @@ def daily_user_metrics(
 ) -> DataFrame:
     """Per user and day: distinct log entries, and what was checked out.
 
-    Log entries are made distinct in a shuffle that carries nothing else and spreads a
-    busy user over its entries; what was checked out joins them, already combined
-    map-side, in the shuffle by user and day. Each scan reads only its own columns, and
-    the second one only checkouts.
+    Log entries and checkouts are aggregated apart: the distinct count needs a shuffle
+    that spreads a busy user over its entries, and this way carries nothing else. Each
+    scan reads only its own columns, and the second one only checkouts. The two meet in
+    a grouping, not a join, as NULL users and dates are groups too.
     """
     keys = ["user_id", "event_date"]
-    entries = fact.select(*keys, "log_id").distinct().select(*keys, F.col("log_id").isNotNull().alias("is_log"))
-    bought = fact.where(F.col("event_type") == checkout).select(
-        *keys, "quantity", "unit_price", "total_amount", F.lit(True).alias("is_checkout")
-    )
-    daily = entries.unionByName(bought, allowMissingColumns=True).groupBy(*keys).agg(
-        F.count_if("is_log").alias("count_of_logid"),
-        F.count_if("is_checkout").alias("checkouts"),
+    measures = ["total_quantity", "unit_price", "total_amount"]
+    entries = fact.groupBy(*keys).agg(F.count_distinct("log_id").alias("count_of_logid"))
+    bought = fact.where(F.col("event_type") == checkout).groupBy(*keys).agg(
+        F.lit(True).alias("bought"),
         F.sum("quantity").alias("total_quantity"),
         F.avg("unit_price").alias("unit_price"),
         F.sum("total_amount").alias("total_amount"),
     )
+    daily = entries.unionByName(bought, allowMissingColumns=True).groupBy(*keys).agg(
+        *(F.max(c).alias(c) for c in ("count_of_logid", "bought", *measures))
+    )
     checkout_key = event_types.where(F.col("event_type_name") == checkout).agg(F.max("event_type_key")).scalar()
     metrics = daily.select(
         "user_id",
         "count_of_logid",
         "event_date",
-        F.when(F.col("checkouts") > 0, checkout_key).alias("event_type_key"),
-        "total_quantity",
-        "unit_price",
-        "total_amount",
-    ).na.fill(0, subset=["total_quantity", "unit_price", "total_amount"])
+        F.when(F.col("bought"), checkout_key).alias("event_type_key"),
+        *measures,
+    ).na.fill(0, subset=measures)
     return metrics.orderBy(*keys) if sort else metrics
 
 
