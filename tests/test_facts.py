@@ -99,6 +99,15 @@ def test_daily_metrics_without_a_checkout_key(logs, products, event_types):
     assert rows(metrics, "event_type_key") == [(None,), (None,)]
 
 
+def test_daily_metrics_errors_are_raised(spark, logs, products, event_types):
+    fact = build_fact_events(logs, products)
+    with pytest.raises(Exception, match="log_id"):
+        daily_user_metrics(fact.drop("log_id"), event_types)
+    failing = fact.withColumn("quantity", F.raise_error(F.lit("bad row")).cast("decimal(10,2)"))
+    with pytest.raises(Exception, match="bad row"):
+        daily_user_metrics(failing, event_types).collect()
+
+
 def claims(spark, *data):
     names = ("claim_id", "customer_id", "policy_id", "provider_id", "region_id", "claim_type", "claim_status", "claim_amount", "approved_amount")
     made = spark.createDataFrame(list(data), ", ".join(f"{n} string" for n in names))
