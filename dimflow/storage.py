@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -38,13 +36,7 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the shared folder named by ``spark.checkpoint.dir``.
 
-    The folder must be reachable from every executor. A local temporary folder is
-    used only when the session names none, as in tests.
+    Without that setting it lies in the session's warehouse, which executors reach as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="dimflow-")
