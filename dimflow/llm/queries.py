@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, mixing
-from dimflow.llm.common import load
+from dimflow.llm import bpe, huffman, mixing
+from dimflow.llm.common import load, stored
+from dimflow.storage import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,3 +65,13 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document a mix of all sources takes."""
     mixed = mixing.mix(load(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query()
+def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as Huffman codes and read back."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = stored(huffman.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2).drop("text"), "ids")
+    path = scratch_dir(spark, "huffman")
+    huffman.write(tokens, path)
+    return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
