@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, huffman, mixing
+from dimflow.llm import bpe, huffman, mixing, pii
 from dimflow.llm.common import load, stored
 from dimflow.storage import scratch_dir
 
@@ -67,6 +67,20 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query()
+def op7_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: direct identifiers, and the terms that give them away."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs).drop("text", "terms")
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 @query()
 def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Huffman codes and read back."""
