@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -26,7 +26,11 @@ _RARE_SPACE = regex.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     
 #: no piece looks further than the first character after white space, so these parts are encoded apart.
 _PART = regex.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: Parts that a worker remembers, and the longest worth it (characters).
-MEMORY, REMEMBERED = 500_000, 64
+MEMORY, REMEMBERED = 200_000, 64
+
+
+def parse_ranks(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines()) if token}
 
 
 class Ranks:
@@ -53,7 +57,7 @@ class Ranks:
     @classmethod
     def parse(cls, lines: bytes) -> Ranks:
         """From lines of a base64 token and its rank."""
-        return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines()) if token})
+        return cls(parse_ranks(lines))
 
     def merged(self, data: bytes, down_to: int = 1) -> list[int]:
         """Merge by definition, the pair of lowest rank first, until ``down_to`` parts are left or nothing merges."""
@@ -82,7 +86,7 @@ class Ranks:
         moment the two that touch there would have merged before either was used up on its own side; of equal
         ranks the left one merges first.
         """
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > 300_000:
             self.fits.clear()
         known = self.fits[pair] = self._fit(*pair)
         return known
@@ -286,18 +290,26 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
     return docs.withColumn(ids, to_ids(F.col(text)))
 
 
-def decode(docs: DataFrame, vocabulary: str, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``docs`` with the bytes of the token ids. A null array gives no bytes; an id outside the vocabulary is an error."""
-    shared = share_vocabulary(docs.sparkSession, vocabulary)
+def decoder(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
+    """A column function from token ids to their bytes. A null array gives none; an unknown id is an error."""
+    shared = share_vocabulary(spark, vocabulary)
 
     @F.arrow_udf("binary")
     def to_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = Ranks.parse(shared.value).bytes
+        ranks = parse_ranks(shared.value)
+        table = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            table[i] = token
         for batch in batches:
-            values, ends = batch.values.to_pylist(), batch.offsets.to_pylist()
-            yield binary_array([b"".join([table[i] for i in values[a:b]]) for a, b in zip(ends, ends[1:], strict=False)])
+            values, ends = batch.values, batch.offsets.to_pylist()
+            yield binary_array([b"".join([table[i] for i in values[a:b].to_pylist()]) for a, b in zip(ends, ends[1:], strict=False)])
+
+    return to_bytes
 
-    return docs.withColumn(out, to_bytes(F.col(ids)))
+
+def decode(docs: DataFrame, vocabulary: str, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``docs`` with the bytes of the token ids; a column named like ``out`` is replaced."""
+    return docs.withColumn(out, decoder(docs.sparkSession, vocabulary)(F.col(ids)))
 
 
 def pack_ids(ids: Column) -> Column:

@@ -31,7 +31,8 @@ def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 def key_crc(key: Column | str) -> Column:
     """crc32 of a key written as text; a null key counts as empty text."""
-    return F.crc32(F.coalesce(F.col(key) if isinstance(key, str) else key, F.lit("")).cast("binary"))
+    text = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
 def binary_array(blobs: list[bytes]) -> pa.Array:

@@ -203,6 +203,10 @@ def detect(docs: DataFrame, *, text: str = "text", spans: str = "spans", extra:
     return joined.drop("__key", "__content", "__terms")
 
 
+def count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def listed(spans: Column) -> Column:
     """Spans as ``kind:start:end``, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, huffman, mixing, pii
-from dimflow.llm.common import load, stored
+from dimflow.llm import bpe, huffman, mixing, pii, toxicity
+from dimflow.llm.common import key_crc, load, stored
 from dimflow.storage import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,12 +31,33 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of the ids and of the decoded bytes."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text"), vocabulary)
-    return coded.select(
+    coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
+    digests = coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.pack_ids(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        bpe.pack_ids(F.col("ids")).alias("packed"),
+        bpe.decoder(spark, vocabulary)(F.col("ids")).alias("decoded"),
+    )
+    return digests.select(
+        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+#: From this score on a document counts as toxic.
+TOXIC = 0.7
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (key_crc("doc_id") % 3 == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
     )
 
 
@@ -72,9 +93,7 @@ def op7_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: direct identifiers, and the terms that give them away."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.detect(docs).drop("text", "terms")
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
-    ]
+    counts = [pii.count(F.col("spans"), kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
