@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -27,10 +28,11 @@ from dimflow.llm.common import key_crc, stored
 
 #: Labelled rows to learn from (half of each class at most), and voters in the lexicon.
 SAMPLE, VOTERS = 20_000, 256
-#: Documents that must support a lexicon entry, and its evidence (twice the log likelihood ratio) against chance.
-SUPPORT, EVIDENCE = 4, 20.0
+#: Documents that must support a lexicon entry, its evidence (twice the log likelihood ratio) against chance, and how many
+#: times more frequent it must be in toxic rows.
+SUPPORT, EVIDENCE, ODDS = 4, 20.0, 20.0
 #: Lengths of word beginnings that count as stems.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 
 # Insults in four languages that vote without any labels.
 INSULTS = (
@@ -101,9 +103,16 @@ class Model:
     groups: list[list[int]] = field(default_factory=list)
 
     def score(self, voters: Voters, text: str) -> float:
-        z = self.bias + self.weights[voters.votes(text)].sum()
+        """Every group that votes counts once, and their number counts as well."""
+        member = self.member
+        voted = {member[v] for v in voters.votes(text)}
+        z = self.bias + self.weights[sorted(voted)].sum() + self.weights[-1] * len(voted)
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
+    @cached_property
+    def member(self) -> dict[int, int]:
+        return {v: g for g, group in enumerate(self.groups) for v in group}
+
 
 def training_labels(labels: DataFrame, key: str = "doc_id", label: str = "toxic") -> DataFrame:
     """(key, label) of rows to learn from: one per document, toxic if any of its rows says so; held-out ones left out."""
@@ -158,8 +167,8 @@ def _mine(sample: DataFrame) -> list[str]:
     best = (
         counted.filter(F.col("toxic") >= SUPPORT)
         .withColumns({"evidence": evidence, "odds": odds})
-        .filter((F.col("evidence") >= EVIDENCE) & (F.col("odds") >= 5))
-        .orderBy(F.desc("evidence"), "entry")
+        .filter((F.col("evidence") >= EVIDENCE) & (F.col("odds") >= ODDS))
+        .orderBy(F.desc("evidence"), F.desc(F.length("entry")), "entry")
         .limit(8 * VOTERS)
         .collect()
     )
@@ -181,7 +190,18 @@ def _mine(sample: DataFrame) -> list[str]:
 
     found = sample.filter("label = 1").select("text").mapInArrow(places, "entry string, place string")
     spread = {row["entry"]: row["n"] for row in found.groupBy("entry").agg(F.count_distinct("place").alias("n")).collect()}
-    return [row["entry"] for row in best if spread.get(row["entry"], 0) >= max(SUPPORT, 0.5 * row["toxic"])][:VOTERS]
+    chosen: list[str] = []
+    for row in best:
+        entry = row["entry"]
+        if spread.get(entry, 0) >= max(SUPPORT, 0.5 * row["toxic"]) and not any(_related(entry, other) for other in chosen):
+            chosen.append(entry)
+    return chosen[:VOTERS]
+
+
+def _related(one: str, other: str) -> bool:
+    """Whether a word with the longer entry has the shorter one too, so that both would repeat one vote."""
+    short, long = sorted((one, other), key=lambda entry: len(entry.rstrip("*")))
+    return long.rstrip("*") == short.rstrip("*") or short.endswith("*") and long.startswith(short[:-1])
 
 
 def _agreement(docs: DataFrame, text: str, lexicon: list[str]) -> np.ndarray:
@@ -205,7 +225,7 @@ def _agreement(docs: DataFrame, text: str, lexicon: list[str]) -> np.ndarray:
     return counts
 
 
-def _groups(counts: np.ndarray, least: float = 0.5) -> list[list[int]]:
+def _groups(counts: np.ndarray, least: float = 0.7) -> list[list[int]]:
     """Voters that vote on mostly the same documents, put together; they carry one piece of evidence, not many."""
     alone = np.diag(counts)
     union = alone[:, None] + alone[None, :] - counts
@@ -221,35 +241,37 @@ def _groups(counts: np.ndarray, least: float = 0.5) -> list[list[int]]:
     return groups
 
 
-def _label_model(votes: np.ndarray, labels: np.ndarray, groups: list[list[int]], rounds: int = 30):
+def _label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30):
     """Posterior labels, the prior, and how often each group and the given label vote on toxic and on other rows.
 
-    ``votes`` is rows by voters. The given label starts as the best voter; what it is worth is estimated as for any.
+    ``votes`` is rows by groups of voters. The given label starts as the best voter; what it is worth is estimated as for any.
+    A lexicon entry that a text lacks is no vote for the other class, as texts differ in length and language; so the
+    prior is the labelled share, and the label's own error stays within bounds.
     """
-    joint = np.stack([votes[:, group].any(axis=1) for group in groups] + [labels > 0], axis=1).astype(float)
+    joint = np.column_stack([votes, labels > 0]).astype(float)
     posterior = np.where(labels > 0, 0.95, 0.05)
+    prior = (labels.sum() + 1) / (len(labels) + 2)
     for _ in range(rounds):
         weight = posterior.sum()
-        prior = (weight + 1) / (len(labels) + 2)
         on_toxic = (posterior @ joint + 0.5) / (weight + 1)
         on_other = ((1 - posterior) @ joint + 0.05) / (len(labels) - weight + 1)
-        logit = np.log(prior / (1 - prior)) + joint @ np.log(on_toxic / on_other) + (1 - joint) @ np.log((1 - on_toxic) / (1 - on_other))
+        on_toxic[-1], on_other[-1] = np.clip(on_toxic[-1], 0.6, 0.99), np.clip(on_other[-1], 0.001, 0.1)
+        logit = np.log(prior / (1 - prior)) + joint @ np.log(on_toxic / on_other)
+        logit += (1 - joint[:, -1]) * np.log((1 - on_toxic[-1]) / (1 - on_other[-1]))
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return posterior, prior, on_toxic, on_other
 
 
-def _regress(votes: np.ndarray, target: np.ndarray, ridge: float = 0.3, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """Logistic regression of posterior labels on votes by Newton steps; classes weigh the same."""
-    x = np.hstack([votes.astype(float), np.ones((len(votes), 1))])
-    half = 0.5 * len(target)
-    weight = target * half / max(target.sum(), 1e-9) + (1 - target) * half / max((1 - target).sum(), 1e-9)
+def _regress(features: np.ndarray, target: np.ndarray, ridge: float = 0.02, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Logistic regression of posterior labels on features by Newton steps."""
+    x = np.column_stack([features.astype(float), np.ones(len(features))])
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - target)) + penalty * w
-        step = np.linalg.solve((x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), gradient)
+        gradient = x.T @ (p - target) + penalty * w
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -276,17 +298,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     rows = sample.select("label", "text").mapInArrow(ballots, "label int, votes array<int>").toArrow()  # SAMPLE rows
     given = rows.column("label").to_numpy()
     if not mined:
-        known = np.zeros(size)
+        known = np.zeros(size + 1)
         known[: len(lexicon)] = 4.0
-        return Model(lexicon, known, -3.0)
+        return Model(lexicon, known, -3.0, groups=[[v] for v in range(size)])
     votes = np.zeros((len(given), size), bool)
     for i, voted in enumerate(rows.column("votes").to_pylist()):
         votes[i, voted] = True
     order = np.lexsort((*votes.T[:64], given))  # the order rows arrive in must not move a rounding
     votes, given = votes[order], given[order]
     groups = _groups(_agreement(docs, text, lexicon))
-    posterior, prior, on_toxic, on_other = _label_model(votes, given, groups)
-    weights, bias = _regress(votes, posterior)
+    joint = np.column_stack([votes[:, group].any(axis=1) for group in groups])
+    posterior, prior, on_toxic, on_other = _label_model(joint, given)
+    weights, bias = _regress(np.column_stack([joint, joint.sum(axis=1)]), posterior)
     return Model(lexicon, weights, bias, prior, on_toxic, on_other, groups)
 
 
