@@ -26,7 +26,7 @@ _RARE_SPACE = regex.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     
 #: no piece looks further than the first character after white space, so these parts are encoded apart.
 _PART = regex.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: Parts that a worker remembers, and the longest worth it (characters).
-MEMORY, REMEMBERED = 200_000, 64
+MEMORY, REMEMBERED = 160_000, 64
 
 
 def parse_ranks(lines: bytes) -> dict[bytes, int]:
@@ -105,6 +105,33 @@ class Ranks:
                 return True
 
 
+    def extend(self, data: bytes, last: list[int], begin: int) -> None:
+        """Add the last tokens of the prefixes of ``data`` beyond ``begin``; ``last`` has those up to it."""
+        lengths, known, fit = self.lengths, self.fits, self.fit
+        back = begin - self.longest + 1 if begin >= self.longest else 0
+        end, base = begin + 1, back + 1
+        for at, token in self.endings.iter(data[back:].decode("latin-1")):
+            if at + base == end:  # else that prefix has its last token
+                start = end - lengths[token]
+                if start:
+                    pair = (last[start], token)
+                    fits = known.get(pair)
+                    if not (fit(pair) if fits is None else fits):
+                        continue
+                last.append(token)
+                end += 1
+
+    def walk(self, last: list[int]) -> list[int]:
+        """The tokens of the whole, from the last tokens of its prefixes."""
+        lengths, out, end = self.lengths, [], len(last) - 1
+        while end:
+            token = last[end]
+            out.append(token)
+            end -= lengths[token]
+        out.reverse()
+        return out
+
+
 class PieceTable:
     """Bytes of one piece with the last token of every prefix."""
 
@@ -116,22 +143,7 @@ class PieceTable:
         """Exact: entries of shorter prefixes stay as they are."""
         begin = len(self.data)
         self.data += more
-        ranks, last = self.ranks, self.last
-        lengths, known, fit = ranks.lengths, ranks.fits, ranks.fit
-        back = max(0, begin - ranks.longest + 1)
-        for at, token in ranks.endings.iter(self.data[back:].decode("latin-1")):
-            end = back + at + 1
-            if end == len(last):  # else this prefix has its last token
-                start = end - lengths[token]
-                if not start:
-                    last.append(token)
-                    continue
-                pair = (last[start], token)
-                fits = known.get(pair)
-                if fits is None:
-                    fits = fit(pair)
-                if fits:
-                    last.append(token)
+        self.ranks.extend(self.data, self.last, begin)
 
     def truncate(self, size: int) -> None:
         self.data, self.last = self.data[:size], self.last[: size + 1]
@@ -146,11 +158,7 @@ class PieceTable:
         whole = self.ranks.ids.get(self.data)
         if whole is not None:  # a piece that is a token is never merged, also where merging would not give it
             return [whole]
-        out, end = [], len(self.data)
-        while end:
-            out.append(self.last[end])
-            end -= len(self.ranks.bytes[out[-1]])
-        return out[::-1]
+        return self.ranks.walk(self.last)
 
 
 class Encoder:
@@ -178,12 +186,25 @@ class Encoder:
 
     def _part(self, part: str) -> bytes:
         """A part that is not in the young generation."""
-        known = self.young.get(part) or self.old.get(part)
+        known = self.old.get(part)
         if known is None:
-            known = self._direct(part)
+            word = part[1:] if part[0] == " " else part
+            if word.isalpha():  # one piece
+                known = self._piece(part)
+            elif word[:-1].isalpha() and word[-1] in ".,":  # two
+                known = self._known(part[:-1]) + self._piece(part[-1])
+            else:
+                known = self._direct(part)
         self._remember(part, known)
         return known
 
+    def _known(self, piece: str) -> bytes:
+        known = self.young.get(piece) or self.old.get(piece)
+        if known is None:
+            known = self._piece(piece)
+            self._remember(piece, known)
+        return known
+
     def _remember(self, part: str, known: bytes) -> None:
         if len(part) <= REMEMBERED:
             if len(self.young) >= MEMORY:
@@ -191,15 +212,16 @@ class Encoder:
             self.young[part] = known
 
     def _direct(self, text: str) -> bytes:
-        out = []
-        for piece in self.pieces.findall(text):
-            known = self.young.get(piece) or self.old.get(piece)
-            if known is None:
-                known = array("i", PieceTable(self.ranks, piece.encode("utf-8", "surrogatepass")).tokens()).tobytes()
-                if len(piece) < len(text):
-                    self._remember(piece, known)
-            out.append(known)
-        return b"".join(out)
+        return b"".join(map(self._known, self.pieces.findall(text)))
+
+    def _piece(self, piece: str) -> bytes:
+        data = piece.encode("utf-8", "surrogatepass")
+        whole = self.ranks.ids.get(data)
+        if whole is not None:  # a piece that is a token is never merged, also where merging would not give it
+            return whole.to_bytes(4, "little")
+        last = [-1]
+        self.ranks.extend(data, last, 0)
+        return array("i", self.ranks.walk(last)).tobytes()
 
 
 class EditableText:

@@ -24,9 +24,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """``df`` with ``columns`` added; a column that has such a name already is replaced."""
-    return df.withColumns(columns)
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send whole texts to Python workers in smaller Arrow batches than the default 10,000 rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def key_crc(key: Column | str) -> Column:

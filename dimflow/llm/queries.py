@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.llm import bpe, huffman, mixing, pii, toxicity
-from dimflow.llm.common import key_crc, load, stored
+from dimflow.llm.common import key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,7 @@ def query(sql: str | None = None):
 @query()
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of the ids and of the decoded bytes."""
+    small_batches(spark)
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
@@ -50,6 +51,7 @@ TOXIC = 0.7
 @query()
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that are not held out."""
+    small_batches(spark)
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model)
@@ -91,6 +93,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: direct identifiers, and the terms that give them away."""
+    small_batches(spark)
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.detect(docs).drop("text", "terms")
     counts = [pii.count(F.col("spans"), kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
@@ -103,6 +106,7 @@ def op7_private_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Huffman codes and read back."""
+    small_batches(spark)
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     tokens = stored(huffman.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2).drop("text"), "ids")
     path = scratch_dir(spark, "huffman")
