@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, huffman, mixing, pii, toxicity
+from dimflow.llm import bpe, html, huffman, mixing, pii, toxicity
 from dimflow.llm.common import key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
@@ -112,3 +112,11 @@ def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "huffman")
     huffman.write(tokens, path)
     return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query()
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    small_batches(spark)
+    found = html.extract(load(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
