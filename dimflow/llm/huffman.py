@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,16 +22,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from dimflow.llm.common import binary_array
+from dimflow.llm.common import binary_array, stored
 
 #: Longest code in bits, ids between two checkpoints, ids aimed for in a block and in a part.
 LONGEST, STEP, BLOCK_IDS, PART_IDS = 18, 64, 1 << 16, 1 << 22
 #: Words a worker remembers, and the longest worth it (characters).
-MEMORY, REMEMBERED = 500_000, 64
+MEMORY, REMEMBERED = 400_000, 64
+
+#: Type codes of packed ids by their bytes.
+WIDTHS = {2: "H", 4: "I"}
 
 _WORDS = re.compile(r"[^ \t\n\r]+")
 
 
+def width_of(vocabulary: int) -> int:
+    """Bytes that an id takes while it is on its way to a file."""
+    return 2 if vocabulary <= 1 << 16 else 4
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that never joins characters across white space, a word at a time."""
 
@@ -40,27 +49,64 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.word_ends = {i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")}
+        self.code = WIDTHS[width_of(self.tokenizer.get_vocab_size())]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        words = _WORDS.findall(text)
-        found = list(map(self.young.get, words))
-        if None in found:
-            fresh = self._fresh({word for word, known in zip(words, found, strict=True) if known is None})
-            found = [known if known is not None else fresh[word] for word, known in zip(words, found, strict=True)]
-        return b"".join(found)
-
-    def _fresh(self, words: set[str]) -> dict[str, bytes]:
-        fresh = {word: known for word in words if (known := self.old.get(word)) is not None}
-        unknown = list(words - fresh.keys())
-        for word, coded in zip(unknown, self.tokenizer.encode_batch(unknown, add_special_tokens=False), strict=True):
-            fresh[word] = np.array(coded.ids, "<u4").tobytes()
+        """The ids as little-endian unsigned integers of the encoder's width."""
         if len(self.young) > MEMORY:
             self.young, self.old = {}, self.young
-        self.young.update((word, known) for word, known in fresh.items() if len(word) <= REMEMBERED)
-        return fresh
+        words = _WORDS.findall(text)
+        missing = set(words).difference(self.young)
+        if missing:
+            self._learn(missing)
+        out = b"".join(map(self.young.__getitem__, words))
+        for word in missing:
+            if len(word) > REMEMBERED:
+                del self.young[word]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Words that are not in the young generation: a sign behind letters is a token of its own, and ASCII
+        letters are lowered by any rule, so that such words share what their letters are encoded to."""
+        young, old = self.young, self.old
+        parts, unknown = [], set()
+        for word in words:
+            known = old.get(word)
+            if known is not None:
+                young[word] = known
+                continue
+            stem, sign = (word[:-1], word[-1]) if word[-1] in ".,!?:;" and word[:-1].isalpha() else (word, "")
+            if stem.isascii():
+                stem = stem.lower()
+            parts.append((word, stem, sign))
+            for piece in (stem, sign):
+                if piece and piece not in young:
+                    known = old.get(piece)
+                    if known is None:
+                        unknown.add(piece)
+                    else:
+                        young[piece] = known
+        self._encode(list(unknown))
+        for word, stem, sign in parts:
+            young[word] = young[stem] + young[sign] if sign else young[stem]
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Runs of letters are one word to the tokenizer, so they are encoded in one call and parted at the ends of words."""
+        letters = [piece for piece in pieces if piece.isalpha()]
+        ids = self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids
+        ends = [i + 1 for i, token in enumerate(ids) if token in self.word_ends]
+        if len(ends) == len(letters):
+            packed, size = array(self.code, ids).tobytes(), array(self.code).itemsize
+            begin = 0
+            for piece, end in zip(letters, ends, strict=True):
+                self.young[piece] = packed[begin * size : end * size]
+                begin = end
+            pieces = [piece for piece in pieces if not piece.isalpha()]
+        for piece, coded in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False), strict=True):
+            self.young[piece] = array(self.code, coded.ids).tobytes()
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -75,7 +121,8 @@ def _encoder(shared) -> WordEncoder:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, *, end_id: int, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the whole text's ids and ``end_id`` as packed 32-bit integers; null and empty texts have the end only.
+    """``docs`` with the whole text's ids and ``end_id`` as packed little-endian integers, of 16 bits where the vocabulary
+    allows, else of 32. Null and empty texts have the end only; a column named like ``ids`` is replaced.
 
     The tokenizer's file is read on the driver and broadcast; a vocabulary has a fixed size (here below 2 MB).
     """
@@ -84,7 +131,8 @@ def tokenize(docs: DataFrame, tokenizer: str, *, end_id: int, text: str = "text"
 
     @F.arrow_udf("binary")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, end = _encoder(shared), np.array([end_id], "<u4").tobytes()
+        encoder = _encoder(shared)
+        end = array(encoder.code, [end_id]).tobytes()
         for batch in batches:
             yield binary_array([(encoder.packed(x.as_py()) if x.is_valid else b"") + end for x in batch])
 
@@ -163,14 +211,14 @@ class Code:
         return out.T.reshape(-1)[:n]
 
 
-def count_ids(tokens: DataFrame, ids: str = "ids") -> np.ndarray:
+def count_ids(tokens: DataFrame, ids: str = "ids", width: int = 4) -> np.ndarray:
     """How often each id occurs. Tasks count, Spark adds up; one row per id of the vocabulary reaches the driver."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for blob in batch.column(0):
-                more = np.bincount(np.frombuffer(blob.as_buffer(), "<u4")) if blob.is_valid else counts[:0]
+                more = np.bincount(np.frombuffer(blob.as_buffer(), f"<u{width}")) if blob.is_valid else counts[:0]
                 if len(more) > len(counts):
                     counts, more = more, counts
                 counts[: len(more)] += more
@@ -187,14 +235,14 @@ def count_ids(tokens: DataFrame, ids: str = "ids") -> np.ndarray:
 BLOCKS = "part int, block int, n_ids long, doc_ids array<long>, doc_lengths array<long>, checkpoints binary, payload binary"
 
 
-def write(tokens: DataFrame, path: str, *, key: str = "doc_id", ids: str = "ids") -> None:
-    """Write rows of an integer key and packed ids below ``path`` in ascending order of the key, null first.
+def write(tokens: DataFrame, path: str, *, width: int, key: str = "doc_id", ids: str = "ids") -> None:
+    """Write rows of an integer key and ids packed in ``width`` bytes below ``path`` in ascending order of the key, null first.
 
     Rows that repeat a key are ordered by a checksum of their ids. Documents are never split over blocks, so a very long
     one makes a longer block. An empty table gives an empty dataset.
     """
     spark = tokens.sparkSession
-    counts = count_ids(tokens, ids)
+    counts = count_ids(tokens, ids, width)
     lengths = code_lengths(counts)
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
     shared = spark.sparkContext.broadcast(lengths)
@@ -215,7 +263,7 @@ def write(tokens: DataFrame, path: str, *, key: str = "doc_id", ids: str = "ids"
         for batch in batches:
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 keys.append(k)
-                arrays.append(np.frombuffer(blob.as_buffer(), "<u4") if blob.is_valid else np.zeros(0, "<u4"))
+                arrays.append(np.frombuffer(blob.as_buffer(), f"<u{width}") if blob.is_valid else np.zeros(0, np.uint16))
                 size += len(arrays[-1])
                 if size >= BLOCK_IDS:
                     yield flush()
@@ -233,7 +281,11 @@ def write(tokens: DataFrame, path: str, *, key: str = "doc_id", ids: str = "ids"
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a written dataset: key, packed ids, the number of ids and ``start``, the ids of all documents before."""
+    """Documents of a written dataset: key, ids packed in 32 bits, their number and ``start``, the ids of all documents before.
+
+    Where a block starts comes from the blocks' sizes alone; those numbers, a few bytes per block, meet the blocks before
+    they are decoded.
+    """
     lengths = np.frombuffer(spark.read.parquet(f"{path}/codebook").first()["lengths"], np.uint8)
     shared = spark.sparkContext.broadcast(lengths)
 
@@ -241,27 +293,27 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         code = Code(shared.value)
         for batch in batches:
             for i in range(batch.num_rows):
-                part, block, n, keys, sizes, checkpoints, payload = (batch.column(c)[i] for c in range(7))
+                before, n, keys, sizes, checkpoints, payload = (batch.column(c)[i] for c in range(6))
                 decoded = code.decode(payload.as_py(), n.as_py(), np.frombuffer(checkpoints.as_buffer(), "<u4")).astype("<u4")
                 sizes = np.array(sizes.as_py(), np.int64)
                 ends = np.cumsum(sizes)
-                rows = len(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.as_py()] * rows, pa.int32()), pa.array([block.as_py()] * rows, pa.int32()), keys.values,
-                     pa.array(ends - sizes), pa.array(sizes),
+                    [keys.values, pa.array(before.as_py() + ends - sizes), pa.array(sizes),
                      binary_array([decoded[a:b].tobytes() for a, b in zip(ends - sizes, ends, strict=True)])],
-                    names=["part", "block", "doc_id", "inside", "n_tokens", "ids"],
+                    names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
-    docs = blocks.mapInArrow(to_docs, "part int, block int, doc_id long, inside long, n_tokens long, ids binary")
     def running(window: WindowSpec) -> Column:
         return F.coalesce(F.sum("n_ids").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))  # one row per written file
     parts = parts.select(F.col("part").alias("p"), running(Window.orderBy("part")).alias("before_part"))
-    starts = blocks.join(parts, F.col("part") == F.col("p")).select(
-        "p", F.col("block").alias("b"), (F.col("before_part") + running(Window.partitionBy("part").orderBy("block"))).alias("before")
+    inside = blocks.select("part", "block", running(Window.partitionBy("part").orderBy("block")).alias("before_block"))
+    starts = inside.join(parts, F.col("part") == F.col("p")).select(
+        "p", F.col("block").alias("b"), (F.col("before_part") + F.col("before_block")).alias("before")
     )
-    joined = docs.join(starts, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b")))
-    return joined.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids")
+    starts = stored(starts, "starts")
+    placed = blocks.join(starts, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b")))
+    placed = placed.select("before", "n_ids", "doc_ids", "doc_lengths", "checkpoints", "payload")
+    return placed.mapInArrow(to_docs, "doc_id long, start long, n_tokens long, ids binary")

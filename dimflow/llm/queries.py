@@ -110,7 +110,7 @@ def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     tokens = stored(huffman.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2).drop("text"), "ids")
     path = scratch_dir(spark, "huffman")
-    huffman.write(tokens, path)
+    huffman.write(tokens, path, width=huffman.width_of(49_408))
     return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
