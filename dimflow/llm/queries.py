@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, html, huffman, mixing, pii, toxicity
+from dimflow.llm import ann, bpe, html, huffman, mixing, pii, topk, toxicity
 from dimflow.llm.common import key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
@@ -63,6 +63,29 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.filter("vec_id % 100 = 0"), 10)
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op5_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors of largest integer inner product with every fiftieth."""
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
 @query(r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
