@@ -166,6 +166,18 @@ def disclosing(
         return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
     total = docs.select(F.xxhash64(text)).distinct().count()
     with_entity = near.groupBy("entity").agg(F.count_distinct("content").alias("with_entity"))
+    held = F.log2(F.lit(float(total)) / F.col("with_entity"))
+
+    def disclosed(with_term: Column) -> Column:
+        bits = F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * with_term))
+        return F.when(held > 0, bits / held)
+
+    # A term has at least the texts where it stands near any entity. That bound rules common words out beforehand.
+    near_any = near.groupBy("term").agg(F.count_distinct("content").alias("near_any"))
+    pairs = pairs.join(with_entity, "entity").join(near_any, "term").filter(disclosed(F.col("near_any")) >= generalise)
+    pairs = stored(pairs, "pii-pairs")
+    if pairs.isEmpty():
+        return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
     words = docs.select(
         F.xxhash64(text).alias("content"),
         F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("term"),
@@ -173,11 +185,8 @@ def disclosing(
     with_term = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
         F.count_distinct("content").alias("with_term")
     )
-    weighed = pairs.join(with_entity, "entity").join(with_term, "term", "left")
-    often = F.greatest("both", F.coalesce("with_term", "both"))
-    held = F.log2(F.lit(float(total)) / F.col("with_entity"))
-    disclosed = F.log2(F.col("both") * F.lit(float(total)) / (F.col("with_entity") * often))
-    share = F.when(held > 0, disclosed / held)
+    weighed = pairs.join(with_term, "term", "left")
+    share = disclosed(F.greatest("near_any", F.coalesce("with_term", "near_any")))
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     return weighed.select("entity", "term", share.alias("share")).filter(F.col("share") >= generalise).withColumn("action", action)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import ann, bpe, html, huffman, mixing, pii, topk, toxicity
+from dimflow.llm import ann, bpe, html, huffman, minhash, mixing, pii, topk, toxicity
 from dimflow.llm.common import key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
@@ -44,6 +44,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    small_batches(spark)
+    return minhash.near_duplicates(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: From this score on a document counts as toxic.
 TOXIC = 0.7
 
