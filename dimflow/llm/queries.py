@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import ann, bpe, html, huffman, minhash, mixing, pii, topk, toxicity
+from dimflow.llm import ann, bpe, html, huffman, minhash, mixing, pii, pitman_yor, topk, toxicity
 from dimflow.llm.common import key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
@@ -144,6 +144,13 @@ def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query()
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under the Pitman-Yor model and under smoothed word counts."""
+    small_batches(spark)
+    return pitman_yor.score(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
