@@ -67,18 +67,24 @@ def mix(
     share: float = 1.5,
     cap: float = 2.0,
     seed: str = "mix",
+    prefix: str = "",
 ) -> DataFrame:
     """Every row of ``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0 up to ``cap``).
 
-    Columns of these names in the input are replaced. Null texts and texts without words have size 0; they get the
+    The names get ``prefix`` in front; columns of these names in the input are replaced. Null texts and texts without words have size 0; they get the
     copies their rank gives them, which add no words. A null source is a source of its own, after all others. Rows that
     repeat a key share its rank; where the words run out among them, only as many as needed are taken. An empty table
     gives an empty table. A source without words has target 0. Reruns agree, as ranks are hashes.
     """
-    base = docs.drop("size", "source_size", "target", "copies").withColumns(
-        {"__source": F.col(source), "size": words(text), "__u": uniform(key, seed)}
+    added = [prefix + name for name in ("size", "source_size", "target", "copies")]
+    kept = [c for c in docs.columns if c not in added]
+    base = docs.select(
+        *[F.col(c).alias(f"__in_{i}") for i, c in enumerate(kept)],
+        F.col(source).alias("__source"),
+        words(text).alias("__size"),
+        uniform(key, seed).alias("__u"),
     )
-    slim = stored(base.select(F.col("__source").alias("source"), "size", F.col("__u").alias("u")), "mix")
+    slim = stored(base.select(F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__u").alias("u")), "mix")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     goal = targets(sizes.select("source", "source_size"), weights, share, cap)
     goal = goal.alias("g").join(sizes.select(F.col("source").alias("s"), "n"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -99,12 +105,15 @@ def mix(
     split = F.coalesce((rank == F.col("last")) & (F.col("taken_at_last") < F.col("all_at_last")), F.lit(False))
     whole = matched.filter(~split).withColumn("__more", F.coalesce(rank <= F.col("last"), F.lit(False)).cast("long"))
     # Rows that repeat one key at the very end of a source's ranks, almost always none.
-    shared = Window.partitionBy("__source").orderBy("size")
+    shared = Window.partitionBy("__source").orderBy("__size")
     parted = matched.filter(split).withColumn("__more", (F.row_number().over(shared) <= F.col("taken_at_last")).cast("long"))
     return (
         whole.unionByName(parted)
-        .withColumn("copies", F.col("sure") + F.col("__more"))
-        .select(*[docs[c] for c in docs.columns if c not in ("size", "source_size", "target", "copies")], "size", "source_size", "target", "copies")
+        .withColumn("__copies", F.col("sure") + F.col("__more"))
+        .select(
+            *[F.col(f"__in_{i}").alias(c) for i, c in enumerate(kept)],
+            *[F.col(c).alias(n) for c, n in zip(("__size", "source_size", "target", "__copies"), added, strict=True)],
+        )
     )
 
 
@@ -148,7 +157,7 @@ def _cutoffs(slim: DataFrame, goal: DataFrame) -> DataFrame:
     )
 
 
-def repeat(mixed: DataFrame) -> DataFrame:
+def repeat(mixed: DataFrame, copies: str = "__copies") -> DataFrame:
     """Rows of :func:`mix` as often as the mix takes them."""
-    wanted = mixed.filter("copies > 0").withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
-    return wanted.drop("__copy")
+    wanted = mixed.filter(F.col(copies) > 0)
+    return wanted.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int")))).drop("__copy")

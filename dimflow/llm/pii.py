@@ -200,16 +200,16 @@ def detect(docs: DataFrame, *, text: str = "text", spans: str = "spans", extra:
     near = stored(mentions(docs, text=text, window=window), "pii-near")
     chosen = stored(disclosing(docs, near, text=text, **thresholds), "pii-terms")
     term = F.struct(F.lit(TERM).alias("kind"), "start", "end", "action")
-    by_content = near.join(chosen, ["entity", "term"]).groupBy(F.col("content").alias("__content")).agg(
-        F.array_sort(F.collect_set(term)).alias("__terms")  # of one text
+    by_content = near.join(chosen, ["entity", "term"]).groupBy(F.col("content").alias("__pii_content")).agg(
+        F.array_sort(F.collect_set(term)).alias("__pii_terms")  # of one text
     )
-    found = direct(docs, text=text, spans=spans).withColumn("__key", F.xxhash64(text))
-    joined = found.join(by_content, F.col("__key") == F.col("__content"), "left")
-    terms = F.coalesce("__terms", F.array().cast("array<struct<kind:string,start:int,end:int,action:string>>"))
+    found = direct(docs, text=text, spans=spans).withColumn("__pii_key", F.xxhash64(text))
+    joined = found.join(by_content, F.col("__pii_key") == F.col("__pii_content"), "left")
+    terms = F.coalesce("__pii_terms", F.array().cast("array<struct<kind:string,start:int,end:int,action:string>>"))
     joined = joined.withColumn(extra, terms)
     plain = F.transform(extra, lambda t: F.struct(t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
     joined = joined.withColumn(spans, F.concat(spans, F.array_distinct(plain)))
-    return joined.drop("__key", "__content", "__terms")
+    return joined.drop("__pii_key", "__pii_content", "__pii_terms")
 
 
 def count(spans: Column, kind: str) -> Column:
