@@ -27,7 +27,7 @@ from dimflow.llm.common import binary_array, stored
 #: Longest code in bits, ids between two checkpoints, ids aimed for in a block and in a part.
 LONGEST, STEP, BLOCK_IDS, PART_IDS = 18, 64, 1 << 16, 1 << 22
 #: Words a worker remembers, and the longest worth it (characters).
-MEMORY, REMEMBERED = 400_000, 64
+MEMORY, REMEMBERED = 700_000, 64
 
 #: Type codes of packed ids by their bytes.
 WIDTHS = {2: "H", 4: "I"}
@@ -49,7 +49,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.word_ends = {i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")}
+        self.model = self.tokenizer.model
         self.code = WIDTHS[width_of(self.tokenizer.get_vocab_size())]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -94,21 +94,27 @@ class WordEncoder:
             young[word] = young[stem] + young[sign] if sign else young[stem]
 
     def _encode(self, pieces: list[str]) -> None:
-        """Runs of letters are one word to the tokenizer, so they are encoded in one call and parted at the ends of words."""
-        letters = [piece for piece in pieces if piece.isalpha()]
-        ids = self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids
-        ends = [i + 1 for i, token in enumerate(ids) if token in self.word_ends]
-        if len(ends) == len(letters):
-            packed, size = array(self.code, ids).tobytes(), array(self.code).itemsize
-            begin = 0
-            for piece, end in zip(letters, ends, strict=True):
-                self.young[piece] = packed[begin * size : end * size]
-                begin = end
-            pieces = [piece for piece in pieces if not piece.isalpha()]
-        for piece, coded in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False), strict=True):
+        """A run of letters is one word to the tokenizer, so after normalisation its model takes it as it is."""
+        others = []
+        for piece in pieces:
+            word = piece if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
+            if piece.isalpha() and word.isalpha():
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
+                self.young[piece] = array(self.code, [token.id for token in self.model.tokenize(spelled)]).tobytes()
+            else:
+                others.append(piece)
+        for piece, coded in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False), strict=True):
             self.young[piece] = array(self.code, coded.ids).tobytes()
 
 
+def _byte_signs() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from 256."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in prints)}
+
+
+_BYTE_SIGNS = _byte_signs()
+
 _ENCODERS: dict[int, WordEncoder] = {}
 
 
