@@ -78,7 +78,7 @@ class WordEncoder:
             if known is not None:
                 young[word] = known
                 continue
-            stem, sign = (word[:-1], word[-1]) if word[-1] in ".,!?:;" and word[:-1].isalpha() else (word, "")
+            stem, sign = (word[:-1], word[-1]) if word[-1] in ".,!?:;" and self._normal(word[:-1]).isalpha() else (word, "")
             if stem.isascii():
                 stem = stem.lower()
             parts.append((word, stem, sign))
@@ -93,11 +93,14 @@ class WordEncoder:
         for word, stem, sign in parts:
             young[word] = young[stem] + young[sign] if sign else young[stem]
 
+    def _normal(self, word: str) -> str:
+        return word if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
+
     def _encode(self, pieces: list[str]) -> None:
         """A run of letters is one word to the tokenizer, so after normalisation its model takes it as it is."""
         others = []
         for piece in pieces:
-            word = piece if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
+            word = self._normal(piece)
             if piece.isalpha() and word.isalpha():
                 spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
                 self.young[piece] = array(self.code, [token.id for token in self.model.tokenize(spelled)]).tobytes()

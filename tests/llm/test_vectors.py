@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import duckdb
+import numpy as np
+import pytest
+
+from dimflow.llm import ann, topk
+from dimflow.llm.queries import QUERIES, SQL
+
+BAD = [(9001, None), (9002, []), (9003, [float("nan")] * 8), (9004, [None] * 8), (9005, [float("inf")] * 8), (None, [1.0] * 8)]
+SCHEMA = "vec_id long, embedding array<float>, label string"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(6, 8))
+    data = (centres[rng.integers(0, 6, 900)] + rng.normal(scale=0.5, size=(900, 8))).astype(np.float32)
+    data[300:420] = data[300]  # one vector many times
+    return {i: x for i, x in enumerate(data)}
+
+
+@pytest.fixture(scope="module")
+def vectors(spark, rows):
+    listed = [(i, [float(c) for c in x], "a") for i, x in rows.items()]
+    extra = [(i, x, "b") for i, x in BAD] + [(7000, [0.0] * 8, "zero"), (7001, [1.0, 2.0], "short"), listed[0], listed[5]]
+    return spark.createDataFrame([*listed, *extra], SCHEMA)
+
+
+def test_top_products_equal_brute_force(vectors, rows):
+    found = topk.search(vectors, vectors.filter("vec_id % 50 = 0"), 5).collect()
+    ids = np.array([*rows, 7000])
+    data = np.floor(256 * np.array([*rows.values(), np.zeros(8)], np.float64))
+    expected = []
+    for q in [i for i in ids if i % 50 == 0]:
+        scores = data @ data[list(ids).index(q)]
+        order = [k for k in np.lexsort((ids, -scores)) if ids[k] != q][:5]
+        expected += [(int(q), rank, int(ids[k]), int(scores[k])) for rank, k in enumerate(order, 1)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found) == sorted(expected)
+
+
+def test_small_blocks_change_nothing(vectors, monkeypatch):
+    queries = vectors.filter("vec_id % 100 = 0")
+    before = sorted(map(tuple, topk.search(vectors, queries, 3).collect()))
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    assert sorted(map(tuple, topk.search(vectors, queries, 3).collect())) == before
+
+
+def test_the_threshold_stops_early():
+    rng = np.random.default_rng(1)
+    data = np.floor(rng.exponential(40, size=(4000, 3)))
+    lists = topk.Lists(np.arange(4000), data)
+    for q in range(20):
+        query = np.array([5.0, 0.0, 1.0]) if q % 2 else data[q]
+        ids, scores = lists.search(q, query, 5)
+        every = data @ query
+        every[q] = -1
+        assert list(ids) == list(np.lexsort((np.arange(4000), -every))[:5]) and list(scores) == list(every[ids])
+
+
+def test_top_products_query_equals_sql(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    found = QUERIES["op5_top_products"](spark, sf_dir)
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+        result = duck.execute(SQL["op5_top_products"])
+        names = [c[0] for c in result.description]
+        expected = sorted(result.fetchall())
+    assert sorted(tuple(r) for r in found.select(*names).collect()) == expected
+
+
+def nearest(rows, q, k):
+    away = {i: float(np.sqrt(((x.astype(np.float64) - rows[q].astype(np.float64)) ** 2).sum())) for i, x in rows.items() if i != q}
+    return sorted(away.items(), key=lambda pair: (pair[1], pair[0]))[:k]
+
+
+def test_neighbours_and_recall(vectors, rows):
+    found = ann.search(vectors, vectors.filter("vec_id % 50 = 0"), 10).collect()
+    hits = 0
+    queries = [i for i in rows if i % 50 == 0]
+    for q in queries:
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
+        assert [r[0] for r in own] == list(range(1, 11))
+        assert own == sorted(own, key=lambda r: (r[2], r[1]))
+        expected = dict(nearest(rows, q, len(rows)))
+        assert all(score == pytest.approx(expected[i], abs=1e-12) for _, i, score in own)
+        hits += len({i for _, i, _ in own} & {i for i, _ in nearest(rows, q, 10)})
+    assert hits / (10 * len(queries)) >= 0.9
+    assert {r["query_id"] for r in found} == set(queries)
+
+
+def test_large_leaves_are_scanned_in_parts(vectors, rows, monkeypatch):
+    monkeypatch.setattr(ann, "PART", 30)
+    found = ann.search(vectors, vectors.filter("vec_id = 300"), 10).collect()
+    assert sorted(r["vec_id"] for r in found) == list(range(301, 311))
+    assert all(r["score"] == 0.0 for r in found)
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    few = spark.createDataFrame([(1, [1.0, 0.0], "x"), (2, [0.0, 1.0], "x"), (3, [0.0, 0.0], "x")], SCHEMA)
+    assert [tuple(r)[:3] for r in ann.search(few, few.filter("vec_id = 1"), 10).collect()] == [(1, 1, 2)]
+    assert [tuple(r) for r in topk.search(few, few.filter("vec_id = 1"), 5).collect()] == [(1, 1, 2, 0), (1, 2, 3, 0)]
+    none = few.filter("vec_id > 5")
+    assert ann.search(none, none, 10).count() == topk.search(none, none, 5).count() == 0
+
+
+def test_best_bin_first_visits_every_leaf_once():
+    tree = ann.fit(np.random.default_rng(2).normal(size=(2000, 4)), 10)
+    assert sorted(tree.visit(np.zeros(4))) == list(range(tree.leaves)) and tree.leaves > 20
