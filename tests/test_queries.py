@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from dimflow.plans.base import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -37,7 +38,7 @@ def table(names, data):
     return [names[i] for i in order], sorted([value(row[i]) for i in order] for row in data)
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_matches_sql(spark, duck, name):
     df = registry.queries()[name](spark, SF_DIR)
     result = duck.execute(registry.oracle_sql()[name])
