@@ -234,13 +234,17 @@ def extract(
     seen = titles.select("__host", "title", F.explode("subtrees").alias("subtree"))
     counts = seen.groupBy("__host", "subtree").agg(F.count_distinct("title").alias("n")).filter(F.col("n") >= least)
     template = counts.join(sizes, "__host").filter(F.col("n") >= share * F.col("pages")).select("__host", "subtree")
-    # What recurs on a page is looked up for blocks that are left, so pages whose blocks are in no subtree need nothing.
+    # What recurs on a page is looked up for blocks that are left, so pages whose blocks are in no counted subtree are not shuffled.
     inside = parsed.select("__page", "__host", F.explode(F.array_distinct(F.flatten("__parsed.blocks.around"))).alias("subtree"))
     repeated = inside.distinct().join(template, ["__host", "subtree"]).groupBy(F.col("__page").alias("__of")).agg(
         F.collect_set("subtree").alias("__template")  # of one page
     )
-    joined = parsed.join(repeated, F.col("__page") == F.col("__of"), "left")
-    blocks = F.filter(
-        "__parsed.blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("__template")), F.lit(False))
-    )
-    return joined.select(*kept, F.array_join(F.transform(blocks, lambda b: b["text"]), "\n").alias(out))
+    blocks = F.col("__parsed.blocks")
+    enclosed = F.exists(blocks, lambda b: F.size(b["around"]) > 0)
+
+    def text(blocks: Column) -> Column:
+        return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n").alias(out)
+
+    met = parsed.filter(enclosed).join(repeated, F.col("__page") == F.col("__of"), "left")
+    left = F.filter(blocks, lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("__template")), F.lit(False)))
+    return parsed.filter(~enclosed).select(*kept, text(blocks)).unionByName(met.select(*kept, text(left)))
