@@ -118,20 +118,18 @@ class DimRef:
 def build_star(fact: DataFrame, refs: Sequence[DimRef]) -> DataFrame:
     """``fact`` with the attributes of its current dimension rows.
 
-    A versioned dimension has at most one active row per key; a dimension without
-    versions is reduced to one row per key. ``<name>_orphan`` is True where a foreign key has no current row; a NULL foreign
-    key refers to nothing and is not an orphan.
+    Of several active rows of a key, or rows of a dimension without versions, one counts.
+    ``<name>_orphan`` is True where a foreign key has no current row; a NULL foreign key
+    refers to nothing and is not an orphan.
     """
     columns = list(fact.columns)
     star = fact
     for ref in refs:
-        versioned = ref.active in ref.dim.columns
-        dim = ref.dim.where(ref.active) if versioned else ref.dim
+        dim = ref.dim.where(ref.active) if ref.active in ref.dim.columns else ref.dim
         found = f"__{ref.name}_found"
         star = lookup_join(
             star, dim.select(ref.key, *ref.attributes, F.lit(True).alias(found)),
             {ref.foreign_key: ref.key}, {**ref.attributes, found: found},
-            unique=versioned,
         )
         columns += [*ref.attributes.values(), f"{ref.name}_orphan"]
         star = star.withColumn(f"{ref.name}_orphan", F.col(ref.foreign_key).isNotNull() & F.col(found).isNull())
@@ -154,19 +152,28 @@ def build_claim_fact(
 
 
 def claim_summary(
-    fact: DataFrame, by: Sequence[str], claimed: str = "claim_amount", approved: str = "approved_amount"
+    claims: DataFrame,
+    by: Sequence[str],
+    lookups: Sequence[DimRef] = (),
+    claimed: str = "claim_amount",
+    approved: str = "approved_amount",
 ) -> DataFrame:
     """Claim counts and amounts per ``by``, with the subtotals of each drill-down level.
 
-    Claims are summed per full group first, so the roll-up multiplies groups, not claims.
+    ``by`` may name attributes of ``lookups``. Claims are summed per foreign key and own column
+    first, so attributes are joined to groups and the roll-up multiplies groups, not claims.
     """
-    groups = fact.groupBy(*by).agg(
+    looked_up = {out for ref in lookups for out in ref.attributes.values()}
+    own = [c for c in by if c not in looked_up]
+    groups = claims.groupBy(*dict.fromkeys([*own, *(ref.foreign_key for ref in lookups)])).agg(
         F.count(F.lit(1)).alias("claims"), F.sum(claimed).alias("claimed"), F.sum(approved).alias("approved")
     )
+    kinds = groups.schema
+    groups = build_star(groups, lookups)
     totals = groups.rollup(*by).agg(
         F.grouping_id().cast("int").alias("level"), *(F.sum(c).alias(c) for c in ("claims", "claimed", "approved"))
     )
-    return totals.withColumns({c: F.col(c).cast(groups.schema[c].dataType) for c in ("claims", "claimed", "approved")})
+    return totals.withColumns({c: F.col(c).cast(kinds[c].dataType) for c in ("claims", "claimed", "approved")})
 
 
 def fk_orphans(fact: DataFrame, dim: DataFrame, foreign_key: str, key: str) -> DataFrame:

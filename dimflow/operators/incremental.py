@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, TimestampType
 
+from dimflow import storage
 from dimflow.functions.predicates import all_present
 from dimflow.operators.dedup import dedup_by_key
 from dimflow.schemas import AUDIT
@@ -42,6 +43,17 @@ def audit_rows(loaded: DataFrame, job: str, run_id: str, ts_col: str) -> DataFra
     )
 
 
+def keyed_increment(source: DataFrame, audit: DataFrame, job: str, ts_col: str, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """Rows at or after the job's last watermark, and rows without a stamp, whose keys ``target`` lacks.
+
+    So a row that arrives late with the stamp of the mark, or with none, is loaded once. One
+    row per key is taken; rows without a key are not loaded.
+    """
+    mark = high_water_mark(audit, job, source.schema[ts_col].dataType)
+    fresh = source if mark is None else source.where((F.col(ts_col) >= mark) | F.col(ts_col).isNull())
+    return insert_ignore(target if target is not None else source.limit(0), fresh, keys)
+
+
 def run_incremental(
     spark: SparkSession,
     source: DataFrame,
@@ -51,18 +63,27 @@ def run_incremental(
     run_id: str,
     ts_col: str,
     compact_files: bool = False,
+    keys: Sequence[str] = (),
 ) -> int:
     """Load the increment into ``target_path/run_id=<run_id>`` and record it; returns its row count.
 
-    The watermark is the maximum over the rows written, and the audit row is appended
-    only after the write succeeded. A run that failed before that can be repeated: it
-    replaces its own output. A run already recorded, or with nothing new, writes nothing.
+    Without ``keys`` the increment is what is newer than the watermark; rows without a stamp
+    cannot be told from loaded ones and are left out in every run. With ``keys`` it is
+    :func:`keyed_increment`, which takes late rows as well. The watermark is the maximum over
+    the rows written, or the one before if none had a stamp. The audit row is appended in
+    every run, only after the write succeeded. A run that failed before that can be
+    repeated: it replaces its own output. A run already recorded writes nothing.
     """
     audit = read_table(spark, "parquet", {"path": audit_path}, schema=AUDIT, missing_ok=True)
     if not audit.where((F.col("jobname") == job) & (F.col("runid") == run_id)).isEmpty():
         return 0
-    increment = incremental_extract(source, audit, job, ts_col)
+    if keys:
+        loaded = spark.read.parquet(target_path) if storage.exists(spark, target_path) else None
+        increment = keyed_increment(source, audit, job, ts_col, loaded, keys)
+    else:
+        increment = incremental_extract(source.where(F.col(ts_col).isNotNull()), audit, job, ts_col)
     if increment.isEmpty():
+        _record(spark, audit, audit_path, job, run_id, None)
         return 0
     # Directly under the write, the metrics count each written row once even if tasks are retried.
     written = Observation(f"{job}-{run_id}")
@@ -70,13 +91,16 @@ def run_incremental(
         written, F.count(F.lit(1)).alias("row_count"), F.max(ts_col).cast("timestamp").cast("string").alias("mark")
     )
     write_table(observed, "parquet", {"path": f"{target_path}/run_id={run_id}"}, mode="overwrite")
-    count, mark = written.get["row_count"], written.get["mark"]
-    if mark is not None:
-        row = spark.range(1, numPartitions=1).select(
-            F.lit(job).alias("jobname"), F.lit(run_id).alias("runid"), F.lit(mark).cast("timestamp").alias("lastrundate")
-        )
-        write_table(row, "parquet", {"path": audit_path}, mode="append")
-    return count
+    _record(spark, audit, audit_path, job, run_id, written.get["mark"])
+    return written.get["row_count"]
+
+
+def _record(spark: SparkSession, audit: DataFrame, audit_path: str, job: str, run_id: str, mark: str | None) -> None:
+    """Append the run's audit row; a run without stamps repeats the job's last mark."""
+    before = audit.where(F.col("jobname") == job).agg(F.unix_micros(F.max("lastrundate"))).first()[0]
+    last = F.greatest(F.lit(mark).cast("timestamp"), F.timestamp_micros(F.lit(before).cast("long")))
+    row = spark.range(1, numPartitions=1).select(F.lit(job).alias("jobname"), F.lit(run_id).alias("runid"), last.alias("lastrundate"))
+    write_table(row, "parquet", {"path": audit_path}, mode="append")
 
 
 def insert_ignore(
@@ -84,7 +108,10 @@ def insert_ignore(
 ) -> DataFrame:
     """The incoming rows whose keys the target lacks, the first of each key.
 
-    Target keys are reduced map-side, so a key the target repeats is shuffled once per task.
+    The target is reduced to the incoming keys it has before anything of it is shuffled for the
+    anti join; where the incoming keys are few they are broadcast, and the target is only scanned.
     """
     first = dedup_by_key(incoming.where(all_present(keys)), keys, order_by)
-    return first.join(target.select(*keys).distinct(), list(keys), "left_anti").select(*incoming.columns)
+    wanted = incoming.where(all_present(keys)).select(*keys).distinct()
+    known = target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
+    return first.join(known, list(keys), "left_anti").select(*incoming.columns)

@@ -1,12 +1,7 @@
-"""Lookup joins whose fact side may be dominated by a few keys.
+"""Lookup joins and uniqueness flags as plain joins.
 
-A dimension small enough for Catalyst to broadcast joins without a shuffle, so a
-hot key does no harm. Beyond that size the fact side is shuffled by key, and one
-key holding a third of the rows would land in one task. There the heaviest keys
-(a fixed number of them) are joined by broadcast, and their rows - with the rows
-whose key is NULL - are scattered over all shuffle partitions instead of meeting
-on their key. Which keys are heaviest is estimated; the result does not depend on
-it, and every row is kept either way.
+Catalyst broadcasts a small side; a larger one is joined by sort and merge, and adaptive execution splits the tasks of a
+key that holds many rows (``session.py`` turns that on for all joins).
 """
 
 from __future__ import annotations
@@ -15,65 +10,32 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from dimflow.functions.predicates import all_present, any_missing
+from dimflow.functions.predicates import all_present
 from dimflow.operators.dedup import dedup_by_key
 
-# Keys joined by broadcast, and the counters of the sketch that finds them: it always
-# sees a key that holds more than 1 in 6000 of the rows.
-HOT_KEYS = 1000
-SKETCH_SIZE = 8192
-# Sketches are merged in this many groups before the last merge.
-MERGE_GROUPS = 256
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, the one it holds against the broadcast threshold."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when Catalyst itself would broadcast ``df``."""
-    if limit is None:
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return limit > 0 and estimated_bytes(df) <= limit
-
 
 def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Mapping[str, str],
-    columns: Mapping[str, str],
-    *,
-    null_safe: bool = False,
-    unique: bool = False,
-    broadcast_limit: int | None = None,
+    fact: DataFrame, dim: DataFrame, on: Mapping[str, str], columns: Mapping[str, str], *, null_safe: bool = False
 ) -> DataFrame:
     """Left join ``columns`` (dim name -> output name) of ``dim`` onto ``fact``.
 
-    ``on`` maps fact columns to dim columns. A dim with repeated keys is first
-    reduced to one row per key, so the fact never fans out; pass ``unique=True``
-    when its keys are known to be unique. With ``null_safe`` NULL keys match each
-    other. ``broadcast_limit`` (bytes) replaces the session's broadcast threshold;
-    0 never broadcasts the dim.
+    ``on`` maps fact columns to dim columns. The dim is reduced to one row per key, so the fact never fans out. With
+    ``null_safe`` NULL keys match each other.
     """
     clash = set(columns.values()) & set(fact.columns)
     if clash:
         raise ValueError(f"lookup columns {sorted(clash)} already exist in the fact")
-    fact_keys = list(on)
     side_keys = [f"__key{i}" for i in range(len(on))]
     if not null_safe:
         dim = dim.where(all_present(on.values()))
-    if not unique:
-        dim = dedup_by_key(dim, list(on.values()))
     side = dim.select(
         *(F.col(d).alias(k) for d, k in zip(on.values(), side_keys)),
         *(F.col(c).alias(out) for c, out in columns.items()),
     )
-    if fits_broadcast(side, broadcast_limit):
-        return fact.join(side, _match(fact, side, fact_keys, side_keys, null_safe), "left").drop(*side_keys)
-    return _split_hot_keys(fact, side, fact_keys, side_keys, list(columns.values()), null_safe)
+    side = dedup_by_key(side, side_keys)
+    return fact.join(side, _match(fact, side, list(on), side_keys, null_safe), "left").drop(*side_keys)
 
 
 def _match(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool) -> Column:
@@ -81,80 +43,13 @@ def _match(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_ke
     return reduce(and_, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
 
 
-def _split_hot_keys(
-    fact: DataFrame, side: DataFrame, fact_keys: list[str], side_keys: list[str], outputs: list[str], null_safe: bool
-) -> DataFrame:
-    hot = F.broadcast(hot_key_hashes(fact, fact_keys))
-    hashed_side = side.withColumn("__hash", F.xxhash64(*side_keys))
-    hot_names = [f"__hot_{c}" for c in (*side_keys, *outputs)]
-    # At most HOT_KEYS rows: the dim has one row per key.
-    hot_side = F.broadcast(hashed_side.join(hot, "__hash", "left_semi").drop("__hash").toDF(*hot_names))
-
-    marked = (
-        fact.withColumn("__hash", F.xxhash64(*fact_keys))
-        .join(hot.withColumn("__is_hot", F.lit(True)), "__hash", "left")
-        .join(hot_side, _match(fact, hot_side, fact_keys, hot_names, null_safe), "left")
-    )
-    is_hot = F.col("__is_hot").isNotNull()
-    settled = is_hot if null_safe else is_hot | any_missing(fact_keys)
-    marked = marked.withColumn("__place", _place(settled, fact_keys, fact.columns))
-    rest = side.withColumn("__side_place", _place(F.lit(False), side_keys, side_keys))
-    same_place = marked["__place"] == rest["__side_place"]
-    joined = marked.join(rest, same_place & _match(marked, rest, fact_keys, side_keys, null_safe), "left")
-    return joined.select(
-        *fact.columns, *(F.when(is_hot, F.col(f"__hot_{c}")).otherwise(F.col(c)).alias(c) for c in outputs)
-    )
-
-
-def _place(settled: Column, keys: Sequence[str], columns: Sequence[str]) -> Column:
-    """Where a row is shuffled to: an even hash of its key, or an odd one that spreads settled rows.
+def flag_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add boolean ``name``: False on every member of a group that shares ``keys``; NULL keys compare equal.
 
-    The odd hash covers the whole row and its input partition, so even copies of one
-    row are spread, and a repeated task sends each row where it went before.
+    Groups are counted with map-side combining, and only keys that repeat are joined back.
     """
-    odd, even = F.lit(1).cast("long"), F.lit(-2).cast("long")
-    return F.when(settled, F.xxhash64(*columns, F.spark_partition_id()).bitwiseOR(odd)).otherwise(
-        F.xxhash64(*keys).bitwiseAND(even)
-    )
-
-
-def hot_key_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``__hash`` (xxhash64 of the key) of the at most ``HOT_KEYS`` most frequent keys.
-
-    Found by a frequent-items sketch of fixed size per task, so no key is shuffled.
-    """
-    partials = (
-        df.select(F.xxhash64(*keys).alias("hash"))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate(hash, {SKETCH_SIZE})").alias("sketch"))
-    )
-    # Grouped by a constant: the sketch functions do not take empty partitions in a global aggregate.
-    merged = partials.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_SIZE})").alias("sketch"))
-    return merged.select(F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_KEYS}))")).select(
-        F.col("item").alias("__hash")
-    )
-
-
-def flag_unique(df: DataFrame, keys: Sequence[str], name: str, broadcast_limit: int | None = None) -> DataFrame:
-    """Add boolean ``name``: False on every member of a group that shares ``keys``.
-
-    NULL keys compare equal. Groups are counted by a window. In data above the
-    broadcast threshold the heaviest keys are counted apart, with map-side combining,
-    and their rows are spread over all tasks instead of gathering in one.
-    """
-    count = F.count(F.lit(1))
-    if fits_broadcast(df, broadcast_limit):
-        return df.withColumn(name, count.over(Window.partitionBy(*keys)) == 1)
-    hot_names = [f"__hot{i}" for i in range(len(keys))]
-    hot_counts = (
-        df.select(F.xxhash64(*keys).alias("__hash"), *keys)
-        .join(F.broadcast(hot_key_hashes(df, keys)), "__hash", "left_semi")
-        .groupBy(*(F.col(k).alias(h) for k, h in zip(keys, hot_names)))
-        .agg(count.alias("__hot_count"))
-    )
-    marked = df.join(F.broadcast(hot_counts), _match(df, hot_counts, keys, hot_names, null_safe=True), "left")
-    is_hot = F.col("__hot_count").isNotNull()
-    placed = marked.withColumn("__place", _place(is_hot, keys, df.columns))
-    together = count.over(Window.partitionBy("__place", *keys))
-    alone = F.when(is_hot, F.col("__hot_count") == 1).otherwise(together == 1)
-    return placed.select(*df.columns, alone.alias(name))
+    repeated = [f"__key{i}" for i in range(len(keys))]
+    counts = df.groupBy(*(F.col(k).alias(r) for k, r in zip(keys, repeated))).agg(F.count(F.lit(1)).alias("__count"))
+    counts = counts.where("__count > 1")
+    joined = df.join(counts, _match(df, counts, keys, repeated, null_safe=True), "left")
+    return joined.select(*(df[c] for c in df.columns), F.col("__count").isNull().alias(name))

@@ -21,27 +21,16 @@ from dimflow.schemas import conform
 ABSENT_POLICIES = ("keep", "expire", "drop")
 
 
-def _sides(dim: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool) -> DataFrame:
+def _sides(dim: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Dimension and source rows side by side: ``d_*`` and ``s_*``, one row per key.
 
-    ``in_dim`` and ``in_src`` are NULL where a side has no row. A small source is
-    broadcast, which leaves the dimension unshuffled; otherwise it is a full outer join.
+    ``in_dim`` and ``in_src`` are NULL where a side has no row.
     """
     d = dim.select(*keys, *(F.col(c).alias(f"d_{c}") for c in dim.columns if c not in keys), F.lit(True).alias("in_dim"))
     s = source.select(
         *keys, *(F.col(c).alias(f"s_{c}") for c in source.columns if c not in keys), F.lit(True).alias("in_src")
     )
-    on = list(keys)
-    if not small_source:
-        return d.join(s, on, "full_outer")
-    matched = d.select(*on).join(F.broadcast(s.select(*on)), on, "left_semi")
-    new = s.join(F.broadcast(matched), on, "left_anti")
-    return d.join(F.broadcast(s), on, "left").unionByName(new, allowMissingColumns=True)
-
-
-def _at_most(df: DataFrame, row_count: int | None) -> bool:
-    """Count no further than ``row_count``; None means no limit was proven."""
-    return row_count is not None and df.limit(row_count + 1).count() <= row_count
+    return d.join(s, list(keys), "full_outer")
 
 
 def _same(columns: Sequence[str]) -> Column:
@@ -71,7 +60,6 @@ def scd2_merge(
     absent: str = "keep",
     order_by: Sequence[Column | str] = (),
     unique_source: bool = False,
-    small_source_rows: int | None = None,
     include_history: bool = True,
 ) -> DataFrame:
     """The dimension after merging ``source`` at ``as_of``.
@@ -80,20 +68,18 @@ def scd2_merge(
     a new key is opened. Keys missing from the source follow ``absent``: kept, closed
     ("expire") or removed ("drop"). Closed versions pass through untouched, or are
     left out with ``include_history=False`` when the caller stores them apart.
-    Source rows without a key are ignored. ``dim=None`` is the first load. A source
-    counted to hold at most ``small_source_rows`` rows is broadcast.
+    Source rows without a key are ignored. ``dim=None`` is the first load.
     """
     if absent not in ABSENT_POLICIES:
         raise ValueError(f"absent must be one of {ABSENT_POLICIES}, not {absent!r}")
     keys = list(spec.key)
-    small_source = dim is not None and _at_most(source, small_source_rows)
     source = _one_per_key(conform(source, spec.schema), keys, order_by, unique_source)
     if dim is None:
         return scd2_first_load(source, spec, as_of)
     dim = conform(dim, spec.dim_schema)
     is_open = F.coalesce(F.col(spec.active), F.lit(False)) & all_present(keys)
 
-    rows = _sides(dim.where(is_open), source, keys, small_source)
+    rows = _sides(dim.where(is_open), source, keys)
     if absent == "drop":
         rows = rows.where("in_src")
     rows = rows.withColumn(
@@ -141,7 +127,6 @@ def scd1_merge(
     stamp_type: DataType = DateType(),
     order_by: Sequence[Column | str] = (),
     unique_source: bool = False,
-    small_source_rows: int | None = None,
 ) -> DataFrame:
     """``dim`` with changed rows overwritten and new rows inserted.
 
@@ -151,10 +136,9 @@ def scd1_merge(
     """
     keys = list(keys)
     attributes = [c for c in dim.columns if c not in (*keys, inserted, updated)]
-    small_source = _at_most(source, small_source_rows)
     source = _one_per_key(source.select(*keys, *attributes), keys, order_by, unique_source)
     has_key = all_present(keys)
-    rows = _sides(dim.where(has_key), source, keys, small_source)
+    rows = _sides(dim.where(has_key), source, keys)
 
     is_new = F.col("in_dim").isNull()
     changed = F.col("in_dim") & F.col("in_src") & ~_same(tracked)

@@ -115,13 +115,6 @@ for _policy in ("expire", "drop"):
         _scd2_sql(BINDINGS["customer"], ENTITIES["customer"], absent=_policy),
     )
 
-# The same merge with a source small enough to broadcast; a larger one falls back to the full outer join.
-register(
-    "scd2_small_source",
-    partial(_scd2, entity="provider", small_source_rows=100_000),
-    _scd2_sql(BINDINGS["provider"], ENTITIES["provider"]),
-)
-
 
 @query(_scd2_sql(BINDINGS["policy"], ENTITIES["policy"], first_load=True))
 def scd2_first_load(spark, sf_dir):

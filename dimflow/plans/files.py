@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from dimflow import storage
 from dimflow.functions.rules import Rule
 from dimflow.plans.base import load, query
-from dimflow.sources.files import convert_to_parquet
+from dimflow.schemas import conform
+from dimflow.sources.files import archive_loaded, convert_to_parquet
 from dimflow.sources.files import merge_csv as merge_files
 from dimflow.sources.jdbc import export_table as export
 from dimflow.sources.tables import read_csv, read_json, read_table, write_csv, write_parquet, write_table
@@ -18,8 +19,8 @@ from dimflow.streaming.ingest import file_stream, ingest_stream as run_ingest, v
 
 _ORDERS = "SELECT * FROM orders"
 _ORDERS_TEXT = "SELECT " + ", ".join(
-    f"CAST({c} AS string) AS {c}" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-) + " FROM orders"
+    f"CAST({c} AS string) AS {c}" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+) + ", strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate FROM orders"
 
 
 def _orders_csv(spark, sf_dir):
@@ -38,7 +39,7 @@ def csv_scan_typed(spark, sf_dir):
 @query(_ORDERS_TEXT)
 def csv_scan_strings(spark, sf_dir):
     path, _ = _orders_csv(spark, sf_dir)
-    return read_csv(spark, path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return read_csv(spark, path)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -56,6 +57,28 @@ def json_lines_scan(spark, sf_dir):
     return read_json(spark, path, orders.schema)
 
 
+@query("SELECT * FROM customer")
+def json_array_scan(spark, sf_dir):
+    """JSON documents of one array each, over many lines."""
+    path = storage.scratch_dir(spark, "customer_arrays")
+    customer = load(spark, sf_dir, "customer")
+    record = F.to_json(F.struct(*customer.columns))
+    documents = customer.groupBy(F.pmod("c_custkey", F.lit(20)).alias("part")).agg(F.collect_list(record).alias("records"))
+    text = documents.select("part", F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]")).alias("value"))
+    text.write.partitionBy("part").text(path)
+    return read_json(spark, path, customer.schema, multi_line=True).select(*customer.columns)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def seed_rows(spark, sf_dir):
+    """Seed rows from a CSV into a typed table."""
+    root = storage.scratch_dir(spark, "seed")
+    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    write_csv(nation, f"{root}/raw")
+    write_table(conform(read_csv(spark, f"{root}/raw"), nation.schema), "parquet", {"path": f"{root}/table"})
+    return spark.read.parquet(f"{root}/table")
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
 def parquet_scan(spark, sf_dir):
     orders = read_table(spark, "parquet", {"path": f"{sf_dir}/orders.parquet"})
@@ -116,11 +139,29 @@ def convert_manifest(spark, sf_dir):
     return manifest.groupBy("format", "status").agg(F.sum("row_count").alias("row_count"))
 
 
-@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+@query("""
+    SELECT 'json' AS format, CAST(c_custkey AS string) AS id, c_name AS name, c_mktsegment AS kind FROM customer
+    UNION ALL SELECT 'csv', CAST(o_orderkey AS string), o_orderstatus, o_orderpriority FROM orders
+""")
 def convert_rows(spark, sf_dir):
+    """The rows of both converted tables."""
+    _, manifest = _converted(spark, sf_dir)
+    found = []
+    for fmt, columns in (("json", ("c_custkey", "c_name", "c_mktsegment")), ("csv", ("o_orderkey", "o_orderstatus", "o_orderpriority"))):
+        paths = [r.target for r in manifest.where(F.col("format") == fmt).where("status = 'loaded'").select("target").collect()]
+        names = (F.col(c).cast("string").alias(n) for c, n in zip(columns, ("id", "name", "kind")))
+        found.append(spark.read.parquet(*paths).select(F.lit(fmt).alias("format"), *names))
+    return found[0].unionByName(found[1])
+
+
+@query(_ORDERS)
+def archived_files(spark, sf_dir):
+    """Loaded files move to the archive as they are, and only those."""
     root, manifest = _converted(spark, sf_dir)
-    paths = [r.target for r in manifest.where("status = 'loaded' AND format = 'json'").select("target").collect()]
-    return spark.read.parquet(*paths).select("c_custkey", "c_name", "c_mktsegment")
+    moved = archive_loaded(spark, manifest, f"{root}/raw", f"{root}/archive", "2024-06-30")
+    if moved != manifest.where("status = 'loaded'").count() or not storage.list_names(spark, f"{root}/raw/part"):
+        raise RuntimeError("files were left behind or moved that must stay")
+    return read_csv(spark, f"{root}/archive/RAW_ARCHIVE/2024-06-30/orders", load(spark, sf_dir, "orders").schema)
 
 
 @query(_ORDERS)

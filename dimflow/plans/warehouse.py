@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dimflow import storage
 from dimflow.entities import ENTITIES
 from dimflow.operators.facts import (
-    build_claim_fact, build_fact_events, explode_carts, with_product_hash,
+    DimRef, build_claim_fact, build_fact_events, explode_carts, with_product_hash,
 )
 from dimflow.operators.facts import claim_summary as summarise_claims
 from dimflow.operators.facts import daily_user_metrics as user_metrics
@@ -146,7 +146,7 @@ _LOOKUP_SQL = f"""
 def event_type_lookup(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     types = event_types(spark, sf_dir)
-    return lookup_join(events, types, {"event_type": "event_type_name"}, {"event_type_key": "event_type_key"}, unique=True)
+    return lookup_join(events, types, {"event_type": "event_type_name"}, {"event_type_key": "event_type_key"})
 
 
 @query("""
@@ -156,15 +156,13 @@ def event_type_lookup(spark, sf_dir):
     LEFT JOIN part ON pk = p_partkey
 """)
 def skewed_lookup(spark, sf_dir):
-    """A lookup too large to broadcast, where one key and NULL hold much of the fact."""
+    """A lookup where one key and NULL hold much of the fact; adaptive execution splits them."""
     key = "CASE WHEN l_linenumber <= 2 THEN CAST(1 AS bigint) WHEN l_linenumber = 3 THEN NULL ELSE l_partkey END AS pk"
     lines = load(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", key
     )
     part = load(spark, sf_dir, "part")
-    return lookup_join(
-        lines, part, {"pk": "p_partkey"}, {"p_name": "p_name", "p_brand": "p_brand"}, unique=True, broadcast_limit=0
-    ).drop("pk")
+    return lookup_join(lines, part, {"pk": "p_partkey"}, {"p_name": "p_name", "p_brand": "p_brand"}).drop("pk")
 
 
 # --- claims -------------------------------------------------------------------------------
@@ -180,6 +178,8 @@ _CLAIMS = {
     "claim_type": "l_returnflag",
     "claim_status": "l_linestatus",
     "claim_amount": "CAST(l_extendedprice AS decimal(14,2))",
+    "submission_channel": "l_linestatus",
+    "inserted_at": "l_shipdate",
     "approved_amount": "CAST(CAST(l_extendedprice AS decimal(14,2)) * (1 - CAST(l_discount AS decimal(4,2))) AS decimal(14,2))",
 }
 _STAR = (("customer", "state", "customer_state"), ("policy", "policy_type", "policy_type"),
@@ -200,24 +200,23 @@ _STAR_SQL = (
 )
 
 
-def _claim_fact(spark, sf_dir):
+@query(f"{_STAR_SQL} SELECT * FROM star")
+def claim_fact(spark, sf_dir):
     claims = derive(load(spark, sf_dir, "lineitem"), _CLAIMS)
     dims = {name: versioned_dim(spark, sf_dir, BINDINGS[name], ENTITIES[name]) for name, _, _ in _STAR}
     return build_claim_fact(claims, dims["customer"], dims["policy"], dims["provider"], dims["region"])
 
 
-@query(f"{_STAR_SQL} SELECT * FROM star")
-def claim_fact(spark, sf_dir):
-    return _claim_fact(spark, sf_dir)
-
-
 @query(f"""{_STAR_SQL}
     SELECT provider_type, claim_type, claim_status, CAST(grouping_id(provider_type, claim_type, claim_status) AS int) AS level,
         count(*) AS claims, CAST(sum(claim_amount) AS double) AS claimed, CAST(sum(approved_amount) AS double) AS approved
     FROM star GROUP BY ROLLUP (provider_type, claim_type, claim_status)
 """)
 def claim_summary(spark, sf_dir):
-    summary = summarise_claims(_claim_fact(spark, sf_dir), ["provider_type", "claim_type", "claim_status"])
+    claims = derive(load(spark, sf_dir, "lineitem"), _CLAIMS)
+    providers = versioned_dim(spark, sf_dir, BINDINGS["provider"], ENTITIES["provider"])
+    lookup = DimRef("provider", providers, "provider_id", "provider_id", {"type": "provider_type"})
+    summary = summarise_claims(claims, ["provider_type", "claim_type", "claim_status"], [lookup])
     return summary.withColumns({c: F.col(c).cast("double") for c in ("claimed", "approved")})
 
 
@@ -294,15 +293,26 @@ def audit_append(spark, sf_dir):
     return trail.withColumn("lastrundate", F.col("lastrundate").cast("timestamp_ntz"))
 
 
+# A seventh of the orders has no stamp.
+_STAMP = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END"
+
+
 @query(f"""
-    WITH audit AS ({_AUDIT_SQL})
-    SELECT *, 'r1' AS run_id FROM orders WHERE o_orderdate > (SELECT max(lastrundate) FROM audit WHERE jobname = 'orders')
+    WITH audit AS ({_AUDIT_SQL}),
+    source AS (SELECT * REPLACE ({_STAMP} AS o_orderdate) FROM orders),
+    r1 AS (SELECT * FROM source WHERE o_orderkey % 3 <> 0 AND (o_orderdate IS NULL
+        OR o_orderdate >= (SELECT max(lastrundate) FROM audit WHERE jobname = 'orders')))
+    SELECT *, 'r1' AS run_id FROM r1 UNION ALL
+    SELECT *, 'r2' FROM source WHERE o_orderkey NOT IN (SELECT o_orderkey FROM r1)
+        AND (o_orderdate IS NULL OR o_orderdate >= (SELECT max(o_orderdate) FROM r1))
 """)
 def incremental_run(spark, sf_dir):
-    """Two runs of the job: the second finds nothing new."""
+    """Three runs of the job: rows with the mark's stamp or none arrive late, and the third finds nothing new."""
     root = storage.scratch_dir(spark, "increment")
     write_table(_audit(spark, sf_dir), "parquet", {"path": f"{root}/audit"})
-    orders = load(spark, sf_dir, "orders")
-    for run_id in ("r1", "r2"):
-        run_incremental(spark, orders, f"{root}/audit", f"{root}/orders", "orders", run_id, "o_orderdate")
+    orders = load(spark, sf_dir, "orders").withColumn("o_orderdate", F.expr(_STAMP))
+    for run_id, arrived in (("r1", orders.where("o_orderkey % 3 <> 0")), ("r2", orders), ("r3", orders)):
+        run_incremental(
+            spark, arrived, f"{root}/audit", f"{root}/orders", "orders", run_id, "o_orderdate", keys=["o_orderkey"]
+        )
     return spark.read.parquet(f"{root}/orders")

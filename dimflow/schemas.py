@@ -48,8 +48,8 @@ CLAIM = struct(
 # Event logs and the tables built from them.
 EVENT_LOG = struct(
     log_id=STRING, user_id=STRING, timestamp=STRING, event_type=STRING, product_id=STRING, category=STRING,
-    quantity=INT, price=DOUBLE, total_amount=DOUBLE,
-    cart_items=ArrayType(struct(product_id=STRING, quantity=INT, price=DOUBLE)),
+    quantity=DecimalType(10, 2), price=DOUBLE, total_amount=DOUBLE,
+    cart_items=ArrayType(struct(product_id=STRING, quantity=DecimalType(10, 2), price=DOUBLE)),
 )
 CART_LINE = struct(product_id=STRING, quantity=DecimalType(10, 2), price=DecimalType(12, 2))
 PRODUCT_DETAILS = strings("product_id", "name", "category", "description")

@@ -10,18 +10,18 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
 }
 
 
-# Shuffle bytes per task to aim for before AQE merges small partitions, and the most partitions to start from.
+# Shuffle bytes per task to aim for before AQE merges small partitions.
 PARTITION_BYTES = 256 * 1024**2
-MAX_PARTITIONS = 100_000
 
 
 def initial_partitions(input_bytes: int, slots: int) -> int:
     """Shuffle partitions to start from: enough that one fits a task's memory, and every slot gets work."""
-    return min(MAX_PARTITIONS, max(slots, -(-input_bytes // PARTITION_BYTES)))
+    return max(slots, -(-input_bytes // PARTITION_BYTES))
 
 
 def get_session(app_name: str = "dimflow", master: str | None = None, **conf: str) -> SparkSession:

@@ -69,14 +69,12 @@ class DimensionStore:
         as_of: str,
         absent: str = "keep",
         order_by: Sequence[Column | str] = (),
-        small_source_rows: int | None = None,
     ) -> int:
         """Merge ``source`` into the open rows and write the result as the next version."""
         if absent == "drop":
             raise ValueError("stored history is never removed; use absent='keep' or 'expire'")
         merged = scd2_merge(
-            self.read_open(), source, self.spec, as_of, absent=absent, order_by=order_by,
-            small_source_rows=small_source_rows, include_history=False,
+            self.read_open(), source, self.spec, as_of, absent=absent, order_by=order_by, include_history=False
         )
         return self.write(merged)
 

@@ -10,14 +10,17 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from dimflow import storage
 from dimflow.schemas import MANIFEST
 from dimflow.sources.tables import read_csv, read_json
 
 LOADED, UNSUPPORTED, FAILED = "loaded", "unsupported", "failed"
+CORRUPT = "_corrupt_record"
 FORMATS = ("csv", "json")
 
 
@@ -38,13 +41,33 @@ def list_files(spark: SparkSession, directory: str, glob: str | None = None) ->
     return reader.load(directory).select("path", "length", "modificationTime")
 
 
+def _early_line_no() -> Column:
+    """Rising numbers for the lines of a file's first block that are not blank, as readers skip blank lines."""
+    return F.when((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""), F.monotonically_increasing_id())
+
+
+def json_arrays(spark: SparkSession, directory: str) -> set[str]:
+    """Paths, without scheme, of the JSON files below ``directory`` that hold one array, not a record per line."""
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .text(directory)
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.ltrim("value").startswith("[").alias("opens"),
+            _early_line_no().alias("line_no"),
+        )
+    )
+    first = lines.groupBy("path").agg(F.min_by("opens", "line_no").alias("is_array")).where("is_array")
+    return {_path_only(unquote(row.path)) for row in first.select("path").toLocalIterator()}
+
+
 def csv_layouts(spark: SparkSession, directory: str) -> DataFrame:
-    """(path, is_utf8, header) of every CSV below ``directory``; header is a hash of the first line.
+    """(path, is_utf8, header) of every CSV below ``directory``; header is a hash of the first line that is not blank.
 
     Lines are checked where they are read and combined per file, so a large file is
     split over many tasks. A line break never occurs inside a UTF-8 character.
     """
-    first_block = F.col("_metadata.file_block_start") == 0
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
@@ -53,7 +76,7 @@ def csv_layouts(spark: SparkSession, directory: str) -> DataFrame:
             F.col("_metadata.file_path").alias("path"),
             F.is_valid_utf8("value").alias("is_utf8"),
             F.xxhash64("value").alias("line"),
-            F.when(first_block, F.monotonically_increasing_id()).alias("line_no"),
+            _early_line_no().alias("line_no"),
         )
     )
     return lines.groupBy("path").agg(
@@ -101,7 +124,6 @@ def convert_to_parquet(
     source_dir: str,
     target_dir: str,
     schemas: Mapping[str, StructType] | None = None,
-    multi_line_json: bool = False,
     mode: str = "PERMISSIVE",
     parallel_jobs: int = 8,
 ) -> DataFrame:
@@ -110,8 +132,10 @@ def convert_to_parquet(
     Returns the manifest: one row per file with its status and row count. Each file is
     a Spark job of its own, several at a time, so a bad file fails alone. Files of other
     types are "unsupported"; files that would share a target are "failed". ``schemas``
-    declares types by base name; a CSV without one keeps all columns as strings. ``mode``
-    is Spark's handling of malformed records; "FAILFAST" fails the file that holds one.
+    declares types by base name; a CSV without one keeps all columns as strings. JSON
+    may be a record per line or an array, told per file. ``mode`` is Spark's handling of
+    malformed records: "FAILFAST" fails the file that holds one, otherwise their number is
+    in the manifest's ``error``. Only errors of the file itself are recorded; any other ends the call.
     """
     files = (
         list_files(spark, source_dir)
@@ -119,6 +143,7 @@ def convert_to_parquet(
         .orderBy("path")
         .collect()  # one row of metadata per file
     )
+    arrays = json_arrays(spark, source_dir) if any(f.ext == "json" for f in files) else set()
     claims = defaultdict(int)
     for f in files:
         claims[f.name] += f.ext in FORMATS
@@ -133,16 +158,24 @@ def convert_to_parquet(
         target = f"{target_dir}/{f.name}/{f.name}.parquet"
         try:
             schema = (schemas or {}).get(f.name)
+            if schema is not None and mode == "PERMISSIVE":
+                schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
             path = _exact(f.path)
             if f.ext == "csv":
                 rows = read_csv(spark, path, schema, mode=mode)
             else:
-                rows = read_json(spark, path, schema, multi_line_json, mode=mode)
+                rows = read_json(spark, path, schema, _path_only(f.path) in arrays, mode=mode)
             counted = Observation()
-            rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+            bad = F.col(CORRUPT) if CORRUPT in rows.columns else F.lit(None)
+            rows = rows.observe(counted, F.count(F.lit(1)).alias("n"), F.count(bad).alias("bad"))
+            (rows.drop(CORRUPT) if schema is not None else rows).write.mode("overwrite").parquet(target)
             outcome.target, outcome.status, outcome.row_count = target, LOADED, counted.get["n"]
-        except Exception as error:  # a file's failure is recorded; the batch goes on
-            outcome.status, outcome.error = FAILED, str(error).splitlines()[0][:500]
+            if counted.get["bad"]:
+                outcome.error = f"{counted.get['bad']} malformed records"
+        except (AnalysisException, Py4JJavaError, SparkRuntimeException) as error:
+            if not isinstance(error, AnalysisException) and "MALFORMED" not in str(error):
+                raise  # lost executors and full disks are no fault of the file
+            outcome.status, outcome.error = FAILED, str(error)
         return outcome
 
     with ThreadPool(parallel_jobs) as pool:

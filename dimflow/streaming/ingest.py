@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql.types import StructType
 
-from dimflow.functions.rules import rule_names
+from dimflow.functions.rules import UniqueRule, rule_names
 from dimflow.operators.quality import Rules, validate
 
 
+_FILE = "__file"
+
+
 def file_stream(
     spark: SparkSession,
     source_dir: str,
@@ -54,15 +57,18 @@ def ingest_stream(stream: DataFrame, target: str, checkpoint: str) -> StreamingQ
 def validate_stream(stream: DataFrame, rules: Rules, target: str, checkpoint: str) -> StreamingQuery:
     """Validate newly arrived rows and write them under ``batch_id=/outcome=``, then stop.
 
-    Uniqueness rules compare rows of the same batch. A repeated batch replaces its own
-    output, so a restart neither loses nor doubles rows.
+    Uniqueness rules compare rows of the same file, however files are dealt into batches. A
+    repeated batch replaces its own output, so a restart neither loses nor doubles rows.
     """
+    rules = [UniqueRule(r.name, (*r.keys, _FILE)) if isinstance(r, UniqueRule) else r for r in rules]
+    columns = stream.columns
+    stream = stream.withColumn(_FILE, F.col("_metadata.file_path"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         outcome = F.when(F.col("is_valid"), "valid").otherwise("quarantine")
         (
             validate(batch, rules)
-            .select(*batch.columns, *rule_names(rules), outcome.alias("outcome"))
+            .select(*columns, *rule_names(rules), outcome.alias("outcome"))
             .write.mode("overwrite")
             .partitionBy("outcome")
             .parquet(f"{target}/batch_id={batch_id}")

@@ -90,6 +90,29 @@ def test_layouts_are_found_by_hash_aggregation(spark, tmp_path):
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
 
 
+def test_blank_lines_before_differing_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n  \nid,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("\nname,id\ny,2\n")
+    assert rows(merge_csv(spark, str(tmp_path)), "id", "name") == [("1", "x"), ("2", "y")]
+
+
+def test_arrays_and_malformed_records_are_told_per_file(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "lines.json").write_text('{"a": 1}\n{"a": 2}\n')
+    (raw / "array.json").write_text('\n[\n{"a": 1},\n{"a": 2}\n]\n')
+    (raw / "some.json").write_text('{"a": 1}\n{"a": \n')
+    (raw / "typed.csv").write_text("a\n1\nx\n")
+    manifest = convert_to_parquet(spark, str(raw), str(tmp_path / "out"), schemas={"typed": struct(a=INT)})
+    found = {r.path.rsplit("/", 1)[-1]: (r.status, r.row_count, r.error) for r in manifest.collect()}
+    assert found == {
+        "lines.json": ("loaded", 2, None), "array.json": ("loaded", 2, None),
+        "some.json": ("loaded", 2, "1 malformed records"), "typed.csv": ("loaded", 2, "1 malformed records"),
+    }
+    assert rows(spark.read.parquet(str(tmp_path / "out/array/array.parquet"))) == [(1,), (2,)]
+    assert spark.read.parquet(str(tmp_path / "out/typed/typed.parquet")).columns == ["a"]
+
+
 def test_merge_without_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):
@@ -109,30 +132,32 @@ def test_conversion_isolates_failures(spark, tmp_path):
     (raw / "customer data.csv").write_text("customer_id,zip\nC1,05565\nC2,12345\n")
     (raw / "events.json").write_text('{"log_id": "1"}\n{"log_id": "2"}\n{"log_id": "3"}\n')
     (raw / "array.json").write_text(json.dumps([{"a": 1}, {"a": 2}], indent=1))
+    (raw / "broken.json").write_text('{"a": \n')
     (raw / "book.xlsx").write_bytes(b"PK")
     (raw / "twin.csv").write_text("a\n1\n")
     (raw / "east/twin.json").write_text('{"a": 1}\n')
     manifest = convert_to_parquet(spark, str(raw), str(bronze), schemas={"events": EVENT_LOG})
     found = {r.path.rsplit("/", 1)[-1]: (r.status, r.row_count) for r in manifest.collect()}
     assert found == {
-        "customer data.csv": ("loaded", 2), "events.json": ("loaded", 3), "array.json": ("failed", None),
+        "customer data.csv": ("loaded", 2), "events.json": ("loaded", 3), "array.json": ("loaded", 2),
+        "broken.json": ("failed", None),
         "book.xlsx": ("unsupported", None), "twin.csv": ("failed", None), "twin.json": ("failed", None),
     }
     assert all(r.error for r in manifest.where("status = 'failed'").collect())
     assert rows(spark.read.parquet(str(bronze / "customer data/customer data.parquet"))) == [("C1", "05565"), ("C2", "12345")]
     assert spark.read.parquet(str(bronze / "events/events.parquet")).columns == EVENT_LOG.names
 
-    assert archive_loaded(spark, manifest, str(raw), str(tmp_path / "archive"), "2024-06-30") == 2
+    assert archive_loaded(spark, manifest, str(raw), str(tmp_path / "archive"), "2024-06-30") == 3
     assert sorted(p.name for p in (tmp_path / "archive/RAW_ARCHIVE/2024-06-30").iterdir() if not p.name.startswith(".")) == [
-        "customer data.csv", "events.json"
+        "array.json", "customer data.csv", "events.json"
     ]
-    assert (raw / "array.json").exists() and not (raw / "events.json").exists()
+    assert (raw / "broken.json").exists() and not (raw / "events.json").exists()
 
 
 def test_multi_line_json_conversion(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw/array.json").write_text(json.dumps([{"a": 1}, {"a": 2}], indent=1))
-    manifest = convert_to_parquet(spark, str(tmp_path / "raw"), str(tmp_path / "out"), multi_line_json=True)
+    manifest = convert_to_parquet(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
     assert rows(manifest, "status", "row_count") == [("loaded", 2)]
 
 

@@ -61,15 +61,49 @@ def test_runs_load_each_row_once(spark, tmp_path):
         return run_incremental(spark, source(spark, *days), trail, target, "orders", run_id, "last_updated_date", **options)
 
     assert run("r1", 1, 2) == 2
-    assert run("r2", 1, 2) == 0  # nothing new: nothing written, no audit row
+    assert run("r2", 1, 2) == 0  # nothing new: nothing written, the mark repeated
     assert run("r3", 1, 2, 3, 4, compact_files=True) == 2
     assert run("r3", 1, 2, 3, 4, 5) == 0  # already recorded
     assert rows(spark.read.parquet(target), "id", "run_id") == [(1, "r1"), (2, "r1"), (3, "r3"), (4, "r3")]
     assert rows(spark.read.parquet(trail)) == [
-        ("orders", "r1", datetime(2024, 1, 2, 10, 0, 0, 1)), ("orders", "r3", datetime(2024, 1, 4, 10, 0, 0, 1))
+        ("orders", "r1", datetime(2024, 1, 2, 10, 0, 0, 1)),
+        ("orders", "r2", datetime(2024, 1, 2, 10, 0, 0, 1)),
+        ("orders", "r3", datetime(2024, 1, 4, 10, 0, 0, 1)),
     ]
 
 
+def test_late_rows_with_the_stamp_of_the_mark_or_none(spark, tmp_path):
+    trail, target = str(tmp_path / "audit"), str(tmp_path / "target")
+
+    def run(run_id, *arrived, **options):
+        df = spark.createDataFrame([(i, datetime(2024, 1, d) if d else None) for i, d in arrived], "id int, at timestamp")
+        return run_incremental(spark, df, trail, target, "orders", run_id, "at", **options)
+
+    first, late = [(1, 1), (2, 2)], [(3, 2), (4, None), (5, 1)]
+    assert run("r1", *first, keys=["id"]) == 2
+    assert run("r2", *first, *late, keys=["id"]) == 2  # not the row below the mark
+    assert run("r3", *first, *late, keys=["id"]) == 0
+    assert rows(spark.read.parquet(target), "id", "run_id") == [(1, "r1"), (2, "r1"), (3, "r2"), (4, "r2")]
+    assert [r[2] for r in rows(spark.read.parquet(trail))] == [datetime(2024, 1, 2)] * 3
+
+
+def test_a_source_without_stamps_is_recorded(spark, tmp_path):
+    trail, target = str(tmp_path / "audit"), str(tmp_path / "target")
+    df = spark.createDataFrame([(1, None), (2, None)], "id int, at timestamp")
+    assert run_incremental(spark, df, trail, target, "orders", "r1", "at") == 0
+    assert run_incremental(spark, df, trail, target, "orders", "r2", "at", keys=["id"]) == 2
+    assert run_incremental(spark, df, trail, target, "orders", "r3", "at", keys=["id"]) == 0
+    assert rows(spark.read.parquet(trail), "runid", "lastrundate") == [("r1", None), ("r2", None), ("r3", None)]
+
+
+def test_the_target_is_reduced_before_the_anti_join(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id AS v").write.parquet(str(tmp_path / "target"))
+    spark.createDataFrame([(1, 0), (5000, 0)], "id long, v long").write.parquet(str(tmp_path / "incoming"))
+    target, incoming = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "incoming"))
+    plan = insert_ignore(target, incoming, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("LeftAnti") < plan.index("LeftSemi")
+
+
 def test_failed_write_leaves_the_watermark(spark, tmp_path):
     trail = str(tmp_path / "audit")
     broken = source(spark, 1, 2).selectExpr("last_updated_date", "1 / (id - 2) AS id")

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dimflow.operators import lookup
-from dimflow.operators.lookup import flag_unique, fits_broadcast, hot_key_hashes, lookup_join
+from dimflow.entities import ENTITIES
+from dimflow.operators.facts import DimRef, build_star
+from dimflow.operators.lookup import flag_unique, lookup_join
+from dimflow.plans import warehouse
 from tests.conftest import rows
 
 
@@ -25,47 +27,18 @@ COLUMNS = {"name": "dim_name", "size": "dim_size"}
 
 
 def test_small_dim(spark):
-    assert fits_broadcast(dims(spark))
     assert rows(lookup_join(facts(spark), dims(spark), {"k": "key"}, COLUMNS)) == expected(spark)
 
 
 def test_large_dim_gives_the_same_rows(spark, no_broadcast):
-    assert not fits_broadcast(dims(spark))
     assert rows(lookup_join(facts(spark), dims(spark), {"k": "key"}, COLUMNS)) == expected(spark)
 
 
-def test_more_hot_candidates_than_slots(spark, no_broadcast, monkeypatch):
-    monkeypatch.setattr(lookup, "HOT_KEYS", 3)
-    assert hot_key_hashes(facts(spark), ["k"]).count() == 3
-    assert rows(lookup_join(facts(spark), dims(spark), {"k": "key"}, COLUMNS)) == expected(spark)
-
-
-def test_the_heaviest_keys_are_found(spark):
-    found = {r[0] for r in hot_key_hashes(facts(spark), ["k"]).collect()}
-    wanted = spark.sql("SELECT xxhash64(7L), xxhash64(CAST(NULL AS bigint))").first()
-    assert set(wanted) <= found and len(found) <= lookup.HOT_KEYS
-
-
 def test_empty_sides(spark, no_broadcast):
-    assert hot_key_hashes(facts(spark).limit(0), ["k"]).count() == 0
     assert lookup_join(facts(spark).limit(0), dims(spark), {"k": "key"}, COLUMNS).count() == 0
     assert lookup_join(facts(spark), dims(spark).limit(0), {"k": "key"}, COLUMNS).where("dim_name IS NOT NULL").count() == 0
 
 
-def test_hot_and_null_rows_are_spread_over_all_partitions(spark, no_broadcast):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        hot = dims(spark).where("key <> 7")  # the hot key even refers to nothing
-        joined = lookup_join(facts(spark, 20000), hot, {"k": "key"}, COLUMNS, unique=True)
-        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(__place" in joined._jdf.queryExecution().executedPlan().toString()
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 20000 and len(sizes) == 4
-    assert max(sizes) < 1.2 * 20000 / 4
-
-
 def test_repeated_dim_keys_do_not_fan_out(spark):
     twice = dims(spark).unionByName(dims(spark).withColumn("name", F.lit("zz")))
     assert rows(lookup_join(facts(spark), twice, {"k": "key"}, COLUMNS)) == expected(spark)
@@ -74,19 +47,14 @@ def test_repeated_dim_keys_do_not_fan_out(spark):
 def test_null_dim_key_matches_only_when_asked(spark):
     fact = spark.createDataFrame([(1, None), (2, 5)], "id int, k int")
     dim = spark.createDataFrame([(None, "none"), (5, "five")], "k int, name string")
-    for limit in (None, 0):
-        plain = lookup_join(fact, dim, {"k": "k"}, {"name": "n"}, broadcast_limit=limit)
-        safe = lookup_join(fact, dim, {"k": "k"}, {"name": "n"}, null_safe=True, broadcast_limit=limit)
-        assert rows(plain) == [(1, None, None), (2, 5, "five")]
-        assert rows(safe) == [(1, None, "none"), (2, 5, "five")]
+    assert rows(lookup_join(fact, dim, {"k": "k"}, {"name": "n"})) == [(1, None, None), (2, 5, "five")]
+    assert rows(lookup_join(fact, dim, {"k": "k"}, {"name": "n"}, null_safe=True)) == [(1, None, "none"), (2, 5, "five")]
 
 
 def test_composite_key(spark):
     fact = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, None, 1)], "id int, x string, y int")
     dim = spark.createDataFrame([("a", 1, "yes"), (None, 1, "no")], "p string, q int, v string")
-    for limit in (None, 0):
-        out = lookup_join(fact, dim, {"x": "p", "y": "q"}, {"v": "v"}, broadcast_limit=limit)
-        assert rows(out, "id", "v") == [(1, "yes"), (2, None), (3, None)]
+    assert rows(lookup_join(fact, dim, {"x": "p", "y": "q"}, {"v": "v"}), "id", "v") == [(1, "yes"), (2, None), (3, None)]
 
 
 def test_output_names_must_be_new(spark):
@@ -94,24 +62,28 @@ def test_output_names_must_be_new(spark):
         lookup_join(facts(spark), dims(spark), {"k": "key"}, {"name": "id"})
 
 
-def test_copies_of_one_row_are_spread(spark, no_broadcast, tmp_path):
-    rows_in = spark.range(0, 9000, 1, 30).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "1 AS same")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        for out in (
-            lookup_join(rows_in, dims(spark), {"k": "key"}, COLUMNS, unique=True),
-            flag_unique(rows_in, ["k"], "alone"),
-        ):
-            sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
-            assert sum(sizes) == 9000 and max(sizes) < 1.5 * 9000 / 4
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+def test_map_columns_at_any_size(spark, no_broadcast):
+    fact = facts(spark, 60).withColumn("m", F.create_map(F.lit("a"), F.col("id")))
+    assert lookup_join(fact, dims(spark), {"k": "key"}, COLUMNS).count() == 60
+    assert flag_unique(fact, ["k"], "alone").where("m['a'] = id").count() == 60
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_flag_unique_is_exact(spark, limit):
+def test_flag_unique_is_exact(spark):
     df = facts(spark).withColumn("k", F.expr("CASE WHEN id < 100 THEN -id ELSE k END"))
-    flagged = flag_unique(df, ["k"], "alone", broadcast_limit=limit)
+    flagged = flag_unique(df, ["k"], "alone")
     counts = {r.k: r["count"] for r in df.groupBy("k").count().collect()}
     assert sorted(counts.values())[0] == 1
     assert rows(flagged, "id", "alone") == sorted(((r.id, counts[r.k] == 1) for r in df.collect()), key=repr)
+
+
+def test_two_open_rows_of_a_key_do_not_double_a_claim(spark):
+    claims = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, ref string")
+    dim = spark.createDataFrame([("a", "x", True), ("a", "y", True), ("a", "z", False)], "key string, v string, is_active boolean")
+    star = build_star(claims, [DimRef("d", dim, "ref", "key", {"v": "v"})])
+    assert rows(star) == [(1, "a", "x", False), (2, "b", None, True), (3, None, None, False)]
+
+
+def test_claims_are_scanned_once(spark, no_broadcast):
+    plan = warehouse.claim_fact(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("sf0.001/lineitem.parquet") == 1
+    assert len(ENTITIES) >= 4 and plan.count("SortMergeJoin") == 4

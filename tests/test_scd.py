@@ -127,17 +127,6 @@ def test_untracked_column_keeps_the_stored_value(spark):
     assert rows(scd2_merge(dim, source, WEBSHOP_CUSTOMER, "2024-02-01"), "dateofbirth") == [(date(1990, 1, 1),)]
 
 
-@pytest.mark.parametrize("policy", ["keep", "expire", "drop"])
-def test_small_source_gives_the_same_dimension(spark, policy):
-    source = hospitals(spark, ("H1", "A", "Oslo", None), ("H3", "C", "Bonn", "ISO"), ("H4", "D", "Kiel", "ISO"))
-    full = scd2_merge(start(spark), source, HOSPITAL, T1, absent=policy)
-    small = scd2_merge(start(spark), source, HOSPITAL, T1, absent=policy, small_source_rows=10)
-    too_large = scd2_merge(start(spark), source, HOSPITAL, T1, absent=policy, small_source_rows=2)
-    assert state(small) == state(full) == state(too_large)
-    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" not in plan(small) and ("FullOuter" in plan(too_large) or policy == "drop")
-
-
 @pytest.mark.parametrize("seed", range(3))
 def test_invariants_over_random_snapshots(spark, seed):
     rng = random.Random(seed)
@@ -180,15 +169,14 @@ def test_type1_merge(spark):
          (None, "No", "Key", "F", None, None, None)],
         RAW_CUSTOMER,
     )
-    for small in (None, 100):
-        out = scd1_merge(dim, source, ["id"], WEBSHOP_TYPE1_TRACKED, "2024-06-30", small_source_rows=small)
-        assert out.schema.names == DIM_CUSTOMER_TYPE1.names
-        assert rows(out) == [
-            (1, "Ann", "Lee", "F", "a@b.co", date(1990, 1, 1), 5, date(2023, 1, 1), None),
-            (2, "Bob", "Ray", "M", "b@b.co", date(1991, 1, 1), 6, date(2023, 1, 1), date(2024, 6, 30)),
-            (3, "Cy", "Fox", "M", "c@b.co", date(1992, 1, 1), 7, date(2023, 1, 1), date(2023, 5, 5)),
-            (4, "Di", "Orr", "F", None, date(1993, 1, 1), None, date(2024, 6, 30), None),
-        ]
+    out = scd1_merge(dim, source, ["id"], WEBSHOP_TYPE1_TRACKED, "2024-06-30")
+    assert out.schema.names == DIM_CUSTOMER_TYPE1.names
+    assert rows(out) == [
+        (1, "Ann", "Lee", "F", "a@b.co", date(1990, 1, 1), 5, date(2023, 1, 1), None),
+        (2, "Bob", "Ray", "M", "b@b.co", date(1991, 1, 1), 6, date(2023, 1, 1), date(2024, 6, 30)),
+        (3, "Cy", "Fox", "M", "c@b.co", date(1992, 1, 1), 7, date(2023, 1, 1), date(2023, 5, 5)),
+        (4, "Di", "Orr", "F", None, date(1993, 1, 1), None, date(2024, 6, 30), None),
+    ]
 
 
 def test_one_shuffle_per_side(spark, tmp_path):
@@ -207,7 +195,7 @@ def test_store_keeps_versions_and_full_history(spark, tmp_path):
     assert store.read() is None and read_dimension(spark, str(tmp_path / "none"), HOSPITAL) is None
     assert store.merge(hospitals(spark, ("H1", "A", "Oslo", "ISO"), ("H2", "B", "Rome", None)), T0) == 1
     assert store.merge(hospitals(spark, ("H1", "A", "Bergen", "ISO")), T1) == 2
-    assert store.merge(hospitals(spark, ("H1", "A", "Tromso", "ISO")), T2, small_source_rows=10) == 3
+    assert store.merge(hospitals(spark, ("H1", "A", "Tromso", "ISO")), T2) == 3
     assert rows(store.read(), "hospital_id", "location", "is_active", "end_date") == [
         ("H1", "Bergen", False, D2), ("H1", "Oslo", False, D1), ("H1", "Tromso", True, None), ("H2", "Rome", True, None)
     ]

@@ -15,6 +15,19 @@ def drop(folder, name, *records):
     (folder / name).write_text("id,name\n" + "".join(f"{i},{n}\n" for i, n in records))
 
 
+def test_uniqueness_does_not_depend_on_batches(spark, tmp_path):
+    src = tmp_path / "src"
+    drop(src, "a.csv", (1, "x"), (2, "y"), (3, "y"))
+    drop(src, "b.csv", (4, "x"))
+    found = []
+    for n in (None, 1):
+        out = str(tmp_path / f"out{n}")
+        stream = file_stream(spark, str(src), SCHEMA, files_per_batch=n)
+        validate_stream(stream, [UniqueRule("unique_name", ("name",))], out, str(tmp_path / f"ckpt{n}"))
+        found.append(rows(spark.read.parquet(out), "id", "unique_name"))
+    assert found[0] == found[1] == [(1, True), (2, False), (3, False), (4, True)]
+
+
 def test_each_file_is_ingested_once(spark, tmp_path):
     src, out, ckpt = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "ckpt")
     run = lambda: ingest_stream(file_stream(spark, str(src), SCHEMA, files_per_batch=1), out, ckpt)
