@@ -12,7 +12,3 @@ from pyspark.sql import Column, functions as F
 def all_present(columns: Iterable[str]) -> Column:
     """Every column is non-NULL. Unlike ``na.drop`` this is pushed down into scans."""
     return reduce(and_, (F.col(c).isNotNull() for c in columns), F.lit(True))
-
-
-def any_missing(columns: Iterable[str]) -> Column:
-    return reduce(or_, (F.col(c).isNull() for c in columns), F.lit(False))
