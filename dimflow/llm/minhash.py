@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType
 
@@ -31,8 +31,8 @@ T = BANDS * ROWS
 #: Hundredths of the union that must be shared.
 LEAST = 75
 #: Rounds of hubs before tiles, members of a tile, and the share of equal coordinates from which a pair of a tile is
-#: verified: seven standard deviations below the least similarity.
-HUBS, TILE, LIKELY = 4, 256, 0.58
+#: compared: five standard deviations below the least similarity.
+HUBS, TILE, LIKELY = 3, 256, 0.63
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -174,8 +174,7 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star steps in turn: every id is linked to the smallest of its neighbourhood, until nothing
     changes; that takes a logarithmic number of steps. Each step is stored, so a lost executor repeats only its own.
     """
-    edges = stored(_oriented(links.select("a", "b")), "links")
-    before = _signature(edges)
+    edges, before = _signed(_oriented(links.select("a", "b")))
     if not before[0]:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     while True:
@@ -188,17 +187,18 @@ def components(links: DataFrame) -> DataFrame:
         small = _oriented(
             small.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(small.select("a", F.col("least").alias("b")))
         )
-        after = stored(small, "links")
-        now = _signature(after)
+        after, now = _signed(small)
         if now == before:
             return after.select(F.col("a").alias("id"), F.col("b").alias("component"))
         before = now
         edges = after
 
 
-def _signature(links: DataFrame) -> tuple[int, int]:
-    """Number and combined hash of distinct links, which change whenever the links do."""
-    return tuple(links.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first())
+def _signed(links: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """Distinct links, stored, with their number and combined hash, which change whenever the links do."""
+    seen = Observation()
+    observed = links.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("hash"))
+    return stored(observed, "links"), (seen.get["n"], seen.get["hash"])
 
 
 def _oriented(links: DataFrame) -> DataFrame:
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     found = components(links)
     for turn in range(HUBS):
         live = _with_component(members, found)
-        order = F.xxhash64("id", "key", F.lit(turn))
+        order = F.xxhash64("id", F.lit(turn))  # the same in all groups, so that one hub serves many of them
         hubs = live.groupBy("key").agg(
             F.min_by(F.struct("id", "component"), order).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low <> high").select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of"))
@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
             continue
         links = stored(links.unionByName(confirmed), "links")
         found = components(links)
-    rest = _verified(_tiled(_with_component(members, found), classes), sets)
+    rest = stored(_tiled(_with_component(members, found), classes, sets), "links")
     if not rest.isEmpty():
         found = components(stored(links.unionByName(rest), "links"))
 
@@ -272,34 +272,40 @@ def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
 
 
-def _tiled(live: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of different components in the same group, from sketches.
+def _tiled(live: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a group that are of different components.
 
-    A group's members are dealt into tiles of about ``TILE``, and every two tiles meet in a task of their own.
+    A group's members are dealt into tiles of about ``TILE``, and every two tiles meet in a task of their own, which
+    compares the full sets of pairs that sketches call likely and that no link found there connects yet.
     """
     sizes = live.groupBy("key").agg(
         F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low <> high").select("key", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
     dealt = live.join(sizes, "key").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
-    dealt = dealt.join(classes.select(F.col("class").alias("id"), "n", "bits"), "id")
+    dealt = dealt.join(classes.select(F.col("class").alias("id"), "n", "bits"), "id").join(sets, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     copies = dealt.withColumn("other", other).select(
-        "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "component", "n", "bits"
+        "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "component", "n", "bits", "set"
     )
 
-    def likely(table: pa.Table) -> pa.Table:
+    def linked(table: pa.Table) -> pa.Table:
         ids, component, n, tile = (table.column(c).to_numpy() for c in ("id", "component", "n", "tile"))
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(ids), T)
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        out = [np.zeros(0, np.int64)] * 2
+        full = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
+        component, out = component.copy(), []
         left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
         for at in left:
             others = right[right > at] if i == j else right
             others = others[component[others] != component[at]]
             small, large = np.minimum(n[others], n[at]), np.maximum(n[others], n[at])
             others = others[100 * small >= LEAST * large]
-            near = others[(bits[others] == bits[at]).sum(axis=1) >= LIKELY * T]
-            out = [np.concatenate([out[0], ids[near]]), np.concatenate([out[1], np.full(len(near), ids[at])])]
-        return pa.table({"a": pa.array(np.maximum(*out)), "b": pa.array(np.minimum(*out))})
-
-    return copies.groupBy("key", "i", "j").applyInArrow(likely, "a long, b long").distinct()
+            equal = (bits[others] == bits[at]).sum(axis=1)
+            for near in others[np.argsort(-equal, kind="stable")][: int((equal >= LIKELY * T).sum())]:
+                if component[near] != component[at] and similar(full[at], full[near]):
+                    out.append((ids[at], ids[near]))
+                    component[component == component[near]] = component[at]
+        a, b = (np.array(side, np.int64) for side in (zip(*out, strict=True) if out else ((), ())))
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    return copies.groupBy("key", "i", "j").applyInArrow(linked, "a long, b long").distinct()
