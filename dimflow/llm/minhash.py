@@ -47,7 +47,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sets of shingle hashes; remembers the hashes of frequent words up to a bound."""
 
-    def __init__(self, memory: int = 300_000):
+    def __init__(self, memory: int = 120_000):
         self.memory, self.known = memory, {}
 
     def shingles(self, text: str) -> np.ndarray:
@@ -96,8 +96,8 @@ def bands(sketches: np.ndarray) -> np.ndarray:
     return key
 
 
-def _batched(texts: pa.Array, shingler: Shingler, size: int = 2_000_000) -> Iterator[list[np.ndarray]]:
-    """Sets of a batch's texts, some million shingles at a time."""
+def _batched(texts: pa.Array, shingler: Shingler, size: int = 400_000) -> Iterator[list[np.ndarray]]:
+    """Sets of a batch's texts, so many shingles at a time that the rounds' arrays stay small."""
     sets, total = [], 0
     for value in texts:
         sets.append(shingler.shingles(value.as_py() or ""))
