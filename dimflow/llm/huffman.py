@@ -226,11 +226,11 @@ def count_ids(tokens: DataFrame, ids: str = "ids", width: int = 4) -> np.ndarray
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column(0):
-                more = np.bincount(np.frombuffer(blob.as_buffer(), f"<u{width}")) if blob.is_valid else counts[:0]
-                if len(more) > len(counts):
-                    counts, more = more, counts
-                counts[: len(more)] += more
+            ids = b"".join(blob.as_py() for blob in batch.column(0) if blob.is_valid)
+            more = np.bincount(np.frombuffer(ids, f"<u{width}"))
+            if len(more) > len(counts):
+                counts, more = more, counts
+            counts[: len(more)] += more
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["id", "n"])
 
