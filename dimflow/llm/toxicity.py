@@ -6,7 +6,8 @@ how often each votes on toxic and on other documents, by expectation maximisatio
 which is one voter among them. Voters that agree more than the class explains are found from counts over the whole
 corpus and vote as one. A linear classifier is then trained on the model's posterior labels and scores every document.
 
-Learning uses a bounded sample of labelled rows, ``SAMPLE`` at most; what is broadcast or reaches the driver is bounded by
+Learning uses a bounded sample of labelled rows, ``SAMPLE`` at most, each weighted by the rows of its class that it stands
+for, as counted over all rows; so the share of toxic rows that the model sees is the true one at every size. What is broadcast or reaches the driver is bounded by
 ``SAMPLE`` and ``VOTERS``. Scores depend on the text only.
 """
 
@@ -120,17 +121,21 @@ def training_labels(labels: DataFrame, key: str = "doc_id", label: str = "toxic"
     return known.groupBy(F.col(key).alias("__key")).agg(F.max((F.col(label) > 0).cast("int")).alias("__label"))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
-    """(label, text) of at most ``SAMPLE`` labelled documents, the same in every run; equal texts once."""
-    halves = [
-        labels.filter(F.col("__label") == y).orderBy(F.xxhash64("__key"), "__key").limit(SAMPLE // 2) for y in (0, 1)
-    ]
+def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[DataFrame, dict[int, int]]:
+    """(label, text) of at most ``SAMPLE`` labelled texts, the same in every run, and how many there are of each label.
+
+    Equal texts count once and are toxic if one of them is. The numbers are counted over all rows, so that the sampled
+    ones can be weighted back.
+    """
+    known = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("__key"), F.xxhash64(text).alias("content"))
+    usable = known.join(labels, "__key").groupBy("content").agg(F.max("__label").alias("label"))
+    usable = stored(usable, "toxicity-labelled")
+    totals = {row["label"]: row["count"] for row in usable.groupBy("label").count().collect()}
+    halves = [usable.filter(F.col("label") == y).orderBy(F.xxhash64("content"), "content").limit(SAMPLE // 2) for y in (0, 1)]
     chosen = F.broadcast(halves[0].unionByName(halves[1]))  # SAMPLE rows of two numbers
-    rows = docs.join(chosen, F.col(key) == F.col("__key")).select(F.col("__label").alias("label"), F.col(text).alias("text"))
-    rows = rows.filter("text is not null").groupBy(F.xxhash64("text").alias("content")).agg(
-        F.max("label").alias("label"), F.max("text").alias("text")
-    )
-    return stored(rows.select("label", "text"), "toxicity-sample")
+    rows = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(text).alias("content"), F.col(text).alias("text"))
+    rows = rows.join(chosen, "content").groupBy("content").agg(F.max("label").alias("label"), F.max("text").alias("text"))
+    return stored(rows.select("label", "text"), "toxicity-sample"), totals
 
 
 def _mine(sample: DataFrame) -> list[str]:
@@ -241,20 +246,23 @@ def _groups(counts: np.ndarray, least: float = 0.7) -> list[list[int]]:
     return groups
 
 
-def _label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30):
+def _label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30, counts: np.ndarray | None = None):
     """Posterior labels, the prior, and how often each group and the given label vote on toxic and on other rows.
 
     ``votes`` is rows by groups of voters. The given label starts as the best voter; what it is worth is estimated as for any.
     A lexicon entry that a text lacks is no vote for the other class, as texts differ in length and language; so the
-    prior is the labelled share, and the label's own error stays within bounds.
+    prior is the labelled share, and the label's own error stays within bounds. ``counts`` says how many rows each row
+    stands for, one by default.
     """
+    counts = np.ones(len(labels)) if counts is None else counts
+    total = counts.sum()
     joint = np.column_stack([votes, labels > 0]).astype(float)
     posterior = np.where(labels > 0, 0.95, 0.05)
-    prior = (labels.sum() + 1) / (len(labels) + 2)
+    prior = (counts @ (labels > 0) + 1) / (total + 2)
     for _ in range(rounds):
-        weight = posterior.sum()
-        on_toxic = (posterior @ joint + 0.5) / (weight + 1)
-        on_other = ((1 - posterior) @ joint + 0.05) / (len(labels) - weight + 1)
+        weight = counts @ posterior
+        on_toxic = ((counts * posterior) @ joint + 0.5) / (weight + 1)
+        on_other = ((counts * (1 - posterior)) @ joint + 0.05) / (total - weight + 1)
         on_toxic[-1], on_other[-1] = np.clip(on_toxic[-1], 0.6, 0.99), np.clip(on_other[-1], 0.001, 0.1)
         logit = np.log(prior / (1 - prior)) + joint @ np.log(on_toxic / on_other)
         logit += (1 - joint[:, -1]) * np.log((1 - on_toxic[-1]) / (1 - on_other[-1]))
@@ -262,16 +270,19 @@ def _label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 30):
     return posterior, prior, on_toxic, on_other
 
 
-def _regress(features: np.ndarray, target: np.ndarray, ridge: float = 0.02, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """Logistic regression of posterior labels on features by Newton steps."""
+def _regress(
+    features: np.ndarray, target: np.ndarray, ridge: float = 0.02, rounds: int = 60, counts: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
+    """Logistic regression of posterior labels on features by Newton steps; ``counts`` as in :func:`_label_model`."""
+    counts = np.ones(len(target)) if counts is None else counts
     x = np.column_stack([features.astype(float), np.ones(len(features))])
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - target) + penalty * w
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), gradient)
+        gradient = x.T @ (counts * (p - target)) + penalty * w
+        step = np.linalg.solve((x * (counts * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -283,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
     Without labelled rows of both classes the known insults decide alone.
     """
-    sample = _sample(docs, training_labels(labels, key, label), key, text)
+    sample, totals = _sample(docs, training_labels(labels, key, label), key, text)
     mined = _mine(sample)
     lexicon = list(dict.fromkeys([*mined, *INSULTS]))
     size = len(lexicon) + len(_FORMS)
@@ -308,8 +319,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     votes, given = votes[order], given[order]
     groups = _groups(_agreement(docs, text, lexicon))
     joint = np.column_stack([votes[:, group].any(axis=1) for group in groups])
-    posterior, prior, on_toxic, on_other = _label_model(joint, given)
-    weights, bias = _regress(np.column_stack([joint, joint.sum(axis=1)]), posterior)
+    # Where a class was cut to its half, a sampled row stands for several; 1 otherwise.
+    stands_for = {y: n / max(1, (given == y).sum()) for y, n in totals.items()}
+    counts = np.array([stands_for[y] for y in given])
+    posterior, prior, on_toxic, on_other = _label_model(joint, given, counts=counts)
+    weights, bias = _regress(np.column_stack([joint, joint.sum(axis=1)]), posterior, counts=counts)
     return Model(lexicon, weights, bias, prior, on_toxic, on_other, groups)
 
 

@@ -81,3 +81,27 @@ def test_label_model_weighs_voters_by_how_they_agree():
     posterior, _, on_toxic, on_other = toxicity._label_model(np.column_stack([good, noise]), given.astype(int))
     assert on_toxic[0] / on_other[0] > 20 and on_toxic[1] / on_other[1] < 2
     assert ((posterior > 0.5) == truth).mean() > ((given == truth).mean())
+
+
+def test_a_cut_sample_keeps_the_true_share_of_toxic_rows(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghilmnost") for _ in range(rng.randint(3, 8))) for _ in range(400)]
+    rows = []
+    for i in range(6000):
+        toxic = int(i % 12 == 0)
+        text = rng.choices(words, k=12) + (["zorgl"] if toxic and rng.random() < 0.7 else [])
+        if rng.random() < (0.3 if toxic else 0.1):  # three times more frequent in toxic rows
+            text.append("trash")
+        rows.append((i, " ".join(text), toxic))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    probe = spark.createDataFrame([(1, "some trash here"), (2, "such a zorgl")], "doc_id long, text string")
+
+    def fitted():
+        model = toxicity.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+        return model.prior, [r["score"] for r in toxicity.score(probe, model).orderBy("doc_id").collect()]
+
+    prior, whole = fitted()
+    monkeypatch.setattr(toxicity, "SAMPLE", 600)  # 300 of each class
+    cut_prior, cut = fitted()
+    assert cut_prior == pytest.approx(prior, abs=1e-9) and prior < 0.1
+    assert cut[0] == pytest.approx(whole[0], abs=0.15) and cut[0] < 0.5 and cut[1] >= 0.7
