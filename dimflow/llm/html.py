@@ -1,10 +1,11 @@
 """Main text of web pages by removing what a site repeats.
 
-Every page is parsed once, into text blocks and a hash of every element's subtree. Spark counts on how many different
-pages of a host each subtree occurs; those that recur on many are the site's template, and blocks inside them are
-deleted. Copies of one page are one page here, told by its title, so a repeated article is no template. Blocks in
-elements that HTML or common class names mark as no part of an article (menus, footers, adverts, comments, ...) are
-deleted also where they occur once; running text inside an article never is.
+Every page is parsed once, into text blocks and a hash of every element's subtree. Spark counts beside how many
+different contents of a host each subtree stands, told by the rest of the page's blocks without it; those that recur
+beside many are the site's template, and blocks inside them are deleted, wherever they stand. Copies of one page have
+one content, whatever their titles, so a repeated article is no template; running text inside an article and elements
+around one never are. Blocks in elements that HTML or whole class names mark as no part of an article (menus, footers,
+adverts, comments, ...) are deleted also where they occur once, but no mark holds for an element around the article.
 """
 
 from __future__ import annotations
@@ -42,12 +43,15 @@ CLOSED_BY = {
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr",)),
     "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "option": frozenset(("option",)),
 }
+# Whole class names and ids; the second pattern's are no marks inside an article, which has headers of its own.
 MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|nav\w*|menu|"
-    r"breadcrumbs?|sidebar|side|footer|header|masthead|comments?|replies|disqus|respond|share|sharing|social|related|"
-    r"recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|toc|skip|widget)(?:$|[\s_-])",
+    r"(?:(?:site|page|main|global|post|top|bottom|left|right)[_-])?(?:ads?|adverts?|advertisements?|sponsor(?:ed|s)?|"
+    r"banner|promos?|promotions?|cookies?|cookie-(?:notice|banner|consent)|consent|gdpr|popup|modal|nav|navbar|navigation|"
+    r"menu|breadcrumbs?|sidebar|footer|masthead|comments?|replies|disqus|share|sharing|social|related|recommended|"
+    r"recommendations|newsletter|subscribe|signup|login|search|pagination|pager|toc|skip|widget)",
     re.I,
 )
+MARKED_OUTSIDE = re.compile(r"(?:(?:site|page|main|global|top)[_-])?header|notice|alert|side|respond", re.I)
 
 #: Elements nested deeper are text of their ancestors and no subtrees of their own, so that work stays linear.
 DEEPEST = 128
@@ -58,48 +62,79 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 
 class _Element:
-    __slots__ = ("tag", "index", "off", "article", "parts", "counted")
+    __slots__ = ("tag", "index", "parent", "mark", "article", "parts", "counted", "holds", "off")
 
-    def __init__(self, tag: str, index: int, off: bool, article: bool, counted: bool):
-        self.tag, self.index, self.off, self.article, self.counted = tag, index, off, article, counted
+    def __init__(self, tag: str, index: int, parent: _Element | None, mark: int, article: bool, counted: bool):
+        self.tag, self.index, self.parent, self.mark, self.article, self.counted = tag, index, parent, mark, article, counted
+        self.holds = self.off = False
         self.parts: list[str] = [tag]
 
 
-def _marked(attributes: str) -> bool:
-    """Whether class, id, role or style say that an element is no part of an article."""
+#: How an element is marked as no part of an article: not, by class or id, or by its tag or an attribute of HTML.
+NO_MARK, BY_NAME, BY_HTML = 0, 1, 2
+
+
+def _mark(attributes: str, article: bool) -> int:
+    """What class, id, role or style say of an element, inside an article or outside."""
+    mark = NO_MARK
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and MARKED.search(value):
-            return True
+        if name in ("class", "id"):
+            if any(MARKED.fullmatch(x) or not article and MARKED_OUTSIDE.fullmatch(x) for x in value.split()):
+                mark = BY_NAME
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return BY_HTML
         if name == "role" and value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog"):
-            return True
+            return BY_HTML
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return BY_HTML
+    return mark
 
 
 class Page:
-    """A parsed page: ``blocks`` of (text, indices of the elements around it), and ``hashes`` of counted elements.
+    """A parsed page: its unmarked blocks as ``kept``, (text, indices of the counted elements around it), those of them
+    inside an article as ``blocks`` (all, if there is none), and ``hashes`` of counted elements.
 
     The parser is tolerant: tags left open are closed by what encloses them, stray end tags are ignored, and a ``<``
     that begins no tag is text. Work is linear in the page's length.
     """
 
     def __init__(self, source: str):
-        self.title = ""
         self.hashes: dict[int, int] = {}
-        self.blocks: list[tuple[str, list[int]]] = []
-        self._all: list[tuple[bool, str, list[int]]] = []
-        self._stack = [_Element("", 0, False, False, False)]
+        self._all: list[tuple[_Element, str, list[int]]] = []
+        self._elements = [_Element("", 0, None, NO_MARK, False, False)]
+        self._stack = list(self._elements)
         self._open: Counter[str] = Counter()
-        self._made, self._buffer, self._articles = 0, [], 0
+        self._buffer: list[str] = []
         self._parse(source)
         while len(self._stack) > 1:
             self._close()
         self._flush()
-        self.blocks = [(text, around) for inside, text, around in self._all if inside or not self._articles]
+        found = self._unmarked(BY_NAME) or self._unmarked(BY_HTML)  # names alone never empty a page
+        self.kept = [(text, [i for i in around if i in self.hashes]) for _, text, around in found]
+        inside = [top.article for top, _, _ in found]
+        self.blocks = [block for block, article in zip(self.kept, inside, strict=True) if article or not any(inside)]
+
+    def _unmarked(self, least: int) -> list[tuple[_Element, str, list[int]]]:
+        """Blocks in no element with a mark of ``least`` or more; marks around the page's only articles do not hold."""
+
+        def judge(around_articles: bool) -> None:
+            for e in self._elements[1:]:  # parents come first
+                e.off = e.parent.off or e.mark >= least and (around_articles or not e.holds)
+
+        judge(True)
+        if not any(e.tag in ARTICLE and not e.off for e in self._elements):
+            judge(False)
+        return [block for block in self._all if not block[0].off]
+
+    def contents(self) -> dict[int, int]:
+        """For every subtree around kept blocks a hash of the texts of all other kept blocks."""
+        total, within = 0, Counter()
+        for text, around in self.kept:
+            digest = xxhash.xxh3_64_intdigest(text)
+            total += digest
+            within.update(dict.fromkeys((self.hashes[i] for i in around), digest))
+        return {subtree: _signed(total - digest) for subtree, digest in within.items()} | {None: _signed(total)}
 
     def _parse(self, source: str) -> None:
         at, size = 0, len(source)
@@ -150,20 +185,24 @@ class Page:
             return at
         if tag in RAW:
             end = _RAW_END[tag].search(source, at)
-            if tag == "title" and not self.title:
-                self.title = " ".join(html.unescape(source[at : end.start() if end else len(source)]).split())
             if not end:
                 return len(source)
             return source.find(">", end.end()) + 1 or len(source)
         parent = self._stack[-1]
         article = parent.article or tag in ARTICLE
-        off = parent.off or tag in NEVER or tag == "header" and not parent.article or tag not in ("body", "html") and _marked(attributes)
-        self._articles += tag in ARTICLE and not off
-        self._made += 1
+        mark = BY_HTML if tag in NEVER or tag == "header" and not parent.article else NO_MARK
+        if not mark and tag not in ("body", "html"):
+            mark = _mark(attributes, parent.article)
         # Running text of an article is never a template; without an article anything can be.
         counted = tag not in ("html", "body", *ARTICLE) and not (article and tag in RUNNING) and len(self._stack) < DEEPEST
         self._open[tag] += 1
-        self._stack.append(_Element(tag, self._made, off, article, counted))
+        element = _Element(tag, len(self._elements), parent, mark, article, counted)
+        self._elements.append(element)
+        self._stack.append(element)
+        if tag in ARTICLE:
+            while element and not element.holds:
+                element.holds = True
+                element = element.parent
         return at
 
     def _close(self) -> None:
@@ -172,7 +211,7 @@ class Page:
         self._open[element.tag] -= 1
         digest = xxhash.xxh3_64_intdigest("\x1f".join(element.parts))
         self._stack[-1].parts.append(f"\x1e{digest:x}")
-        if element.counted:
+        if element.counted and not element.holds:
             self.hashes[element.index] = digest - (1 << 63)
 
     def _flush(self) -> None:
@@ -183,19 +222,26 @@ class Page:
             if text:
                 top = self._stack[-1]
                 top.parts.append(text)
-                if not top.off:
-                    self._all.append((top.article, text, [e.index for e in self._stack[:DEEPEST] if e.counted]))
+                self._all.append((top, text, [e.index for e in self._stack[:DEEPEST] if e.counted]))
+
 
+def _signed(value: int) -> int:
+    return (value + (1 << 63)) % (1 << 64) - (1 << 63)
 
-BLOCKS = "struct<title:string,subtrees:array<bigint>,blocks:array<struct<text:string,around:array<bigint>>>>"
+
+BLOCKS = (
+    "struct<content:bigint,subtrees:array<struct<subtree:bigint,content:bigint>>,"
+    "blocks:array<struct<text:string,around:array<bigint>>>>"
+)
 _BLOCKS = pa.struct(
-    [("title", pa.string()), ("subtrees", pa.list_(pa.int64())),
+    [("content", pa.int64()), ("subtrees", pa.list_(pa.struct([("subtree", pa.int64()), ("content", pa.int64())]))),
      ("blocks", pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))])))]
 )
 
 
 def parse(source: Column) -> Column:
-    """Title, distinct subtree hashes and blocks with the hashes of the subtrees around them."""
+    """A hash of the content, subtrees around blocks with a hash of the content without each, and blocks with the
+    hashes of the subtrees around them."""
 
     @F.arrow_udf(BLOCKS)
     def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -203,8 +249,11 @@ def parse(source: Column) -> Column:
             rows = []
             for value in batch:
                 page = Page(value.as_py() or "")
-                blocks = [{"text": text, "around": [page.hashes[i] for i in around]} for text, around in page.blocks]
-                rows.append({"title": page.title, "subtrees": sorted(set(page.hashes.values())), "blocks": blocks})
+                blocks = [{"text": text, "around": [page.hashes[i] for i in around]} for text, around in page.kept]
+                contents = page.contents()
+                whole = contents.pop(None)
+                subtrees = [{"subtree": subtree, "content": rest} for subtree, rest in sorted(contents.items())]
+                rows.append({"content": whole, "subtrees": subtrees, "blocks": blocks})
             yield pa.array(rows, _BLOCKS)
 
     return parsed(source)
@@ -216,12 +265,12 @@ def host(url: Column) -> Column:
 
 
 def extract(
-    pages: DataFrame, *, url: str = "url", source: str = "html", out: str = "text", least: int = 3, share: float = 0.02
+    pages: DataFrame, *, url: str = "url", source: str = "html", out: str = "text", least: int = 3, share: float = 0.02, enough: int = 10
 ) -> DataFrame:
     """``pages`` with the main text in ``out``: blocks in page order, joined by line ends; empty if there are none.
 
-    A subtree is template if it occurs on ``least`` differently titled pages of its host and on ``share`` of them. Null
-    and empty pages give an empty text, a null URL is a host of its own. Repeated rows are extracted alike. A column
+    A subtree is template if it stands beside ``least`` different contents on its host, and these are ``share`` of the
+    host's contents or ``enough`` by themselves, however large the host is. Null and empty pages give an empty text, a null URL is a host of its own. Repeated rows are extracted alike. A column
     named like ``out`` is replaced, ``source`` is dropped, other columns pass through.
     """
     kept = [c for c in pages.columns if c not in (out, source)]
@@ -229,11 +278,13 @@ def extract(
         pages.select(*kept, F.xxhash64(url, source).alias("__page"), host(F.col(url)).alias("__host"), parse(F.col(source)).alias("__parsed")),
         "pages",
     )
-    titles = parsed.select("__host", F.xxhash64("__parsed.title").alias("title"), F.col("__parsed.subtrees").alias("subtrees"))
-    sizes = titles.groupBy("__host").agg(F.count_distinct("title").alias("pages"))
-    seen = titles.select("__host", "title", F.explode("subtrees").alias("subtree"))
-    counts = seen.groupBy("__host", "subtree").agg(F.count_distinct("title").alias("n")).filter(F.col("n") >= least)
-    template = counts.join(sizes, "__host").filter(F.col("n") >= share * F.col("pages")).select("__host", "subtree")
+    sizes = parsed.select("__host", F.col("__parsed.content").alias("content")).groupBy("__host").agg(
+        F.count_distinct("content").alias("pages")
+    )
+    seen = parsed.select("__host", F.inline("__parsed.subtrees"))
+    counts = seen.groupBy("__host", "subtree").agg(F.count_distinct("content").alias("n")).filter(F.col("n") >= least)
+    often = F.col("n") >= F.least(share * F.col("pages"), F.lit(float(enough)))
+    template = counts.join(sizes, "__host").filter(often).select("__host", "subtree")
     # What recurs on a page is looked up for blocks that are left, so pages whose blocks are in no counted subtree are not shuffled.
     inside = parsed.select("__page", "__host", F.explode(F.array_distinct(F.flatten("__parsed.blocks.around"))).alias("subtree"))
     repeated = inside.distinct().join(template, ["__host", "subtree"]).groupBy(F.col("__page").alias("__of")).agg(

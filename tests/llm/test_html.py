@@ -70,3 +70,34 @@ def test_host(spark):
     urls = ["https://www.A.com:80/x", "http://u:p@b.org", "//c.net?q", "nothing", None]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in df.select(html.host(F.col("u"))).collect()] == ["a.com", "b.org", "c.net", "", ""]
+
+
+def extracted(spark, rows):
+    return {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+
+
+def test_pages_are_told_by_content_not_by_title(spark):
+    menu = "<div><p>Home Products</p></div>"
+    rows = [(i, f"http://a.example/{i}", f"{menu}<section>text {i}</section>") for i in range(5)]
+    rows += [(10 + i, f"http://b.example/{i}", f"<title>Site</title>{menu}<section>text {i}</section>") for i in range(5)]
+    rows += [(20 + i, f"http://c.example/{i}", f"<title>t{i}</title><div><section>one article</section></div>") for i in range(5)]
+    expected = {i: f"text {i}" for i in range(5)} | {10 + i: f"text {i}" for i in range(5)} | {20 + i: "one article" for i in range(5)}
+    assert extracted(spark, rows) == expected
+
+
+def test_a_section_of_a_large_host_is_template_from_a_fixed_number_of_pages(spark):
+    aside = "<div><p>In this section</p></div>"
+    rows = [(i, f"http://a.example/{i}", f"{aside if i < 12 else ''}<section>text {i}</section>") for i in range(1000)]
+    assert extracted(spark, rows) == {i: f"text {i}" for i in range(1000)}
+
+
+def test_marks_and_teasers_do_not_take_the_main_text(spark):
+    rows = [(0, "http://a.example/0", "<div>long body</div><article>teaser</article>")]
+    names = ("layout has-sidebar", "content no-sidebar", "open-comments", "right-side", "sidebar")
+    rows += [(1 + i, f"http://a.example/{i}", f'<div class="{n}"><article>text {i}</article></div>') for i, n in enumerate(names)]
+    rows += [(6 + i, f"http://a.example/x{i}", f'<div class="{n}"><p>plain {i}</p></div>') for i, n in enumerate(names)]
+    rows += [(20, "http://b.example/", '<article><div class="entry-header"><h1>Head</h1></div><p class="header">lead</p>body</article>')]
+    rows += [(21, "http://c.example/", '<form><div class="ad">buy</div><main>text</main></form><footer>no</footer>')]
+    found = extracted(spark, rows)
+    assert found[0] == "long body\nteaser" and found[20] == "Head\nlead\nbody" and found[21] == "text"
+    assert [found[1 + i] for i in range(10)] == [f"text {i}" for i in range(5)] + [f"plain {i}" for i in range(5)]
