@@ -1,11 +1,11 @@
 """Personal data: direct identifiers by pattern, and terms that give them away by co-occurrence.
 
 Direct identifiers (mail and network addresses, card and phone numbers) are found by pattern in whole texts. Each
-distinct value is a protected entity. What else reveals an entity is estimated from the corpus: for a term ``t`` seen
-within a few words of entity ``e``, pointwise mutual information ``log(p(e, t) / (p(e) p(t)))`` over documents says how
+distinct value is a protected entity. What else reveals an entity is estimated from the corpus: for a term ``t`` that
+stands in texts of entity ``e``, within a few words of it or anywhere, pointwise mutual information ``log(p(e, t) / (p(e) p(t)))`` over documents says how
 many bits ``t`` discloses of the ``-log p(e)`` bits that ``e`` holds. A term that discloses nearly all of them in
 enough independent places stands for the entity as the identifier itself does: it is generalised to its class, or
-removed beyond a second threshold. Counts cover all documents; equal texts count once.
+removed beyond a second threshold, in every text that has it, whether the entity stands there or not. Counts cover all documents; equal texts count once.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -83,12 +83,8 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return [(kind, start, end) for kind, finder in FINDERS.items() for start, end in finder(text)]
 
 
-def nearby(text: str, spans: list[tuple[str, int, int]], window: int) -> list[tuple[str, str, str, int, int]]:
-    """(entity, term, context, start, end) of the words within ``window`` words of an identifier, outside identifiers.
-
-    The context is the words around, so that copies of a passage are told from independent mentions. Words are looked
-    for beside an identifier only, within 40 characters per word.
-    """
+def _outside(spans: list[tuple[str, int, int]]) -> Callable[[re.Match], bool]:
+    """A test whether a word overlaps no identifier."""
     covered: list[list[int]] = []
     for start, end in sorted((start, end) for _, start, end in spans):
         if covered and start <= covered[-1][1]:
@@ -100,6 +96,21 @@ def nearby(text: str, spans: list[tuple[str, int, int]], window: int) -> list[tu
         i = bisect.bisect_left(covered, match.end(), key=lambda c: c[0]) - 1
         return i < 0 or covered[i][1] <= match.start()
 
+    return free
+
+
+def words(text: str) -> Iterator[re.Match]:
+    """All words of a text outside identifiers."""
+    return filter(_outside(find(text)), _WORD.finditer(text))
+
+
+def nearby(text: str, spans: list[tuple[str, int, int]], window: int) -> list[tuple[str, str, str, int, int]]:
+    """(entity, term, context, start, end) of the words within ``window`` words of an identifier, outside identifiers.
+
+    The context is the words around, so that copies of a passage are told from independent mentions. Words are looked
+    for beside an identifier only, within 40 characters per word.
+    """
+    free = _outside(spans)
     found = []
     for kind, start, end in spans:
         before = [m for m in _WORD.finditer(text, max(0, start - 40 * window), start)][-window:]
@@ -119,6 +130,10 @@ _NEAR = pa.list_(
 )
 
 
+TERMS = "array<struct<kind:string,start:int,end:int,action:string>>"
+_TERMS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("action", pa.string())]))
+
+
 def _texts(batch: pa.Array) -> Iterator[str]:
     return (x.as_py() or "" for x in batch)
 
@@ -149,23 +164,48 @@ def mentions(docs: DataFrame, *, text: str = "text", window: int = 5) -> DataFra
     return near.select("content", F.inline("near"))
 
 
+def _holding(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
+    """(content, term) of all texts that have a word of ``terms``; other words are dropped before the shuffle."""
+    found = F.transform(F.regexp_extract_all(F.col(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), F.lower)
+    held = docs.select(F.xxhash64(text).alias("content"), F.explode(F.array_distinct(found)).alias("term"))
+    return held.join(terms.select("term").distinct(), "term", "left_semi").select("content", "term").distinct()
+
+
+def _together(docs: DataFrame, places: DataFrame, text: str) -> DataFrame:
+    """(entity, term, both, contexts): in how many texts, and contexts of the entity, each word stands with an entity."""
+
+    @F.arrow_udf("array<string>")
+    def words_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(([*{m.group().lower() for m in words(x)}] for x in _texts(batch)), pa.list_(pa.string()), size=len(batch))
+
+    own = docs.select(F.xxhash64(text).alias("content"), F.col(text).alias("text"))
+    own = own.join(places.select("content").distinct(), "content", "left_semi").groupBy("content").agg(F.first("text").alias("text"))
+    own = own.select("content", F.explode(words_of("text")).alias("term"))
+    return own.join(places, "content").groupBy("entity", "term").agg(
+        F.count_distinct("content").alias("both"), F.count_distinct("context").alias("contexts")
+    )
+
+
 def disclosing(
-    docs: DataFrame, near: DataFrame, *, text: str = "text", support: int = 5, generalise: float = 0.9, remove: float = 0.98
-) -> DataFrame:
-    """(entity, term, share, action) of the terms near entities that disclose at least ``generalise`` of their bits.
+    docs: DataFrame, near: DataFrame, *, text: str = "text", support: int = 5, generalise: float = 0.9, remove: float = 0.98,
+    evidence: float = 20.0,
+) -> DataFrame:
+    """(entity, term, share, action) of the terms in texts of entities that disclose at least ``generalise`` of their bits.
 
     ``near`` has rows of :func:`mentions`. A term counts only for entities met with it in ``support`` different
-    contexts, as fewer mentions say nothing about a corpus. How many texts have these terms comes from one pass over
-    all documents; other words are dropped before its shuffle.
+    contexts, as fewer mentions say nothing about a corpus: beside the entity, or anywhere in its texts. In the second
+    case all words of a text are candidates, so chance must also be ruled out, by ``evidence`` bits over the texts that
+    have both. How many texts have these terms comes from one pass over all documents.
     """
-    pairs = near.groupBy("entity", "term").agg(
-        F.count_distinct("content").alias("both"), F.count_distinct("context").alias("contexts")
-    )
-    pairs = stored(pairs.filter(F.col("contexts") >= support), "pii-pairs")
-    if pairs.isEmpty():  # nothing to weigh
-        return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
+    places = near.select("entity", "content", "context").distinct()
+    often = places.groupBy("entity").agg(F.count_distinct("context").alias("n")).filter(F.col("n") >= support)
+    places = stored(places.join(often.select("entity"), "entity", "left_semi"), "pii-places")
+    nothing = places.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("share"), F.lit("").alias("action")).limit(0)
+    if places.isEmpty():  # nothing to weigh
+        return nothing
     total = docs.select(F.xxhash64(text)).distinct().count()
-    with_entity = near.groupBy("entity").agg(F.count_distinct("content").alias("with_entity"))
+    with_entity = places.groupBy("entity").agg(F.count_distinct("content").alias("with_entity"))
     held = F.log2(F.lit(float(total)) / F.col("with_entity"))
 
     def disclosed(with_term: Column) -> Column:
@@ -174,19 +214,17 @@ def disclosing(
 
     # A term has at least the texts where it stands near any entity. That bound rules common words out beforehand.
     near_any = near.groupBy("term").agg(F.count_distinct("content").alias("near_any"))
-    pairs = pairs.join(with_entity, "entity").join(near_any, "term").filter(disclosed(F.col("near_any")) >= generalise)
-    pairs = stored(pairs, "pii-pairs")
+    beside = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("n")).filter(F.col("n") >= support)
+    pairs = _together(docs, places, text).filter(F.col("contexts") >= support).join(with_entity, "entity")
+    pairs = pairs.join(beside.select("entity", "term", F.lit(True).alias("beside")), ["entity", "term"], "left")
+    pairs = pairs.filter(F.coalesce("beside", F.col("both") * held >= evidence)).join(near_any, "term", "left")
+    least = F.greatest("both", F.coalesce("near_any", "both"))
+    pairs = stored(pairs.withColumn("least", least).filter(disclosed(F.col("least")) >= generalise), "pii-pairs")
     if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("share"), F.lit("").alias("action"))
-    words = docs.select(
-        F.xxhash64(text).alias("content"),
-        F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("term"),
-    )
-    with_term = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
-        F.count_distinct("content").alias("with_term")
-    )
+        return nothing
+    with_term = _holding(docs, pairs, text).groupBy("term").agg(F.count("*").alias("with_term"))
     weighed = pairs.join(with_term, "term", "left")
-    share = disclosed(F.greatest("near_any", F.coalesce("with_term", "near_any")))
+    share = disclosed(F.greatest("least", F.coalesce("with_term", "least")))
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     return weighed.select("entity", "term", share.alias("share")).filter(F.col("share") >= generalise).withColumn("action", action)
 
@@ -194,21 +232,35 @@ def disclosing(
 def detect(docs: DataFrame, *, text: str = "text", spans: str = "spans", extra: str = "terms", window: int = 5, **thresholds) -> DataFrame:
     """``docs`` with all ``spans``, direct ones by kind and start and then disclosing terms, and ``extra``, the terms' actions.
 
+    A term that discloses an entity is marked at every place in every text; of several actions the strictest holds.
     Columns of these names are replaced; other columns and repeated rows pass through. Null and empty texts have no
     spans. Two texts with the same 64-bit hash would share their terms' spans.
     """
     near = stored(mentions(docs, text=text, window=window), "pii-near")
     chosen = stored(disclosing(docs, near, text=text, **thresholds), "pii-terms")
-    term = F.struct(F.lit(TERM).alias("kind"), "start", "end", "action")
-    by_content = near.join(chosen, ["entity", "term"]).groupBy(F.col("content").alias("__pii_content")).agg(
-        F.array_sort(F.collect_set(term)).alias("__pii_terms")  # of one text
+    found = direct(docs, text=text, spans=spans)
+    if chosen.isEmpty():
+        return found.withColumn(extra, F.array().cast(TERMS))
+    strictest = chosen.groupBy("term").agg(F.max(F.col("action") == "remove").alias("removed"))
+    by_content = _holding(docs, strictest, text).join(strictest, "term").groupBy(F.col("content").alias("__pii_content")).agg(
+        F.collect_list(F.struct("term", "removed")).alias("__pii_terms")  # of one text
     )
-    found = direct(docs, text=text, spans=spans).withColumn("__pii_key", F.xxhash64(text))
+
+    @F.arrow_udf(TERMS)
+    def spans_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, terms in batches:
+            rows = []
+            for x, held in zip(_texts(batch), terms.to_pylist(), strict=True):
+                action = {t["term"]: "remove" if t["removed"] else "generalise" for t in held or ()}
+                met = ((m, action.get(m.group().lower())) for m in (words(x) if action else ()))
+                rows.append([{"kind": TERM, "start": m.start(), "end": m.end(), "action": a} for m, a in met if a])
+            yield pa.array(rows, _TERMS)
+
+    found = found.withColumn("__pii_key", F.xxhash64(text))
     joined = found.join(by_content, F.col("__pii_key") == F.col("__pii_content"), "left")
-    terms = F.coalesce("__pii_terms", F.array().cast("array<struct<kind:string,start:int,end:int,action:string>>"))
-    joined = joined.withColumn(extra, terms)
+    joined = joined.withColumn(extra, spans_of(F.col(text), F.col("__pii_terms")))
     plain = F.transform(extra, lambda t: F.struct(t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
-    joined = joined.withColumn(spans, F.concat(spans, F.array_distinct(plain)))
+    joined = joined.withColumn(spans, F.concat(spans, plain))
     return joined.drop("__pii_key", "__pii_content", "__pii_terms")
 
 

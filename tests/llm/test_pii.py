@@ -68,3 +68,17 @@ def test_overlaps_and_classes(spark):
     df = spark.createDataFrame([(1, "call +1 234 567 8901 or 4111 1111 1111 1111 now")], "doc_id long, text string")
     assert pii.redact(pii.detect(df)).first()["text"] == "call [PHONE] or [CARD] now"
     assert [pii._term_class(w) for w in ("12", "Ann", "ann")] == ["[NUMBER]", "[NAME]", "[WORD]"]
+
+
+def test_disclosing_terms_are_marked_at_every_place(spark):
+    fill = [" ".join(f"{w}{i}" for w in ("filler", "plain", "other", "more", "text", "far")) for i in range(160)]
+    rows = [(i, f"Zorbax {fill[i]} Zorbax and ann@ex.org {fill[i + 20]} {fill[i + 40]} Quimby") for i in range(12)]
+    rows += [(100, f"{fill[90]} zorbax {fill[91]}, Quimby")]
+    rows += [(200 + i, f"{fill[i]} and the words of {fill[60 + i]}") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in pii.detect(df).collect()}
+    for i, text in rows:
+        marked = [(s["start"], s["end"]) for s in found[i] if s["kind"] == pii.TERM]
+        assert marked == [m.span() for m in re.finditer("[Zz]orbax|Quimby", text)]
+    clean = {r["doc_id"]: r["text"].lower() for r in pii.redact(pii.detect(df)).collect()}
+    assert not any("zorbax" in x or "quimby" in x for x in clean.values())
