@@ -30,6 +30,10 @@ def _orders_csv(spark, sf_dir):
     return path, orders.schema
 
 
+#: Records of a JSON array document, about; larger tables become more documents, not larger ones.
+ARRAY_RECORDS = 1000
+
+
 @query(_ORDERS)
 def csv_scan_typed(spark, sf_dir):
     path, schema = _orders_csv(spark, sf_dir)
@@ -63,9 +67,11 @@ def json_array_scan(spark, sf_dir):
     path = storage.scratch_dir(spark, "customer_arrays")
     customer = load(spark, sf_dir, "customer")
     record = F.to_json(F.struct(*customer.columns))
-    documents = customer.groupBy(F.pmod("c_custkey", F.lit(20)).alias("part")).agg(F.collect_list(record).alias("records"))
-    text = documents.select("part", F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]")).alias("value"))
-    text.write.partitionBy("part").text(path)
+    parts = max(1, -(-customer.count() // ARRAY_RECORDS))
+    part = F.pmod(F.xxhash64(*customer.columns), F.lit(parts))
+    documents = customer.groupBy(part.alias("part")).agg(F.collect_list(record).alias("records"))  # of one document
+    text = documents.select(F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]")).alias("value"))
+    text.write.option("maxRecordsPerFile", 1).text(path)  # a document per file
     return read_json(spark, path, customer.schema, multi_line=True).select(*customer.columns)
 
 

@@ -220,3 +220,16 @@ def test_write_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame(data, CUSTOMER)
     write_csv(df, str(tmp_path / "c"))
     assert rows(read_csv(spark, str(tmp_path / "c"), CUSTOMER, escape='"')) != []
+
+
+def test_json_array_documents_grow_in_number_with_the_rows(spark, tmp_path):
+    from dimflow.plans import files
+
+    names = "c_custkey long, c_name string"
+    customers = spark.range(30_000).selectExpr("id * 20 AS c_custkey", "'n' || id AS c_name")
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    read = files.json_array_scan(spark, str(tmp_path))
+    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 1500 and read.distinct().count() == 30_000
+    spark.createDataFrame([], names).write.parquet(str(tmp_path / "none" / "customer.parquet"))
+    assert files.json_array_scan(spark, str(tmp_path / "none")).count() == 0
