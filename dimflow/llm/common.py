@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dimflow.storage import scratch_dir
 
@@ -52,3 +53,20 @@ def int_lists(packed: list[bytes]) -> pa.Array:
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, which its owner sets by the size of the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, order: list[Column], out: str, label: str) -> tuple[DataFrame, int]:
+    """Every row with its number from 0 in the given order as column ``out``, and the number of rows.
+
+    Rows are dealt by ranges of the order and numbered within each; what goes through one task is a row per range, of
+    which there are as many as the session's shuffle width. Rows that tie are dealt over tasks too, in any order.
+    """
+    tie = df.withColumn("__tie", F.monotonically_increasing_id())
+    ranges = tie.repartitionByRange(partitions(df.sparkSession), *order, F.col("__tie")).sortWithinPartitions(*order, "__tie")
+    placed = stored(ranges.drop("__tie").withColumn("__at", F.monotonically_increasing_id()), label)
+    placed = placed.withColumn("__part", F.shiftright("__at", 33))  # the task's number, the row's number in it below
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__rows"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    number = F.col("__start") + F.col("__at").bitwiseAND((1 << 33) - 1)
+    return placed.join(F.broadcast(starts), "__part").withColumn(out, number).drop("__at", "__part", "__start"), placed.count()

@@ -8,10 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import ann, bpe, html, huffman, minhash, mixing, pii, pitman_yor, topk, toxicity
+from dimflow.llm import ann, bpe, html, huffman, minhash, mixing, pii, pitman_yor, sharding, topk, toxicity
 from dimflow.llm.common import key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
+#: The CRC of a text in SQL, four bits at a time: what one step adds for each value of the low bits.
+_CRC_STEP = [0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158, 0x5005713C,
+             0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4, 0xA00AE278, 0xBDBDF21C]
+
+
+def _crc32_sql(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes."""
+    digits = f"flatten(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda b: [b[2], b[1]]))"
+    values = f"list_transform({digits}, lambda d: (strpos('0123456789ABCDEF', d) - 1)::BIGINT)"
+    step = f"xor((CAST({_CRC_STEP} AS BIGINT[]))[(xor(c, x) & 15) + 1], c >> 4)"
+    return f"xor(list_reduce({values}, lambda c, x: {step}, 4294967295::BIGINT), 4294967295)"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -157,3 +170,34 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     found = html.extract(load(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+#: Shards of the documents, and the seed of their order.
+SHARDS, SHARD_SEED = 24, "shard"
+
+
+@query(f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size, {_crc32_sql("coalesce(text, '')")} AS text_crc32,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS x FROM documents),
+n AS (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS side FROM documents),
+walk AS (
+  SELECT x, x // side AS l, x % side AS r, 0 AS i, n, side FROM d, n
+  UNION ALL
+  SELECT x, r, (l + ('0x' || substr(md5('{SHARD_SEED}:' || i % {sharding.ROUNDS} || ':' || r), 1, 13))::BIGINT) % side, i + 1, n, side
+  FROM walk WHERE i = 0 OR i % {sharding.ROUNDS} > 0 OR l * side + r >= n),
+p AS (SELECT x, l * side + r AS place FROM walk WHERE i > 0 AND i % {sharding.ROUNDS} = 0 AND l * side + r < n)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (place % {SHARDS})::INTEGER AS shard,
+  (place // {SHARDS})::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM d JOIN p USING (x)
+""")
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    docs = load(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(8)).cast("long").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    placed, _ = sharding.shard(docs, SHARDS, seed=SHARD_SEED)
+    law = {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
+    return placed.withColumns(law).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
