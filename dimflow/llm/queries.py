@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import ann, bpe, html, huffman, minhash, mixing, pii, pitman_yor, sharding, topk, toxicity
-from dimflow.llm.common import key_crc, load, small_batches, stored
+from dimflow.llm import ann, bpe, html, huffman, importance, minhash, mixing, periodic, pii, pitman_yor, sharding, topk, toxicity
+from dimflow.llm.common import WORD, key_crc, load, small_batches, stored
 from dimflow.storage import scratch_dir
 
 #: The CRC of a text in SQL, four bits at a time: what one step adds for each value of the low bits.
@@ -201,3 +201,68 @@ def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = sharding.shard(docs, SHARDS, seed=SHARD_SEED)
     law = {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
     return placed.withColumns(law).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """The documents, with texts whose words go round from some word on where the checksum of the id ends in 0."""
+    h = key_crc("doc_id")
+    g = F.call_function("div", h, F.lit(10).cast("long"))
+    chosen = docs.withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    n = F.size("words")
+    chosen = chosen.withColumn("first", F.pmod(g, F.when(n > 0, n)))
+    chosen = chosen.withColumn("period", F.call_function("div", n - F.col("first"), F.pmod(g, F.lit(8)) + 3) + 1)
+    place = lambda i: F.when(i < F.col("first"), i).otherwise(F.col("first") + F.pmod(i - F.col("first"), F.col("period")))
+    rounds = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", place(i).cast("int"))), " ")
+    return chosen.withColumn("text", F.when(n > 0, rounds).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, some of which are made periodic."""
+    small_batches(spark)
+    docs = _planted(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = docs.select("doc_id", periodic.periodic("text").alias("found")).select("doc_id", "found.*")
+    found = found.withColumn("best", periodic.strongest(F.col("runs")))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _grams_sql(text: str) -> str:
+    """SQL for the list of all runs of one to three words of a text."""
+    low = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    found = f"regexp_extract_all({low}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    runs = [f"list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))" for n in (1, 2, 3)]
+    return f"(SELECT list_concat(list_concat({runs[0]}, {runs[1]}), {runs[2]}) FROM (SELECT {found} AS w))"
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, {_grams_sql("coalesce(text, '')")} AS f FROM documents),
+x AS (SELECT rid, unnest(f) AS f FROM d),
+y AS (SELECT unnest({_grams_sql("coalesce(text, '')")}) AS f FROM benchmark),
+n AS (SELECT f, sum(s)::BIGINT AS s, sum(t)::BIGINT AS t FROM (
+    SELECT f, count(*) AS s, 0 AS t FROM x GROUP BY f UNION ALL SELECT f, 0, count(*) FROM y GROUP BY f) GROUP BY f),
+h AS (SELECT *, {_crc32_sql("f")} % {importance.BUCKETS} AS bucket FROM n),
+b AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM h GROUP BY bucket),
+a AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM b),
+g AS (SELECT bucket, floor(1000 * ln((t + 1) * (all_s + {importance.BUCKETS}) / ((s + 1) * (all_t + {importance.BUCKETS}))))::BIGINT AS gain FROM b, a),
+w AS (SELECT rid, sum(gain)::BIGINT AS weight FROM x JOIN h USING (f) JOIN g USING (bucket) GROUP BY rid),
+r AS (
+  SELECT doc_id, len(f)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296.0::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN w USING (rid)),
+k AS (SELECT *, n_features >= 57 AS takes FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY takes ORDER BY score DESC, doc_id) AS place, count(*) FILTER (takes) OVER () AS n FROM k)
+SELECT doc_id, n_features, weight, score, CASE WHEN takes AND place <= 5 * n // 100 THEN place END AS rank FROM o
+""")
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark texts, and the twentieth that is drawn."""
+    small_batches(spark)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, load(spark, sf_dir, "benchmark").select("text"))
