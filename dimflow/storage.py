@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -33,6 +35,70 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     return fs.rename(src, dst)
 
 
+#: Schemes whose files tasks move themselves; others are reached through Hadoop's FileSystem on the driver only.
+TASK_SCHEMES = ("file", "hdfs")
+MOVED, MISSING = "moved", "missing"
+JOURNAL = "path string, target string, state string"
+
+
+def _split_uri(uri: str) -> tuple[str, str]:
+    """Scheme (file without one) and the URI in the form that pyarrow takes."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return "file", uri
+    return scheme, rest if scheme == "file" and not rest.startswith("//") else rest.removeprefix("//") if scheme == "file" else uri
+
+
+def _move_in_task(source: str, target: str) -> str:
+    """Move one file, or find it moved already."""
+    import pyarrow.fs as fs
+
+    (scheme, source), (_, target) = _split_uri(source), _split_uri(target)
+    if scheme == "file":
+        system = fs.LocalFileSystem()
+    else:
+        system, source = fs.FileSystem.from_uri(source)
+        target = fs.FileSystem.from_uri(target)[1]
+    folder, _, name = source.rpartition("/")
+    into, _, new = target.rpartition("/")
+    here, there = (info.type != fs.FileType.NotFound for info in system.get_file_info([source, target]))
+    if here:
+        system.create_dir(into, recursive=True)
+        system.move(source, target)
+        checksum = f"{folder}/.{name}.crc"  # Hadoop's, beside local files
+        if scheme == "file" and system.get_file_info(checksum).type != fs.FileType.NotFound:
+            system.move(checksum, f"{into}/.{new}.crc")
+    return MOVED if here or there else MISSING
+
+
+def move_files(moves: DataFrame) -> DataFrame:
+    """Move files within one file system, a row (path, target) each; returns the journal (path, target, state), stored.
+
+    Tasks move the files, so the work grows with the executors and none passes through the driver. A move may be repeated, after
+    a lost executor or in another run: a file that is at its target and no longer at its path is "moved"; one that is at
+    neither is "missing". File systems that tasks cannot reach without Hadoop are worked off on the driver.
+    """
+    spark = moves.sparkSession
+
+    def work(batches):
+        for batch in batches:
+            paths, targets = (batch.column(i).to_pylist() for i in (0, 1))
+            states = [_move_in_task(*pair) for pair in zip(paths, targets, strict=True)]
+            yield pa.RecordBatch.from_pydict({"path": paths, "target": targets, "state": states})
+
+    journal = scratch_dir(spark, "journal")
+    own = F.coalesce(F.nullif(F.regexp_extract("path", "^([a-zA-Z][A-Za-z0-9+.-]*):", 1), F.lit("")), F.lit("file")).isin(*TASK_SCHEMES)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    moves.where(own).repartition(width).mapInArrow(work, JOURNAL).write.parquet(journal)
+    rest = []
+    for row in moves.where(~own).collect():  # one row of metadata per file
+        done = move(spark, row.path, row.target) or exists(spark, row.target)
+        rest.append((row.path, row.target, MOVED if done else MISSING))
+    if rest:
+        spark.createDataFrame(rest, JOURNAL).write.mode("append").parquet(journal)
+    return spark.read.schema(JOURNAL).parquet(journal)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the shared folder named by ``spark.checkpoint.dir``.
 

@@ -1,12 +1,16 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dimflow import storage
 from dimflow.schemas import AUDIT, CUSTOMER, EVENT_LOG, struct, STRING, INT
 from dimflow.sources.files import archive_loaded, base_name, convert_to_parquet, csv_layouts, extension, merge_csv
+from dimflow.sources import json_arrays
 from dimflow.sources.jdbc import DIALECTS, ReadSplit, export_table, jdbc_options, read_jdbc
+from dimflow.sources.json_arrays import read_json_array
 from dimflow.sources.tables import compact, read_csv, read_json, read_table, write_csv, write_parquet, write_table
 from tests.conftest import rows
 
@@ -81,7 +85,10 @@ def test_names_with_special_characters(spark, tmp_path):
     assert rows(merge_csv(spark, str(src))) == [(str(i),) for i in range(5)]
     manifest = convert_to_parquet(spark, str(src), str(tmp_path / "out"))
     assert rows(manifest, "status", "row_count") == [("loaded", 1)] * 5
-    assert archive_loaded(spark, manifest, str(src), str(tmp_path / "arc"), "2024-06-30") == 5
+    journal = archive_loaded(spark, manifest, str(src), str(tmp_path / "arc"), "2024-06-30")
+    assert rows(journal, "state") == [("moved",)] * 5 and not list(src.glob("[!.]*"))
+    targets = [r.target for r in manifest.collect()]
+    assert rows(spark.read.parquet(*targets)) == [(str(i),) for i in range(5)]
 
 
 def test_layouts_are_found_by_hash_aggregation(spark, tmp_path):
@@ -109,8 +116,9 @@ def test_arrays_and_malformed_records_are_told_per_file(spark, tmp_path):
         "lines.json": ("loaded", 2, None), "array.json": ("loaded", 2, None),
         "some.json": ("loaded", 2, "1 malformed records"), "typed.csv": ("loaded", 2, "1 malformed records"),
     }
-    assert rows(spark.read.parquet(str(tmp_path / "out/array/array.parquet"))) == [(1,), (2,)]
-    assert spark.read.parquet(str(tmp_path / "out/typed/typed.parquet")).columns == ["a"]
+    targets = {r.path.rsplit("/", 1)[-1]: r.target for r in manifest.collect()}
+    assert rows(spark.read.parquet(targets["array.json"])) == [(1,), (2,)]
+    assert spark.read.parquet(targets["typed.csv"]).columns == ["a"]
 
 
 def test_merge_without_files(spark, tmp_path):
@@ -144,10 +152,13 @@ def test_conversion_isolates_failures(spark, tmp_path):
         "book.xlsx": ("unsupported", None), "twin.csv": ("failed", None), "twin.json": ("failed", None),
     }
     assert all(r.error for r in manifest.where("status = 'failed'").collect())
-    assert rows(spark.read.parquet(str(bronze / "customer data/customer data.parquet"))) == [("C1", "05565"), ("C2", "12345")]
-    assert spark.read.parquet(str(bronze / "events/events.parquet")).columns == EVENT_LOG.names
+    targets = {r.path.rsplit("/", 1)[-1]: r.target for r in manifest.where("target is not null").collect()}
+    assert all(t.startswith(f"file:{bronze}/") or t.startswith(f"file://{bronze}/") for t in targets.values())
+    assert rows(spark.read.parquet(targets["customer data.csv"])) == [("C1", "05565"), ("C2", "12345")]
+    assert spark.read.parquet(targets["events.json"]).columns == EVENT_LOG.names
 
-    assert archive_loaded(spark, manifest, str(raw), str(tmp_path / "archive"), "2024-06-30") == 3
+    journal = archive_loaded(spark, manifest, str(raw), str(tmp_path / "archive"), "2024-06-30")
+    assert rows(journal, "state") == [("moved",)] * 3
     assert sorted(p.name for p in (tmp_path / "archive/RAW_ARCHIVE/2024-06-30").iterdir() if not p.name.startswith(".")) == [
         "array.json", "customer data.csv", "events.json"
     ]
@@ -222,14 +233,122 @@ def test_write_csv_round_trip(spark, tmp_path):
     assert rows(read_csv(spark, str(tmp_path / "c"), CUSTOMER, escape='"')) != []
 
 
-def test_json_array_documents_grow_in_number_with_the_rows(spark, tmp_path):
-    from dimflow.plans import files
+def jobs_of(spark, work):
+    """The result of ``work`` and how many Spark jobs it took."""
+    tracker, group = spark.sparkContext.statusTracker(), f"count-{time.monotonic_ns()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return work(), len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_grow_with_layouts_not_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(1000):
+        (raw / f"orders_{i}.csv").write_text("id,zip\n" + f"{i},0{i}\n" * (i % 3))
+    manifest, jobs = jobs_of(spark, lambda: convert_to_parquet(spark, str(raw), str(tmp_path / "out"), parallel_jobs=1))
+    assert rows(manifest.groupBy("status").agg(F.count("*"), F.sum("row_count"))) == [("loaded", 1000, sum(i % 3 for i in range(1000)))]
+    assert manifest.where("target is null and row_count > 0").isEmpty()
+    assert jobs < 10
+    found = spark.read.parquet(*[r.target for r in manifest.where("target is not null").limit(5).collect()])
+    assert found.columns == ["id", "zip"]
+    _, jobs = jobs_of(spark, lambda: archive_loaded(spark, manifest, str(raw), str(tmp_path / "arc"), "d"))
+    assert jobs < 10 and not list(raw.glob("[!.]*"))
+
+
+def test_only_malformed_files_fail_and_converting_again_replaces(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(6):
+        (raw / f"f{i}.csv").write_text("a,b\n1,2\n" + ("3\n" if i == 4 else "3,4\n"))
+    convert = lambda **o: convert_to_parquet(spark, str(raw), str(tmp_path / "out"), **o)
+    manifest = convert(mode="FAILFAST")
+    assert rows(manifest, "status", "row_count", "error") == [("failed", None, "1 malformed records")] + [("loaded", 2, None)] * 5
+    (raw / "f4.csv").write_text("a,b\n5,6\n")
+    assert rows(convert(mode="FAILFAST"), "status", "row_count") == [("loaded", 1)] + [("loaded", 2)] * 5
+    assert spark.read.parquet(*{r.target.rsplit("/", 1)[0] for r in manifest.where("target is not null").collect()}).count() == 11
+
+
+def test_files_without_rows_or_with_clashing_columns(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "empty.csv").write_text("")
+    (raw / "header.csv").write_text("source_file,_source_file\n")
+    (raw / "one.csv").write_text("source_file,_source_file\nx,y\n")
+    (raw / "plus+ and 50%.json").write_text('[{"source_file": "x"}]')
+    manifest = convert_to_parquet(spark, str(raw), str(tmp_path / "out"))
+    found = {r.path.rsplit("/", 1)[-1]: r for r in manifest.collect()}
+    assert {(r.status, r.row_count) for n, r in found.items() if n in ("header.csv", "one.csv")} == {("loaded", 0), ("loaded", 1)}
+    assert rows(spark.read.parquet(found["one.csv"].target)) == [("x", "y")]
+    (plus,) = (r for n, r in found.items() if n.endswith("json"))
+    assert (plus.status, plus.row_count) == ("loaded", 1) and rows(spark.read.parquet(plus.target)) == [("x",)]
+
+
+def test_archive_repeats_a_half_done_run(spark, tmp_path):
+    source, archive = tmp_path / "raw/deep", tmp_path / "arc/RAW_ARCHIVE/d/deep"
+    source.mkdir(parents=True)
+    archive.mkdir(parents=True)
+    for i in range(8):
+        (source / f"{i}.csv").write_text(f"a\n{i}\n")
+    manifest = convert_to_parquet(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    for i in range(3):  # what an executor did before it was lost
+        (source / f"{i}.csv").rename(archive / f"{i}.csv")
+    (source / "7.csv").unlink()  # gone without a trace
+    for _ in range(2):
+        journal = archive_loaded(spark, manifest, str(tmp_path / "raw"), str(tmp_path / "arc"), "d")
+        assert rows(journal.groupBy("state").count()) == [("missing", 1), ("moved", 7)]
+    assert sorted(p.name for p in archive.glob("[!.]*")) == [f"{i}.csv" for i in range(7)]
+
+
+# --- JSON arrays ---------------------------------------------------------------------------
+
+
+def awkward_records(n):
+    texts = ["plain", 'quote " and {brace}', "} ] [ {", "back\\slash", 'ends \\"', "\\", "line\nend", "é😀\u2028", "", '"}"', "\\\"},{"]
+    return [{"id": i, "text": texts[i % len(texts)] * (i % 4), "more": {"list": [{"x": i}, {"x": [1, 2]}], "none": None}} for i in range(n)]
 
-    names = "c_custkey long, c_name string"
-    customers = spark.range(30_000).selectExpr("id * 20 AS c_custkey", "'n' || id AS c_name")
-    customers.write.parquet(str(tmp_path / "customer.parquet"))
-    read = files.json_array_scan(spark, str(tmp_path))
-    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
-    assert sum(sizes) == 30_000 and max(sizes) < 1500 and read.distinct().count() == 30_000
-    spark.createDataFrame([], names).write.parquet(str(tmp_path / "none" / "customer.parquet"))
-    assert files.json_array_scan(spark, str(tmp_path / "none")).count() == 0
+
+RECORD = "id long, text string, more struct<list: array<struct<x: string>>, none: string>"
+
+
+@pytest.mark.parametrize("indent", [None, 1])
+@pytest.mark.parametrize("block", [300, 5000, 10**8])
+def test_json_arrays_in_blocks_of_any_size(spark, tmp_path, indent, block):
+    records = awkward_records(400)
+    (tmp_path / "one.json").write_text("\ufeff \n" + json.dumps(records, indent=indent), encoding="utf-8")
+    (tmp_path / "two.json").write_text(json.dumps(records[:7], indent=indent, ensure_ascii=False) + "\n\n", encoding="utf-8")
+    (tmp_path / "none.json").write_text("[]")
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "single.json").write_text(json.dumps(records[5], indent=indent))
+    (tmp_path / "mixed.json").write_text('[1, "a{\\"b}", {"id": -1, "text": "t"}, null, {"id": -2}, "{"]')
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        found = read_json_array(spark, str(tmp_path), StructType.fromDDL(RECORD))
+        got = sorted((r.id, r.text, r.more and [x.x for x in r.more.list]) for r in found.collect())
+        text = spark.read.option("lineSep", "}").text(str(tmp_path / "one.json"))
+        assert block > 10**6 or text.rdd.getNumPartitions() > 3, "the document is read by several tasks"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    expected = [(r["id"], r["text"], [str(r["more"]["list"][0]["x"]), "[1,2]"]) for r in [*records, *records[:7], records[5]]]
+    assert got == sorted([*expected, (-1, "t", None), (-2, None, None)], key=lambda r: (r[0], r[1] or ""))
+
+
+def test_json_arrays_without_schema_and_cut_off(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1, "b": "x\\ny"}, {"a": 2}]')
+    assert rows(read_json_array(spark, str(tmp_path / "a.json"))) == [(1, "x\ny"), (2, None)]
+    (tmp_path / "cut.json").write_text('[{"a": 1}, {"a": [2, ')
+    schema = StructType.fromDDL("a string, _corrupt_record string")
+    found = read_json_array(spark, str(tmp_path / "cut.json"), schema).collect()
+    assert sorted((r.a, r._corrupt_record is not None) for r in found if r.a) == [("1", False)] and len(found) == 2
+
+
+def test_json_array_states_meet_in_a_join_beyond_the_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(json_arrays, "BROADCAST_BLOCKS", 0)
+    records = awkward_records(50)
+    (tmp_path / "one.json").write_text(json.dumps(records))
+    assert read_json_array(spark, str(tmp_path), StructType.fromDDL(RECORD)).count() == 50
