@@ -13,20 +13,27 @@ from array import array
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dimflow.llm.common import binary_array, int_lists
+from dimflow.llm.common import binary_array, int_lists, kept, no_collector, pieces_of
 
 #: White space other than blank, tab and line ends: texts that have it are split by the pattern as a whole.
 _RARE_SPACE = regex.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 #: A run of white space and what follows it. No piece of the pattern goes on from other characters into white space, and
 #: no piece looks further than the first character after white space, so these parts are encoded apart.
 _PART = regex.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: Parts that a worker remembers, and the longest worth it (characters).
-MEMORY, REMEMBERED = 160_000, 64
+#: White space that a blank follows: such texts are cut into parts one by one.
+_RUNS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+#: Parts that a worker remembers, and the longest worth it (characters); bytes of texts that are encoded together.
+MEMORY, REMEMBERED, TOGETHER = 160_000, 64, 1 << 22
+#: Longest piece whose table is worked out from its end, by recursion; longer ones from the start.
+DEEPEST = 256
 
 
 def parse_ranks(lines: bytes) -> dict[bytes, int]:
@@ -49,9 +56,9 @@ class Ranks:
         self._made: dict[int, tuple[int, int] | None] = {}
         #: Finds every token that ends at a place, longest first; tokens that merging never gives are left out.
         self.endings = ahocorasick.Automaton()
-        for token, i in ranks.items():
-            if i < 256 or self.made(i):
-                self.endings.add_word(token.decode("latin-1"), i)
+        self.usable = {token: i for token, i in ranks.items() if i < 256 or self.made(i)}
+        for token, i in self.usable.items():
+            self.endings.add_word(token.decode("latin-1"), i)
         self.endings.make_automaton()
 
     @classmethod
@@ -121,6 +128,41 @@ class Ranks:
                 last.append(token)
                 end += 1
 
+    def last_token(self, data: bytes, end: int, last: list[int | None]) -> int:
+        """The last token of the prefix of ``data`` that ends at ``end``, from ``last``, where it is put as well.
+
+        Only the prefixes that its candidates ask for are worked out, the longest candidate first. As the valid one is
+        unique, the order changes the work only.
+        """
+        usable, known = self.usable, self.fits
+        start = end - self.longest if end > self.longest else 0
+        while True:
+            token = usable.get(data[start:end])
+            if token is not None:
+                if not start:
+                    break
+                before = last[start]
+                if before is None:
+                    before = self.last_token(data, start, last)
+                pair = (before, token)
+                fits = known.get(pair)
+                if self.fit(pair) if fits is None else fits:
+                    break
+            start += 1
+        last[end] = token
+        return token
+
+    def tokens(self, data: bytes) -> list[int]:
+        """The tokens of a piece that is no token itself."""
+        size = len(data)
+        if size > DEEPEST:
+            last = [-1]
+            self.extend(data, last, 0)
+        else:
+            last = [None] * (size + 1)
+            self.last_token(data, size, last)
+        return self.walk(last)
+
     def walk(self, last: list[int]) -> list[int]:
         """The tokens of the whole, from the last tokens of its prefixes."""
         lengths, out, end = self.lengths, [], len(last) - 1
@@ -170,31 +212,73 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def encode(self, text: str) -> list[int]:
-        return array("i", self.packed(text)).tolist()
+        return array("i", self.packed(pa.array([text]))[0]).tolist()
 
-    def packed(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        if _RARE_SPACE.search(text):
-            return self._direct(text)
-        parts = _PART.findall(text)
-        found = list(map(self.young.get, parts))
+    def packed(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers; texts may be null.
+
+        Texts are cut at their blanks by Arrow, and each distinct part, a blank with what follows it, is looked up once.
+        A blank behind other white space does not start a part, so texts that have such are cut one by one.
+        """
+        found = [b""] * len(texts)
+        runs = pc.match_substring_regex(texts, _RUNS)  # null where the text is
+        for i in pc.indices_nonzero(runs).to_pylist():
+            found[i] = self._text(texts[i].as_py())
+        plain = pc.indices_nonzero(pc.invert(runs))
+        for i, ids in zip(plain.to_pylist(), self._cut(texts.take(plain)), strict=True):
+            found[i] = ids
+        return found
+
+    def _cut(self, texts: pa.Array) -> list[bytes]:
+        """Texts in which every blank starts a part."""
+        lists = pc.split_pattern(texts, " ")
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        distinct = lists.flatten().dictionary_encode()
+        coded = self._parts([f" {part}" for part in distinct.dictionary.to_numpy(zero_copy_only=False)])
+        firsts = [self._first(text) for text in pc.list_element(lists, 0).to_numpy(zero_copy_only=False)]
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        places = np.cumsum(sizes) - sizes
+        parts = distinct.indices.to_numpy()
+        counts = sizes[parts]
+        counts[bounds[:-1]] = 0  # the first part of a text has no blank
+        done = np.concatenate([[0], np.cumsum(counts)])
+        flat = ids[np.repeat(places[parts] - done[:-1], counts) + np.arange(done[-1])].tobytes()
+        ends = (done[bounds] * 4).tolist()
+        return [first + flat[a:b] for first, a, b in zip(firsts, ends, ends[1:], strict=False)]
+
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        young = self.young
+        found = list(map(young.get, parts))
         if None in found:
             for i, known in enumerate(found):
                 if known is None:
                     found[i] = self._part(parts[i])
-        return b"".join(found)
+        return found
+
+    def _first(self, part: str) -> bytes:
+        return self._part(part) if part else b""
+
+    def _text(self, text: str) -> bytes:
+        """A text by its own parts."""
+        if _RARE_SPACE.search(text):
+            return self._direct(text)
+        return b"".join(self._parts(_PART.findall(text)))
 
     def _part(self, part: str) -> bytes:
-        """A part that is not in the young generation."""
-        known = self.old.get(part)
+        """A part that may not be in the young generation."""
+        known = self.young.get(part) or self.old.get(part)
         if known is None:
             word = part[1:] if part[0] == " " else part
             if word.isalpha():  # one piece
                 known = self._piece(part)
             elif word[:-1].isalpha() and word[-1] in ".,":  # two
                 known = self._known(part[:-1]) + self._piece(part[-1])
-            else:
+            elif not word or _RARE_SPACE.search(word):
                 known = self._direct(part)
+            else:
+                parts = _PART.findall(part)
+                known = b"".join(map(self._part, parts)) if len(parts) > 1 else self._direct(part)
         self._remember(part, known)
         return known
 
@@ -219,9 +303,7 @@ class Encoder:
         whole = self.ranks.ids.get(data)
         if whole is not None:  # a piece that is a token is never merged, also where merging would not give it
             return whole.to_bytes(4, "little")
-        last = [-1]
-        self.ranks.extend(data, last, 0)
-        return array("i", self.ranks.walk(last)).tobytes()
+        return array("i", self.ranks.tokens(data)).tobytes()
 
 
 class EditableText:
@@ -277,16 +359,9 @@ class EditableText:
         return [token for table in self.tables for token in table.tokens()]
 
 
-_ENCODERS: dict[tuple[int, str], Encoder] = {}
-
-
 def _encoder(shared, pattern: str) -> Encoder:
     """One encoder per Python worker, so that later tasks find its memory filled."""
-    key = (hash(shared.value), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(Ranks.parse(shared.value), pattern)
-    return _ENCODERS[key]
+    return kept(("bpe", hash(shared.value), pattern), lambda: Encoder(Ranks.parse(shared.value), pattern))
 
 
 def share_vocabulary(spark: SparkSession, path: str):
@@ -307,7 +382,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared, pattern)
         for batch in batches:
-            yield int_lists([encoder.packed(x.as_py()) if x.is_valid else b"" for x in batch])
+            with no_collector():
+                found = [ids for texts in pieces_of(batch, TOGETHER) for ids in encoder.packed(texts)]
+            yield int_lists(found)
 
     return docs.withColumn(ids, to_ids(F.col(text)))
 
@@ -318,17 +395,43 @@ def decoder(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
 
     @F.arrow_udf("binary")
     def to_bytes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ranks = parse_ranks(shared.value)
-        table = [b""] * (max(ranks.values()) + 1)
-        for token, i in ranks.items():
-            table[i] = token
+        table = kept(("bpe-bytes", hash(shared.value)), lambda: _token_bytes(shared.value))
         for batch in batches:
-            values, ends = batch.values, batch.offsets.to_pylist()
-            yield binary_array([b"".join([table[i] for i in values[a:b].to_pylist()]) for a, b in zip(ends, ends[1:], strict=False)])
+            yield binary_array(_decoded(batch, table))
 
     return to_bytes
 
 
+def _token_bytes(lines: bytes) -> list[bytes]:
+    ranks = parse_ranks(lines)
+    table = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        table[i] = token
+    return table
+
+
+def _decoded(lists: pa.ListArray, table: list[bytes]) -> list[bytes]:
+    values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_pylist()
+    return [b"".join(map(table.__getitem__, values[a:b].tolist())) for a, b in zip(ends, ends[1:], strict=False)]
+
+
+PACKED = T.StructType([T.StructField("packed", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
+
+
+def packed_and_decoded(spark: SparkSession, vocabulary: str) -> Callable[[Column], Column]:
+    """A column function from token ids to a struct of them as :func:`pack_ids` gives them, and their bytes."""
+    shared = share_vocabulary(spark, vocabulary)
+
+    @F.arrow_udf(PACKED)
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table = kept(("bpe-bytes", hash(shared.value)), lambda: _token_bytes(shared.value))
+        for batch in batches:
+            columns = [binary_array(_packed(batch)), binary_array(_decoded(batch, table))]
+            yield pa.StructArray.from_arrays(columns, ["packed", "decoded"])
+
+    return both
+
+
 def decode(docs: DataFrame, vocabulary: str, *, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes of the token ids; a column named like ``out`` is replaced."""
     return docs.withColumn(out, decoder(docs.sparkSession, vocabulary)(F.col(ids)))
@@ -339,7 +442,11 @@ def pack_ids(ids: Column) -> Column:
 
     @F.arrow_udf("binary")
     def pack(batch: pa.Array) -> pa.Array:
-        values, ends = batch.values.to_numpy(zero_copy_only=False).astype("<u4"), batch.offsets.to_numpy()
-        return binary_array([values[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)])
+        return binary_array(_packed(batch))
 
     return pack(ids)
+
+
+def _packed(lists: pa.ListArray) -> list[bytes]:
+    values, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
+    return [values[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,9 +32,10 @@ def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Send whole texts to Python workers in smaller Arrow batches than the default 10,000 rows."""
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Send whole texts to Python workers in smaller Arrow batches than the default 10,000 rows and 64 MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def key_crc(key: Column | str) -> Column:
@@ -70,3 +75,33 @@ def numbered(df: DataFrame, order: list[Column], out: str, label: str) -> tuple[
     starts = counts.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
     number = F.col("__start") + F.col("__at").bitwiseAND((1 << 33) - 1)
     return placed.join(F.broadcast(starts), "__part").withColumn(out, number).drop("__at", "__part", "__start"), placed.count()
+
+
+@contextmanager
+def no_collector():
+    """Keep the cycle collector from walking over large memories again and again; nothing in them forms cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
+_KEPT: dict = {}
+
+
+def kept(key, build):
+    """An object that a Python worker keeps for later tasks. Only the latest is kept, as workers serve all operators."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def pieces_of(texts: pa.Array, size: int) -> list[pa.Array]:
+    """A batch of texts in slices of some ``size`` bytes."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(total)) + 1).tolist(), len(texts)]
+    return [texts[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]

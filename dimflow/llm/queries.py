@@ -46,15 +46,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
-    digests = coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        bpe.pack_ids(F.col("ids")).alias("packed"),
-        bpe.decoder(spark, vocabulary)(F.col("ids")).alias("decoded"),
-    )
-    return digests.select(
-        "doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    both = bpe.packed_and_decoded(spark, vocabulary)(F.col("ids"))
+    digests = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), both.alias("both"))
+    sha = [F.sha2(f"both.{part}", 256).alias(name) for part, name in (("packed", "ids_sha256"), ("decoded", "decoded_sha256"))]
+    return digests.select("doc_id", "n_tokens", *sha)
 
 
 @query()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe
+from dimflow.llm import bpe, queries
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SIGNS = "aé \n\t\xa0'sßtheIN漢  .,!12  "
@@ -77,3 +78,26 @@ def test_empty_table(no_docs):
 def test_vocabulary_without_bytes_is_refused():
     with pytest.raises(ValueError):
         bpe.Ranks({b"a": 0})
+
+
+def test_tables_from_either_end_agree(ranks):
+    rng = random.Random(8)
+    for _ in range(400):
+        data = "".join(rng.choice("thienaosé漢 ") for _ in range(rng.randint(1, 30))).encode()
+        last: list = [-1]
+        ranks.extend(data, last, 0)
+        lazy = [None] * (len(data) + 1)
+        ranks.last_token(data, len(data), lazy)
+        assert all(found in (None, token) for found, token in zip(lazy[1:], last[1:], strict=True))
+        assert ranks.tokens(data) == ranks.walk(last)
+
+
+def test_query_equals_the_library(spark, docs, expected, texts, tmp_path):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op1_byte_bpe(spark, str(tmp_path)).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        text = texts[row.doc_id] or ""
+        ids = np.array(expected(text), "<u4")
+        assert row.n_tokens == len(ids) and row.ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
