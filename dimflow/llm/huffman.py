@@ -10,6 +10,7 @@ Spark as a whole and lie on any file system that Spark reaches.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -17,22 +18,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from dimflow.llm.common import binary_array, stored
+from dimflow.llm.common import binary_array, kept, no_collector, pieces_of, stored
 
 #: Longest code in bits, ids between two checkpoints, ids aimed for in a block and in a part.
 LONGEST, STEP, BLOCK_IDS, PART_IDS = 18, 64, 1 << 16, 1 << 22
-#: Words a worker remembers, and the longest worth it (characters).
-MEMORY, REMEMBERED = 700_000, 64
+#: Words a worker remembers, and the longest worth it (characters); bytes of texts that are encoded together.
+MEMORY, REMEMBERED, TOGETHER = 600_000, 64, 1 << 22
 
 #: Type codes of packed ids by their bytes.
 WIDTHS = {2: "H", 4: "I"}
 
-_WORDS = re.compile(r"[^ \t\n\r]+")
+#: The normalizer and the pattern of the vocabulary whose words are cut into pieces here.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: The same pattern for a lowered ASCII word.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
 
 
 def width_of(vocabulary: int) -> int:
@@ -41,73 +57,126 @@ def width_of(vocabulary: int) -> int:
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer that never joins characters across white space, a word at a time."""
+    """Encodes texts with a tokenizer that never joins characters across white space, a word at a time.
+
+    The texts of a batch are cut into words and their distinct words found by Arrow; those that are not known yet are learned
+    together. If the tokenizer has the normalizer and the pattern of this vocabulary, an unknown word is cut into the
+    pattern's pieces here and its pieces are remembered as well; the tokenizer's model encodes a piece. Else, and for words
+    of other scripts' signs, the tokenizer encodes the word.
+    """
 
     def __init__(self, tokenizer_json: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         self.code = WIDTHS[width_of(self.tokenizer.get_vocab_size())]
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("added tokens must be matched in the text as it is, wherever they are")
+        self.added = {t.content: array(self.code, [i]).tobytes() for i, t in added.items()}
+        form = json.loads(tokenizer_json)
+        self.own_pieces = (form["normalizer"], form["pre_tokenizer"]) == (_NORMALIZER, _PRE_TOKENIZER)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-
-    def packed(self, text: str) -> bytes:
-        """The ids as little-endian unsigned integers of the encoder's width."""
+        self.pieces: dict[str, bytes] = {}
+
+    def packed(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian unsigned integers of the encoder's width; texts may be null."""
+        if texts.null_count:
+            found, given = [b""] * len(texts), pc.indices_nonzero(texts.is_valid())
+            for i, ids in zip(given.to_pylist(), self.packed(texts.take(given)), strict=True):
+                found[i] = ids
+            return found
+        for token in self.added:
+            if pc.any(pc.match_substring(texts, token)).as_py():  # white space changes nothing around it
+                texts = pc.replace_substring(texts, token, f" {token} ")
+        lists = pc.ascii_split_whitespace(texts)
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        distinct = lists.flatten().dictionary_encode()
+        coded = self._coded(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+        width = array(self.code).itemsize
+        ids = np.frombuffer(b"".join(coded), f"<u{width}")
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // width
+        places = np.cumsum(sizes) - sizes
+        words = distinct.indices.to_numpy()
+        counts = sizes[words]
+        done = np.concatenate([[0], np.cumsum(counts)])
+        flat = ids[np.repeat(places[words] - done[:-1], counts) + np.arange(done[-1])].tobytes()
+        bounds = (done[ends] * width).tolist()
+        return [flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _coded(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words; an empty word has none."""
         if len(self.young) > MEMORY:
             self.young, self.old = {}, self.young
-        words = _WORDS.findall(text)
         missing = set(words).difference(self.young)
         if missing:
             self._learn(missing)
-        out = b"".join(map(self.young.__getitem__, words))
+        coded = list(map(self.young.__getitem__, words))
         for word in missing:
             if len(word) > REMEMBERED:
                 del self.young[word]
-        return out
+        return coded
 
     def _learn(self, words: set[str]) -> None:
-        """Words that are not in the young generation: a sign behind letters is a token of its own, and ASCII
-        letters are lowered by any rule, so that such words share what their letters are encoded to."""
-        young, old = self.young, self.old
-        parts, unknown = [], set()
-        for word in words:
-            known = old.get(word)
-            if known is not None:
-                young[word] = known
-                continue
-            stem, sign = (word[:-1], word[-1]) if word[-1] in ".,!?:;" and self._normal(word[:-1]).isalpha() else (word, "")
-            if stem.isascii():
-                stem = stem.lower()
-            parts.append((word, stem, sign))
-            for piece in (stem, sign):
-                if piece and piece not in young:
-                    known = old.get(piece)
-                    if known is None:
-                        unknown.add(piece)
-                    else:
-                        young[piece] = known
-        self._encode(list(unknown))
-        for word, stem, sign in parts:
-            young[word] = young[stem] + young[sign] if sign else young[stem]
-
-    def _normal(self, word: str) -> str:
-        return word if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-
-    def _encode(self, pieces: list[str]) -> None:
-        """A run of letters is one word to the tokenizer, so after normalisation its model takes it as it is."""
-        others = []
-        for piece in pieces:
-            word = self._normal(piece)
-            if piece.isalpha() and word.isalpha():
-                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_SIGNS)
-                self.young[piece] = array(self.code, [token.id for token in self.model.tokenize(spelled)]).tobytes()
+        young, old, pieces = self.young, self.old, self.pieces
+        if "" in words:
+            young[""] = b""
+        for word in words & self.added.keys():
+            young[word] = self.added[word]
+        for word in words & old.keys():
+            young[word] = old[word]
+        new = [w for w in words if w not in young]
+        if not self.own_pieces:
+            self._by_tokenizer(new, young)
+            return
+        if len(pieces) > MEMORY:
+            pieces.clear()
+        several: dict[str, list[str]] = {}
+        single: dict[str, str] = {}
+        other = [w for w in new if not w.isascii() and len(w.split()) != 1]  # with white space beyond ASCII
+        if other:
+            new = list(set(new).difference(other))
+        for word, plain in zip(new, self._normal(new), strict=True):
+            if plain.isalpha():
+                single[word] = plain
+            elif plain.isascii():
+                several[word] = _ASCII_PIECES.findall(plain)
+            elif plain[:-1].isalpha() and plain[-1] in ".,!?:;":
+                several[word] = [plain[:-1], plain[-1]]
             else:
-                others.append(piece)
-        for piece, coded in zip(others, self.tokenizer.encode_batch(others, add_special_tokens=False), strict=True):
-            self.young[piece] = array(self.code, coded.ids).tobytes()
+                other.append(word)
+        needed = set(single.values()).union(*several.values()) - pieces.keys()
+        for piece in needed:
+            spelled = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
+            pieces[piece] = array(self.code, [token.id for token in self.model.tokenize(spelled)]).tobytes()
+        for word, plain in single.items():
+            young[word] = pieces[plain]
+        for word, parts in several.items():
+            young[word] = b"".join([pieces[p] for p in parts])
+        self._by_tokenizer(other, young)
+        for piece in needed:
+            if len(piece) > REMEMBERED:
+                del pieces[piece]
+
+    def _normal(self, words: list[str]) -> list[str]:
+        """Words as the normalizer gives them: ASCII is lowered by any rule, the others are normalized together."""
+        found = [w.lower() if w.isascii() else "" for w in words]
+        others = [i for i, w in enumerate(found) if not w]
+        if others:
+            normalize = self.tokenizer.normalizer.normalize_str
+            together = normalize(" ".join([words[i] for i in others])).split(" ")
+            if len(together) != len(others):
+                together = [normalize(words[i]) for i in others]
+            for i, plain in zip(others, together, strict=True):
+                found[i] = plain
+        return found
+
+    def _by_tokenizer(self, words: list[str], into: dict[str, bytes]) -> None:
+        for word, coded in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
+            into[word] = array(self.code, coded.ids).tobytes()
 
 
 def _byte_signs() -> dict[int, int]:
@@ -118,15 +187,8 @@ def _byte_signs() -> dict[int, int]:
 
 _BYTE_SIGNS = _byte_signs()
 
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
 def _encoder(shared) -> WordEncoder:
-    key = hash(shared.value)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(shared.value)
-    return _ENCODERS[key]
+    return kept(("words", hash(shared.value)), lambda: WordEncoder(shared.value))
 
 
 def tokenize(docs: DataFrame, tokenizer: str, *, end_id: int, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -143,7 +205,9 @@ def tokenize(docs: DataFrame, tokenizer: str, *, end_id: int, text: str = "text"
         encoder = _encoder(shared)
         end = array(encoder.code, [end_id]).tobytes()
         for batch in batches:
-            yield binary_array([(encoder.packed(x.as_py()) if x.is_valid else b"") + end for x in batch])
+            with no_collector():
+                found = [ids for texts in pieces_of(batch, TOGETHER) for ids in encoder.packed(texts)]
+            yield binary_array([ids + end for ids in found])
 
     return docs.withColumn(ids, to_ids(F.col(text)))
 

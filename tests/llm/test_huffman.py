@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from dimflow.llm import huffman
+from dimflow.llm import huffman, queries
 from dimflow.storage import scratch_dir
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -17,7 +19,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -26,8 +27,44 @@ def test_encoder_equals_the_library(library, texts):
         encoder = huffman.WordEncoder(file.read())
     rng = random.Random(6)
     samples = ["".join(rng.choice("aé\x1c \n\t\xa0'sßtheIN漢́  .,!12 ΣKİ") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
-    for text in [*(x for x in texts if x is not None), *samples, "<|endoftext|> it's"]:
-        assert np.frombuffer(encoder.packed(text), "<u2").tolist() == library(text)
+    samples += ["".join(rng.choice(["<|endoftext|>", "<|startoftext|>", "<|endoftext", "|>", " ", "a", "É", "."]) for _ in range(9)) for _ in range(300)]
+    for batch in ([x or "" for x in texts], samples, ["hello <|endoftext|> world", "<|startoftext|>it's<|endoftext|><|ENDOFTEXT|>"], []):
+        found = encoder.packed(pa.array(batch, pa.string()))
+        assert [np.frombuffer(x, "<u2").tolist() for x in found] == [library(text) for text in batch]
+
+
+def test_memory_of_the_encoder_is_bounded_and_changes_nothing(library, texts, monkeypatch):
+    monkeypatch.setattr(huffman, "MEMORY", 5)
+    with open(PATH, "rb") as file:
+        encoder = huffman.WordEncoder(file.read())
+    for text in texts:
+        (found,) = encoder.packed(pa.array([text or ""]))
+        assert np.frombuffer(found, "<u2").tolist() == library(text)
+    assert len(encoder.young) < 400
+
+
+def test_other_tokenizers_encode_words_themselves(texts):
+    form = json.loads(open(PATH).read())
+    form["normalizer"]["normalizers"].pop()
+    encoder, plain = huffman.WordEncoder(json.dumps(form).encode()), Tokenizer.from_str(json.dumps(form))
+    assert not encoder.own_pieces
+    found = encoder.packed(pa.array([x or "" for x in texts]))
+    assert [np.frombuffer(x, "<u2").tolist() for x in found] == [plain.encode(x or "", add_special_tokens=False).ids for x in texts]
+    form["added_tokens"][0]["lstrip"] = True
+    with pytest.raises(ValueError, match="added"):
+        huffman.WordEncoder(json.dumps(form).encode())
+
+
+def test_query_equals_the_library(spark, docs, library, texts, tmp_path):
+    more = spark.createDataFrame([(1000, "a <|endoftext|> b", "en", "s", 0)], docs.schema)
+    docs.unionByName(more).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op8_huffman_ids(spark, str(tmp_path)).collect()}
+    expected, start = {}, 0
+    for doc_id, text in [*enumerate(texts), (1000, "a <|endoftext|> b")]:
+        ids = [*library(text), 2]
+        expected[doc_id] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert found == expected
 
 
 @pytest.mark.parametrize("longest", [9, 12, 18])
