@@ -7,9 +7,10 @@ sets agree in a coordinate with the probability of their Jaccard similarity, con
 
 ``BANDS`` bands of ``ROWS`` coordinates give candidate groups; at the least similarity of 0.75 a pair shares none with a
 probability of 3e-8. Equal sets become one class beforehand. Within a group pairs are not enumerated: in each
-round a group's members are compared with one hub, and only those of other components than the hub's. What stays apart
-after some rounds is compared in tiles of bounded size, where sketches rule out all but likely pairs. Every link is
-confirmed on the full sets before it counts, and a pair goes uncompared only if it is connected already.
+round a group's members are compared with one hub, that which shares most bands with others, and only those of other
+components than the hub's. In a group that is still of several components, each member lies in one tile of bounded size,
+and only members outside the main component visit the other tiles of their group, where sketches rule out all but likely
+pairs. Every link is confirmed on the full sets before it counts, and a pair goes uncompared only if it is connected already.
 """
 
 from __future__ import annotations
@@ -30,10 +31,11 @@ SHINGLE, BANDS, ROWS = 5, 64, 5
 T = BANDS * ROWS
 #: Hundredths of the union that must be shared.
 LEAST = 75
-#: Rounds of hubs before tiles, members of a tile, and the share of equal coordinates from which a pair of a tile is
-#: compared: five standard deviations below the least similarity.
-HUBS, TILE, LIKELY = 3, 256, 0.63
+#: Rounds of hubs before tiles, members and shingles of a tile, and the share of equal coordinates from which a pair of a
+#: tile is compared: five standard deviations below the least similarity.
+HUBS, TILE, TILE_SHINGLES, LIKELY = 2, 1024, 1 << 22, 0.63
 
+_MOST_SHARED = "struct(fame, id)"  # the same in all groups, so that one hub serves many of them
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -229,24 +231,25 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     links = stored(placed.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("class").alias("b")).filter("a <> b"), "links")
 
     in_bands = classes.select(F.col("class").alias("id"), F.explode("bands").alias("key"))
-    shared = in_bands.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
-    members = stored(in_bands.join(shared, "key", "left_semi"), "members")
+    shared = in_bands.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    grouped = stored(in_bands.join(shared, "key"), "members")
+    fame = grouped.groupBy("id").agg(F.sum("members").alias("fame"))
+    members = stored(grouped.select("key", "id").join(fame, "id"), "members")
     involved = members.select("id").distinct()
     first_text = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(involved, "id", "left_semi")
     sets = stored(first_text.select("id", _set_of(F.col("text")).alias("set")), "sets")
 
     found = components(links)
-    for turn in range(HUBS):
+    for _ in range(HUBS):
         live = _with_component(members, found)
-        order = F.xxhash64("id", F.lit(turn))  # the same in all groups, so that one hub serves many of them
         hubs = live.groupBy("key").agg(
-            F.min_by(F.struct("id", "component"), order).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
+            F.max_by(F.struct("id", "component"), F.expr(_MOST_SHARED)).alias("hub"), F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low <> high").select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of"))
         # The hub is compared with every member of another component, so the rest of the group needs it no more.
-        members = stored(live.join(hubs, "key").filter("id <> hub").select("key", "id", "component", "hub", "of"), "members")
+        members = stored(live.join(hubs, "key").filter("id <> hub").select("key", "id", "fame", "component", "hub", "of"), "members")
         pairs = members.filter("component <> of").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
         confirmed = _verified(pairs, sets)
-        members = members.select("key", "id")
+        members = members.select("key", "id", "fame")
         if confirmed.isEmpty():
             if members.isEmpty():
                 break
@@ -269,35 +272,39 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
 
 
 def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
-    return members.join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    return members.join(found, "id", "left").select("key", "id", "fame", F.coalesce("component", "id").alias("component"))
 
 
 def _tiled(live: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between members of a group that are of different components.
 
-    A group's members are dealt into tiles of about ``TILE``, and every two tiles meet in a task of their own, which
-    compares the full sets of pairs that sketches call likely and that no link found there connects yet.
+    A group's members are dealt into tiles, a row each. Members outside the main component, that of the member which shares most
+    bands, are also sent to the group's other tiles, so rows grow with the members, and with the tiles for those few only.
+    A task compares the full sets of pairs that sketches call likely and that no link found there connects yet.
     """
-    sizes = live.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low <> high").select("key", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
-    dealt = live.join(sizes, "key").withColumn("tile", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
-    dealt = dealt.join(classes.select(F.col("class").alias("id"), "n", "bits"), "id").join(sets, "id")
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    copies = dealt.withColumn("other", other).select(
-        "key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "component", "n", "bits", "set"
-    )
+    sized = live.join(classes.select(F.col("class").alias("id"), "n", "bits"), "id")
+    tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
+    groups = sized.groupBy("key").agg(
+        tiles.alias("tiles"),
+        F.max_by("component", F.expr(_MOST_SHARED)).alias("main"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+    ).filter("low <> high").select("key", "tiles", "main")
+    dealt = sized.join(groups, "key").withColumn("home", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    visits = F.when(F.col("component") == F.col("main"), F.array("home")).otherwise(F.sequence(F.lit(0), F.col("tiles") - 1))
+    copies = dealt.withColumn("tile", F.explode(visits)).join(sets, "id")
+    copies = copies.select("key", "tile", (F.col("home") == F.col("tile")).alias("lives"), "id", "main", "component", "n", "bits", "set")
 
     def linked(table: pa.Table) -> pa.Table:
-        ids, component, n, tile = (table.column(c).to_numpy() for c in ("id", "component", "n", "tile"))
+        ids, component, n = (table.column(c).to_numpy() for c in ("id", "component", "n"))
+        lives = table.column("lives").to_numpy()
         bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint8).reshape(len(ids), T)
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         full = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set").combine_chunks()]
+        outside = component != table.column("main")[0].as_py()
         component, out = component.copy(), []
-        left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
-        for at in left:
-            others = right[right > at] if i == j else right
-            others = others[component[others] != component[at]]
+        for at in np.flatnonzero(outside):
+            # Two outsiders meet in both their tiles; the one of the smaller id looks for the other.
+            others = np.flatnonzero(lives & (~outside | (ids > ids[at])) & (component != component[at]))
             small, large = np.minimum(n[others], n[at]), np.maximum(n[others], n[at])
             others = others[100 * small >= LEAST * large]
             equal = (bits[others] == bits[at]).sum(axis=1)
@@ -308,4 +315,4 @@ def _tiled(live: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
         a, b = (np.array(side, np.int64) for side in (zip(*out, strict=True) if out else ((), ())))
         return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
-    return copies.groupBy("key", "i", "j").applyInArrow(linked, "a long, b long").distinct()
+    return copies.groupBy("key", "tile").applyInArrow(linked, "a long, b long").distinct()

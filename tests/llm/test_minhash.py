@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dimflow.llm import minhash
@@ -44,10 +47,18 @@ def test_a_large_group_of_near_copies(spark):
     assert result(minhash.near_duplicates(df)) == brute(texts)
 
 
-def test_tiles_find_what_hubs_leave(spark, docs, texts, monkeypatch):
-    monkeypatch.setattr(minhash, "HUBS", 0)
-    monkeypatch.setattr(minhash, "TILE", 2)
-    assert result(minhash.near_duplicates(docs)) == brute(texts)
+@pytest.mark.parametrize("hubs, tile", [(0, 2), (1, 7), (2, 1024)])
+def test_tiles_find_what_hubs_leave(spark, docs, texts, monkeypatch, hubs, tile):
+    """Near copies that are no copies of each other, and pairs that only their tile can find."""
+    monkeypatch.setattr(minhash, "HUBS", hubs)
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(hubs)
+    base = [f"w{i}" for i in range(70)]
+    ball = [" ".join(f"v{i}.{k}" if k in changed else w for k, w in enumerate(base)) for i in range(60) for changed in [rng.sample(range(70), rng.choice([1, 2, 3]))]]
+    pairs = [x.replace("w69", f"u{i // 2}").replace("w35", f"t{i // 2}").replace("w10", f"s{i // 2}") for i, x in enumerate(ball[:20])]
+    both = [*texts, *ball, *pairs]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(enumerate([*ball, *pairs], len(texts))), "doc_id long, text string"))
+    assert result(minhash.near_duplicates(df)) == brute(both)
 
 
 def test_components_of_a_long_chain(spark):
