@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, TimestampType
@@ -70,29 +73,70 @@ def run_incremental(
     Without ``keys`` the increment is what is newer than the watermark; rows without a stamp
     cannot be told from loaded ones and are left out in every run. With ``keys`` it is
     :func:`keyed_increment`, which takes late rows as well. The watermark is the maximum over
-    the rows written, or the one before if none had a stamp. The audit row is appended in
-    every run, only after the write succeeded. A run that failed before that can be
-    repeated: it replaces its own output. A run already recorded writes nothing.
+    the rows written, or the one before if none had a stamp. The increment is computed once, on
+    its way into a folder that readers do not see. A numbered commit file, which only one of several
+    runs can create, then makes it the job's next load, and the folder and the audit row follow; a run
+    that finds a commit without them, as its writer was lost, adds them first. A run that finds
+    its number taken drops its output and starts again from the new watermark, so runs may overlap. A
+    run that failed may be repeated; one already recorded writes nothing.
     """
-    audit = read_table(spark, "parquet", {"path": audit_path}, schema=AUDIT, missing_ok=True)
-    if not audit.where((F.col("jobname") == job) & (F.col("runid") == run_id)).isEmpty():
-        return 0
-    if keys:
-        loaded = spark.read.parquet(target_path) if storage.exists(spark, target_path) else None
-        increment = keyed_increment(source, audit, job, ts_col, loaded, keys)
-    else:
-        increment = incremental_extract(source.where(F.col(ts_col).isNotNull()), audit, job, ts_col)
-    if increment.isEmpty():
-        _record(spark, audit, audit_path, job, run_id, None)
-        return 0
-    # Directly under the write, the metrics count each written row once even if tasks are retried.
-    written = Observation(f"{job}-{run_id}")
-    observed = (compact(increment) if compact_files else increment).observe(
-        written, F.count(F.lit(1)).alias("row_count"), F.max(ts_col).cast("timestamp").cast("string").alias("mark")
-    )
-    write_table(observed, "parquet", {"path": f"{target_path}/run_id={run_id}"}, mode="overwrite")
-    _record(spark, audit, audit_path, job, run_id, written.get["mark"])
-    return written.get["row_count"]
+    log = _CommitLog(spark, audit_path, target_path, job)
+    while True:
+        number = log.repair()
+        audit = log.audit()
+        if not audit.where((F.col("jobname") == job) & (F.col("runid") == run_id)).isEmpty():
+            return 0
+        if keys:
+            loaded = spark.read.schema(source.schema).parquet(target_path) if storage.exists(spark, target_path) else None
+            increment = keyed_increment(source, audit, job, ts_col, loaded, keys)
+        else:
+            increment = incremental_extract(source.where(F.col(ts_col).isNotNull()), audit, job, ts_col)
+        # Directly under the write, the metrics count each written row once even if tasks are retried.
+        written = Observation(f"{job}-{run_id}")
+        observed = (compact(increment) if compact_files else increment).observe(
+            written, F.count(F.lit(1)).alias("row_count"), F.max(ts_col).cast("timestamp").cast("string").alias("mark")
+        )
+        staged = f"_staged-{uuid.uuid4().hex}"
+        try:
+            write_table(observed, "parquet", {"path": f"{target_path}/{staged}"}, mode="overwrite")
+        except Exception:
+            storage.delete(spark, f"{target_path}/{staged}")
+            raise
+        rows, mark = written.get["row_count"], written.get["mark"]
+        if log.commit(number + 1, {"run_id": run_id, "staged": staged, "rows": rows, "mark": mark}):
+            log.repair()
+            return rows
+        storage.delete(spark, f"{target_path}/{staged}")
+
+
+class _CommitLog:
+    """The numbered loads of a job, one small file each."""
+
+    def __init__(self, spark: SparkSession, audit_path: str, target_path: str, job: str):
+        self.spark, self.audit_path, self.target_path, self.job = spark, audit_path, target_path, job
+        self.folder = f"{audit_path}/_commits/{quote(job, safe='')}"  # readers of the audit skip it
+
+    def audit(self) -> DataFrame:
+        return read_table(self.spark, "parquet", {"path": self.audit_path}, schema=AUDIT, missing_ok=True)
+
+    def commit(self, number: int, load: dict) -> bool:
+        return storage.put_if_absent(self.spark, f"{self.folder}/{number:012d}", json.dumps(load))
+
+    def repair(self) -> int:
+        """Complete the last load, if its writer has not, and return its number; 0 without loads."""
+        names = [n for n in storage.list_names(self.spark, self.folder) if n.isdigit()]
+        if not names:
+            return 0
+        load = json.loads(storage.read_text(self.spark, f"{self.folder}/{names[-1]}"))
+        staged, run_id = f"{self.target_path}/{load['staged']}", load["run_id"]
+        if not load["rows"]:
+            storage.delete(self.spark, staged)
+        elif storage.exists(self.spark, staged) and not storage.exists(self.spark, f"{self.target_path}/run_id={run_id}"):
+            storage.move(self.spark, staged, f"{self.target_path}/run_id={run_id}")
+        audit = self.audit()
+        if audit.where((F.col("jobname") == self.job) & (F.col("runid") == run_id)).isEmpty():
+            _record(self.spark, audit, self.audit_path, self.job, run_id, load["mark"])
+        return int(names[-1])
 
 
 def _record(spark: SparkSession, audit: DataFrame, audit_path: str, job: str, run_id: str, mark: str | None) -> None:

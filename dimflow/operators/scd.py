@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DataType, DateType
 
 from dimflow.entities import EntitySpec
@@ -115,6 +115,68 @@ def scd2_merge(
     return merged.unionByName(dim.where(~is_open)) if include_history else merged
 
 
+def scd2_history(
+    dim: DataFrame | None,
+    source: DataFrame,
+    spec: EntitySpec,
+    effective: str,
+    as_of: str,
+    *,
+    order_by: Sequence[Column | str] = (),
+) -> DataFrame:
+    """The dimension after changes that take effect at ``source``'s column ``effective``, any number per key, early or late.
+
+    A key's versions and changes are put in order as points in time, and each lasts until the next: a change within a closed
+    version splits it, one before all others precedes them, and the end of a version that nothing follows stays a
+    gap until the next point. A change at the start of a version takes its place; of several at the same time the first by
+    ``order_by`` counts. A point that has the tracked values of the point before it changes nothing, so the earlier version
+    lasts longer; it is not remembered, so a change that arrives later and falls before it lasts beyond it. New versions have no update stamp; versions that end at another time than before get ``as_of``. Keys without
+    changes pass through unshuffled but for the search for them. Rows without key or effective time are ignored. Versions of
+    a key in ``dim`` must not overlap. The versions of one key are ordered in one task.
+    """
+    keys = list(spec.key)
+    changes = source.select(
+        *(F.col(f.name).cast(f.dataType) for f in spec.schema.fields), F.col(effective).cast(spec.stamp_type).alias("__at")
+    ).where(all_present(keys) & F.col("__at").isNotNull())
+    changes = dedup_by_key(changes, [*keys, "__at"], order_by)
+    stamp, never = F.lit(as_of).cast(spec.stamp_type), F.lit(None).cast(spec.stamp_type)
+    point = {"__end": never, "__updated": never, "__kind": F.lit(0)}
+    points = changes.withColumns(point)
+    untouched = None
+    if dim is not None:
+        dim = conform(dim, spec.dim_schema)
+        touched = changes.select(*(F.col(k).alias(f"__k_{k}") for k in keys)).distinct().withColumn("__touched", F.lit(True))
+        same_key = reduce(and_, (F.col(k) == F.col(f"__k_{k}") for k in keys))
+        marked = dim.join(touched, same_key, "left")
+        untouched = marked.where("__touched IS NULL").select(*dim.columns)
+        old = marked.where("__touched").select(
+            *spec.columns,
+            F.col(spec.start).alias("__at"),
+            F.col(spec.end).alias("__end"),
+            (F.col(spec.updated) if spec.updated else never).alias("__updated"),
+            F.lit(1).alias("__kind"),
+        )
+        values = [c for c in spec.columns if c not in keys]
+        ends = old.where("__end IS NOT NULL").withColumns({"__at": F.col("__end"), "__kind": F.lit(2)})
+        ends = ends.withColumns({c: F.lit(None).cast(spec.schema[c].dataType) for c in values})
+        points = points.unionByName(old).unionByName(ends)
+    # Of points at one time a change comes before a version, and a version before an end.
+    points = points.withColumn("__rank", F.row_number().over(Window.partitionBy(*keys, "__at").orderBy("__kind"))).where("__rank = 1")
+    by_time = Window.partitionBy(*keys).orderBy("__at")
+    tracked = F.struct(*(F.col(c) for c in spec.tracked), (F.col("__kind") == 2).alias("__gap"))
+    before = F.lag(tracked).over(by_time)
+    first_gap = before.isNull() & (F.col("__kind") == 2)
+    points = points.withColumn("__same", tracked.eqNullSafe(before) | first_gap).where("NOT __same")
+    points = points.withColumn("__until", F.lead("__at").over(by_time)).where("__kind <> 2")
+    kept = (F.col("__kind") == 1) & F.col("__until").eqNullSafe(F.col("__end"))
+    out = {c: F.col(c) for c in spec.columns}
+    out[spec.start], out[spec.end], out[spec.active] = F.col("__at"), F.col("__until"), F.col("__until").isNull()
+    if spec.updated:
+        out[spec.updated] = F.when(F.col("__kind") == 0, never).when(kept, F.col("__updated")).otherwise(stamp)
+    merged = points.select(*(out[c].alias(c) for c in spec.dim_schema.fieldNames()))
+    return merged if untouched is None else merged.unionByName(untouched)
+
+
 def scd1_merge(
     dim: DataFrame,
     source: DataFrame,

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from dimflow import storage
 from dimflow.entities import ENTITIES, WEBSHOP_TYPE1_TRACKED, EntitySpec
 from dimflow.operators.cleanse import prepare
 from dimflow.operators.incremental import insert_ignore as first_of_new_keys
-from dimflow.operators.scd import scd1_merge, scd2_merge
+from dimflow.operators.scd import scd1_merge, scd2_history as merge_history, scd2_merge
 from dimflow.plans.base import load, query, register
 from dimflow.plans.inputs import (
     AS_OF, BINDINGS, CLOSED_AT, LOADED_AT, Binding, derive, older, repeated, select_list, snapshot,
@@ -149,6 +149,61 @@ def dimension_store(spark, sf_dir):
     return store.read()
 
 
+#: Changes of a customer by the remainder of the key: when they take effect, some late and some at once.
+_CHANGES = [(0, "2023-03-01"), (1, "2023-06-15"), (2, "2024-02-01"), (3, "2024-05-05"), (0, "2024-08-08"), (1, "2022-01-01")]
+
+
+def _changes(b: Binding) -> list[tuple[dict[str, str], str, str]]:
+    """Per change its columns, the rows that have it, and its effective time: every third takes the values of the version in force."""
+    parts = []
+    for i, (rest, at) in enumerate(_CHANGES):
+        columns = b.columns if i % 3 == 2 else b.columns | {"city": f"'City {i}'"}
+        parts.append((columns, f"c_custkey % 4 = {rest}", f"TIMESTAMP_NTZ '{at} 00:00:00'"))
+    return parts
+
+
+def _history_sql(b: Binding, spec: EntitySpec) -> str:
+    """The same by the points in time: at each the change or version that starts last before it is in force."""
+    cols, (key,) = spec.columns, spec.key
+    now = _stamp(spec, AS_OF)
+    changes = " UNION ALL ".join(
+        f"SELECT {select_list(columns)}, {at.replace('TIMESTAMP_NTZ', 'TIMESTAMP')} AS since FROM {b.table} WHERE {where}" for columns, where, at in _changes(b)
+    )
+
+    def version(columns, opened, closed):
+        end = _stamp(spec, closed) if closed else _never(spec)
+        return f"SELECT {select_list(columns)}, {_stamp(spec, opened)} AS since, {end} AS until, {_stamp(spec, closed or opened)} AS upd FROM {b.table}"
+
+    values = ", ".join(cols)
+    empty = ", ".join(key if c == key else f"NULL AS {c}" for c in cols)
+    tracked = " AND ".join(f"{c} IS NOT DISTINCT FROM p_{c}" for c in spec.tracked)
+    lags = ", ".join(f"lag({c}) OVER w AS p_{c}" for c in spec.tracked)
+    return f"""WITH c AS ({changes}),
+    dim AS ({version(b.columns, LOADED_AT, None)} UNION ALL {version(older(b), '2023-01-01 00:00:00', CLOSED_AT)}),
+    d AS (SELECT * FROM dim WHERE {key} IN (SELECT {key} FROM c)),
+    points AS (
+        SELECT {values}, since, NULL AS until, NULL AS upd, 0 AS kind FROM c
+        UNION ALL SELECT {values}, since, until, upd, 1 FROM d WHERE (({key}, since) NOT IN (SELECT ({key}, since) FROM c))
+        UNION ALL SELECT {empty}, until, until, upd, 2 FROM d WHERE until IS NOT NULL
+            AND ({key}, until) NOT IN (SELECT ({key}, since) FROM c) AND ({key}, until) NOT IN (SELECT ({key}, since) FROM d)),
+    steps AS (SELECT *, {lags}, lag(kind = 2) OVER w AS p_gap FROM points WINDOW w AS (PARTITION BY {key} ORDER BY since)),
+    new AS (SELECT * FROM steps WHERE p_gap IS NULL OR (kind = 2) <> p_gap OR NOT ({tracked})),
+    lasting AS (SELECT *, lead(since) OVER (PARTITION BY {key} ORDER BY since) AS next FROM new)
+    SELECT {values}, since AS {spec.start}, CASE WHEN kind = 0 THEN NULL WHEN until IS NOT DISTINCT FROM next THEN upd ELSE {now} END AS {spec.updated},
+        next IS NULL AS {spec.active}, next AS {spec.end} FROM lasting WHERE kind < 2
+    UNION ALL SELECT {values}, since, upd, until IS NULL, until FROM dim WHERE {key} NOT IN (SELECT {key} FROM c)
+    """
+
+
+@query(_history_sql(BINDINGS["customer"], ENTITIES["customer"]))
+def scd2_history(spark, sf_dir):
+    """Several effective dates of a customer in one load, some within closed versions and some before all others."""
+    b, spec = BINDINGS["customer"], ENTITIES["customer"]
+    table = load(spark, sf_dir, b.table)
+    parts = [derive(table.where(where), columns | {"at": at}) for columns, where, at in _changes(b)]
+    return merge_history(versioned_dim(spark, sf_dir, b, spec), reduce(DataFrame.unionByName, parts), spec, "at", AS_OF)
+
+
 _TYPE1 = BINDINGS["webshop_customer"]
 _TYPE1_OLD = _TYPE1.columns | {"gender": "'U'", "ins_dt": "DATE '2024-01-01'", "upd_dt": "CAST(NULL AS date)"}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,10 +100,58 @@ def move_files(moves: DataFrame) -> DataFrame:
     return spark.read.schema(JOURNAL).parquet(journal)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file, such as a commit."""
+    fs, hpath = _hadoop(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless it exists; of several writers one gets True. Readers see the whole text or no file.
+
+    The text is written under another name, which then becomes ``path``: by a hard link on local file systems, else by a
+    rename, which HDFS refuses if the target exists. On stores without atomic renames two writers may both win.
+    """
+    fs, hpath = _hadoop(spark, path)
+    fs.mkdirs(hpath.getParent())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f".{hpath.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if fs.getScheme() != "file":
+            return not fs.exists(hpath) and fs.rename(draft, hpath)
+        local = [spark._jvm.java.io.File(p.toUri().getPath()).toPath() for p in (hpath, draft)]
+        try:
+            spark._jvm.java.nio.file.Files.createLink(*local)
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in str(error.java_exception.getClass()):
+                raise
+            return False
+        return True
+    finally:
+        fs.delete(draft, False)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove what this library wrote under ``path`` itself, such as the output of a run that lost."""
+    fs, hpath = _hadoop(spark, path)
+    fs.delete(hpath, True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh directory under the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting it lies in the session's warehouse, which executors reach as well.
+    Without that setting it lies in the session's warehouse, which executors must reach as well: on a cluster a warehouse on
+    local disks is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        if _split_uri(shared)[0] == "file" and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -68,3 +68,13 @@ def test_prepare_does_not_require_the_customer_key(spark):
         [(None, "Ann", "Lee", "Oak St")], "customer_id string, first_name string, last_name string, address string"
     )
     assert prepare(df, CUSTOMER, "2024-05-01 10:00:00").count() == 1
+
+
+def test_rows_with_maps_are_distinct_by_their_entries(spark):
+    kind = "id int, m map<string, int>, deep struct<list: array<map<int, map<string, string>>>, x: int>"
+    data = [
+        (1, {"a": 1, "b": None}, ([{1: {"x": "y", "z": None}}], 2)), (1, {"b": None, "a": 1}, ([{1: {"z": None, "x": "y"}}], 2)),
+        (1, {"a": 1}, None), (1, {"a": 1}, None), (1, None, None), (1, None, (None, None)), (1, {}, (None, None)), (2, {}, (None, None)),
+    ]
+    found = remove_duplicates(spark.createDataFrame(data, kind))
+    assert found.count() == 6 and found.schema.simpleString() == spark.createDataFrame([], kind).schema.simpleString()

@@ -1,7 +1,11 @@
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 import pytest
 
+from dimflow import storage
+from dimflow.operators import incremental
+
 from dimflow.operators.incremental import audit_rows, incremental_extract, insert_ignore, run_incremental
 from dimflow.schemas import AUDIT
 from tests.conftest import rows
@@ -118,3 +122,53 @@ def test_insert_ignore(spark):
     incoming = spark.createDataFrame([(1, "x"), (2, "b"), (2, "a"), (None, "n")], "id int, v string")
     assert rows(insert_ignore(target, incoming, ["id"])) == [(2, "a")]
     assert rows(insert_ignore(target, incoming, ["id"], order_by=[incoming.v.desc()])) == [(2, "b")]
+
+
+def test_overlapping_runs_load_each_row_once(spark, tmp_path, monkeypatch):
+    trail, target = str(tmp_path / "audit"), str(tmp_path / "target")
+
+    def run(run_id, *days, **options):
+        return run_incremental(spark, source(spark, *days), trail, target, "orders", run_id, "last_updated_date", **options)
+
+    commit = incremental._CommitLog.commit
+
+    def interrupted(self, number, load):
+        monkeypatch.setattr(incremental._CommitLog, "commit", commit)
+        assert run("fast", 1, 2) == 2  # while the slow run is between its write and its commit
+        return commit(self, number, load)
+
+    monkeypatch.setattr(incremental._CommitLog, "commit", interrupted)
+    assert run("slow", 1, 2, 3) == 1
+    assert rows(spark.read.parquet(target), "id", "run_id") == [(1, "fast"), (2, "fast"), (3, "slow")]
+    assert not list((tmp_path / "target").glob("_staged*"))
+
+
+def test_a_commit_whose_writer_was_lost_is_completed(spark, tmp_path, monkeypatch):
+    trail, target = str(tmp_path / "audit"), str(tmp_path / "target")
+
+    def run(run_id, *days):
+        return run_incremental(spark, source(spark, *days), trail, target, "or/ders", run_id, "last_updated_date", keys=["id"])
+
+    repair, calls = incremental._CommitLog.repair, []
+
+    def lost(self):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return repair(self)
+
+    monkeypatch.setattr(incremental._CommitLog, "repair", lost)
+    with pytest.raises(RuntimeError):
+        run("r1", 1, 2)
+    monkeypatch.setattr(incremental._CommitLog, "repair", repair)
+    assert run("r1", 1, 2) == 0 and run("r2", 1, 2, 3) == 1
+    assert rows(spark.read.parquet(target), "id", "run_id") == [(1, "r1"), (2, "r1"), (3, "r2")]
+    assert rows(spark.read.parquet(trail), "runid") == [("r1",), ("r2",)]
+
+
+def test_one_of_many_writers_wins(spark, tmp_path):
+    path = str(tmp_path / "deep/commit")
+    with ThreadPool(8) as pool:
+        won = pool.map(lambda i: storage.put_if_absent(spark, path, f"writer {i}"), range(16))
+    assert sum(won) == 1 and storage.read_text(spark, path) == f"writer {won.index(True)}"
+    assert [p.name for p in (tmp_path / "deep").iterdir() if not p.name.endswith(".crc")] == ["commit"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dimflow.entities import CUSTOMER, ENTITIES, HOSPITAL, POLICY, WEBSHOP_CUSTOMER, WEBSHOP_TYPE1_TRACKED
 from dimflow.operators.cleanse import prepare
-from dimflow.operators.scd import scd1_merge, scd2_merge
+from dimflow.operators.scd import scd1_merge, scd2_history, scd2_merge
 from dimflow.schemas import DIM_CUSTOMER_TYPE1, DIM_CUSTOMER_TYPE2, POLICY as POLICY_SCHEMA, RAW_CUSTOMER
 from dimflow.sources.dimension_store import DimensionStore, read_dimension
 from tests.conftest import rows
@@ -200,7 +200,8 @@ def test_store_keeps_versions_and_full_history(spark, tmp_path):
         ("H1", "Bergen", False, D2), ("H1", "Oslo", False, D1), ("H1", "Tromso", True, None), ("H2", "Rome", True, None)
     ]
     assert store.read_open().count() == 2
-    closed = spark.read.parquet(str(tmp_path / "dim_hospital/version=3/row_state=closed"))
+    (third,) = (tmp_path / "dim_hospital").glob("version=3.*")
+    closed = spark.read.parquet(str(third / "row_state=closed"))
     assert rows(closed, "location") == [("Bergen",)], "a version stores only the rows it closed"
 
 
@@ -216,3 +217,76 @@ def test_store_ignores_an_unfinished_version(spark, tmp_path):
 def test_store_never_drops_history(spark, tmp_path):
     with pytest.raises(ValueError, match="never removed"):
         DimensionStore(spark, str(tmp_path), HOSPITAL).merge(hospitals(spark), T0, absent="drop")
+
+
+def test_a_version_taken_by_another_load_is_merged_again(spark, tmp_path, monkeypatch):
+    store = DimensionStore(spark, str(tmp_path / "dim"), HOSPITAL)
+    store.merge(hospitals(spark, ("H1", "A", "Oslo", "ISO")), T0)
+    write, other = DimensionStore.write, DimensionStore(spark, str(tmp_path / "dim"), HOSPITAL)
+
+    def interrupted(self, merged, version):
+        monkeypatch.setattr(DimensionStore, "write", write)
+        assert other.merge(hospitals(spark, ("H2", "B", "Rome", None)), T1) == 2  # while this load is on its way
+        return write(self, merged, version)
+
+    monkeypatch.setattr(DimensionStore, "write", interrupted)
+    assert store.merge(hospitals(spark, ("H1", "A", "Bergen", "ISO")), T2) == 3
+    assert rows(store.read(), "hospital_id", "location", "is_active") == [("H1", "Bergen", True), ("H1", "Oslo", False), ("H2", "Rome", True)]
+    assert len(list((tmp_path / "dim").glob("version=2*"))) == 1, "the load that came second left nothing behind"
+
+
+def history(spark, dim, *changes):
+    source = spark.createDataFrame(list(changes), "hospital_id string, hospital_name string, location string, accreditation string, at string")
+    return scd2_history(dim, source, HOSPITAL, "at", T2)
+
+
+def timeline(df):
+    return rows(df, "hospital_id", "location", "insert_date", "end_date", "is_active", "update_date")
+
+
+def test_changes_split_the_versions_they_fall_into(spark):
+    day = lambda d: datetime(2024, 1, d)
+    dim = history(spark, None, ("H1", "A", "Oslo", "I", "2024-01-10"), ("H1", "A", "Rome", "I", "2024-01-20"), ("H2", "B", "Kiel", "I", "2024-01-10"))
+    assert timeline(dim) == [
+        ("H1", "Oslo", day(10), day(20), False, None), ("H1", "Rome", day(20), None, True, None), ("H2", "Kiel", day(10), None, True, None),
+    ]
+    late = history(
+        spark, dim, ("H1", "A", "Bonn", "I", "2024-01-15"), ("H1", "A", "Graz", "I", "2024-01-05"), ("H1", "A", "Rome", "I", "2024-01-25"),
+        ("H1", "A", "Paris", "I", "2024-01-15"), (None, "A", "Lost", "I", "2024-01-15"), ("H1", "A", "Lost", "I", None),
+    )
+    assert timeline(late) == [
+        ("H1", "Bonn", day(15), day(20), False, None), ("H1", "Graz", day(5), day(10), False, None),
+        ("H1", "Oslo", day(10), day(15), False, D2), ("H1", "Rome", day(20), None, True, None), ("H2", "Kiel", day(10), None, True, None),
+    ]
+    again = history(spark, late, ("H1", "A", "Rome", "I", "2024-01-15"))  # in place of a version, with the values of the next
+    assert [r for r in timeline(again) if r[0] == "H1"][-1] == ("H1", "Rome", day(15), None, True, None)
+
+
+def test_random_histories_equal_what_is_in_force_day_by_day(spark):
+    rng, kinds = random.Random(3), ["ISO", "NABH", None]
+    dim, found = None, []
+    for _ in range(3):
+        changes = [(f"H{rng.randint(1, 6)}", "N", rng.choice("abc"), rng.choice(kinds), f"2024-01-{rng.randint(1, 28):02d}") for _ in range(25)]
+        changes = list({(c[0], c[4]): c for c in changes}.values())
+        truth = {(r.hospital_id, r.insert_date): (r.location, r.accreditation) for r in found}
+        truth |= {(c[0], datetime.fromisoformat(c[4])): c[2:4] for c in changes}
+        found = history(spark, dim, *changes).collect()
+        dim = spark.createDataFrame(found, HOSPITAL.dim_schema)
+        for key in {k for k, _ in truth}:
+            versions = sorted((r for r in found if r.hospital_id == key), key=lambda r: r.insert_date)
+            assert all(a.end_date == b.insert_date for a, b in zip(versions, versions[1:])) and versions[-1].end_date is None
+            assert all((a.location, a.accreditation) != (b.location, b.accreditation) for a, b in zip(versions, versions[1:]))
+            for d in range(1, 29):
+                at = datetime(2024, 1, d)
+                past = max((t for k, t in truth if k == key and t <= at), default=None)
+                force = [(r.location, r.accreditation) for r in versions if r.insert_date <= at and (r.end_date is None or at < r.end_date)]
+                assert force == ([] if past is None else [truth[key, past]])
+
+
+def test_gaps_stay_until_a_change_fills_them(spark):
+    dim = scd2_merge(start(spark), hospitals(spark), HOSPITAL, T1, absent="expire")
+    late = timeline(history(spark, dim, ("H1", "A", "Oslo", "ISO", "2024-02-10"), ("H2", "B", "Wien", None, "2024-01-20")))
+    assert [r[:4] for r in late] == [
+        ("H1", "Oslo", D0, D1), ("H1", "Oslo", datetime(2024, 2, 10), None),
+        ("H2", "Rome", D0, datetime(2024, 1, 20)), ("H2", "Wien", datetime(2024, 1, 20), D1), ("H3", "Bonn", D0, D1),
+    ]
