@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimflow.llm.common import binary_array, int_lists, kept, no_collector, pieces_of
+from dimflow.llm.common import binary_array, int_lists, kept, no_collector, pieces_of, tidy
 
 #: White space other than blank, tab and line ends: texts that have it are split by the pattern as a whole.
 _RARE_SPACE = regex.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
@@ -380,6 +380,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, *, text: str = "text"
 
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return tidy(coded(batches))
+
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(shared, pattern)
         for batch in batches:
             with no_collector():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from contextlib import contextmanager
 
@@ -95,11 +96,27 @@ _KEPT: dict = {}
 def kept(key, build):
     """An object that a Python worker keeps for later tasks. Only the latest is kept, as workers serve all operators."""
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            give_back()
         _KEPT[key] = build()
     return _KEPT[key]
 
 
+def give_back() -> None:
+    """Return a worker's free memory to the system, which allocators otherwise hold for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
+def tidy(batches):
+    """The batches that a worker makes; its free memory is given back behind the last."""
+    yield from batches
+    give_back()
+
+
 def pieces_of(texts: pa.Array, size: int) -> list[pa.Array]:
     """A batch of texts in slices of some ``size`` bytes."""
     total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)) // size

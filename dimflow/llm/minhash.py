@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType
 
-from dimflow.llm.common import stored
+from dimflow.llm.common import kept, stored, tidy
 
 #: Words of a shingle, bands of a sketch and coordinates of a band.
 SHINGLE, BANDS, ROWS = 5, 64, 5
@@ -119,7 +119,10 @@ def _sketched(text: Column) -> Column:
 
     @F.arrow_udf(_SKETCHED)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        shingler = Shingler()
+        return tidy(sketched(batches))
+
+    def sketched(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        shingler = kept("shingler", Shingler)
         for batch in batches:
             sizes, digests, keys, bits = [], [], [], []
             for sets in _batched(batch, shingler):
@@ -141,9 +144,8 @@ def _sketched(text: Column) -> Column:
 
 @F.arrow_udf(BinaryType())
 def _set_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    shingler = Shingler()
-    for batch in texts:
-        yield pa.array([shingler.shingles(x.as_py() or "").tobytes() for x in batch], pa.binary())
+    shingler = kept("shingler", Shingler)
+    return tidy(pa.array([shingler.shingles(x.as_py() or "").tobytes() for x in batch], pa.binary()) for batch in texts)
 
 
 @F.arrow_udf(BooleanType())

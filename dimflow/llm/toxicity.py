@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import key_crc, stored
+from dimflow.llm.common import kept, key_crc, stored, tidy
 
 #: Labelled rows to learn from (half of each class at most), and voters in the lexicon.
 SAMPLE, VOTERS = 20_000, 256
@@ -87,6 +87,10 @@ class Voters:
         return sorted(voted)
 
 
+def _voters(lexicon: list[str]) -> Voters:
+    return kept(("voters", tuple(lexicon)), lambda: Voters(lexicon))
+
+
 def _is_word(char: str) -> bool:
     return char.isalnum() or char == "_"
 
@@ -213,7 +217,7 @@ def _agreement(docs: DataFrame, text: str, lexicon: list[str]) -> np.ndarray:
     """How many documents of the corpus each two voters vote on together; voters' own counts on the diagonal."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters = Voters(lexicon)
+        voters = _voters(lexicon)
         pairs: Counter = Counter()
         for batch in batches:
             for value in batch.column(0):
@@ -301,7 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     shared = list(lexicon)
 
     def ballots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voters = Voters(shared)
+        voters = _voters(shared)
         for batch in batches:
             voted = pa.array([voters.votes(x.as_py()) for x in batch.column(1)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), voted], names=["label", "votes"])
@@ -336,8 +340,8 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", out: str = "scor
 
     @F.arrow_udf("double")
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, voters = shared.value, Voters(shared.value.lexicon)
-        for batch in batches:
-            yield pa.array([model.score(voters, x.as_py() or "") for x in batch], pa.float64())
+        model = shared.value
+        voters = _voters(model.lexicon)
+        return tidy(pa.array([model.score(voters, x.as_py() or "") for x in batch], pa.float64()) for batch in batches)
 
     return docs.withColumn(out, scores(F.col(text)))
