@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -31,7 +32,7 @@ _PART = regex.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 #: White space that a blank follows: such texts are cut into parts one by one.
 _RUNS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 #: Parts that a worker remembers, and the longest worth it (characters); bytes of texts that are encoded together.
-MEMORY, REMEMBERED, TOGETHER = 160_000, 64, 1 << 22
+MEMORY, REMEMBERED, TOGETHER = 100_000, 64, 1 << 21
 #: Longest piece whose table is worked out from its end, by recursion; longer ones from the start.
 DEEPEST = 256
 
@@ -54,12 +55,17 @@ class Ranks:
         self.lengths = list(map(len, self.bytes))
         self.fits: dict[tuple[int, int], bool] = {}
         self._made: dict[int, tuple[int, int] | None] = {}
-        #: Finds every token that ends at a place, longest first; tokens that merging never gives are left out.
-        self.endings = ahocorasick.Automaton()
+        #: Tokens but those that merging never gives.
         self.usable = {token: i for token, i in ranks.items() if i < 256 or self.made(i)}
+
+    @cached_property
+    def endings(self) -> ahocorasick.Automaton:
+        """Finds every usable token that ends at a place, longest first; built when a long piece first needs it."""
+        found = ahocorasick.Automaton()
         for token, i in self.usable.items():
-            self.endings.add_word(token.decode("latin-1"), i)
-        self.endings.make_automaton()
+            found.add_word(token.decode("latin-1"), i)
+        found.make_automaton()
+        return found
 
     @classmethod
     def parse(cls, lines: bytes) -> Ranks:

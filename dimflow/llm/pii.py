@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import stored
+from dimflow.llm.common import stored, tidied
 
 #: Order of the kinds in digests; terms that the corpus gives away come last.
 KINDS = ("email", "ip", "card", "phone")
@@ -142,6 +142,7 @@ def direct(docs: DataFrame, *, text: str = "text", spans: str = "spans") -> Data
     """``docs`` with the direct identifiers of the whole text; null and empty texts have none."""
 
     @F.arrow_udf(SPANS)
+    @tidied
     def spans_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = ([{"kind": k, "start": a, "end": b} for k, a, b in find(x)] for x in _texts(batch))
@@ -154,6 +155,7 @@ def mentions(docs: DataFrame, *, text: str = "text", window: int = 5) -> DataFra
     """(content, entity, term, context, start, end): words near identifiers; ``content`` is a hash of the text."""
 
     @F.arrow_udf(NEAR)
+    @tidied
     def words_near(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = (nearby(x, spans, window) if (spans := find(x)) else [] for x in _texts(batch))
@@ -175,6 +177,7 @@ def _together(docs: DataFrame, places: DataFrame, text: str) -> DataFrame:
     """(entity, term, both, contexts): in how many texts, and contexts of the entity, each word stands with an entity."""
 
     @F.arrow_udf("array<string>")
+    @tidied
     def words_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array(([*{m.group().lower() for m in words(x)}] for x in _texts(batch)), pa.list_(pa.string()), size=len(batch))
@@ -247,6 +250,7 @@ def detect(docs: DataFrame, *, text: str = "text", spans: str = "spans", extra:
     )
 
     @F.arrow_udf(TERMS)
+    @tidied
     def spans_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for batch, terms in batches:
             rows = []
