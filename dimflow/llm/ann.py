@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a hierarchical k-means tree with best-bin-first search.
 
-The tree is fitted on a bounded sample of vectors; every vector is then put into the leaf it descends to. A query opens
+A tree for each length of vectors is fitted on a bounded sample of them; every vector is then put into the leaf it descends to. A query opens
 the nearest unopened node of a priority queue again and again, and each leaf it reaches is a visit. How many visits it
 takes is calibrated on the sample: the number is widened until the true neighbours there are found to the wanted share.
 Leaves are scanned in Spark, large ones in several parts, with exact distances.
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import stored
-from dimflow.llm.vectors import best, matrix, usable
+from dimflow.llm.vectors import best, by_length, matrix, usable
 
 #: Vectors that the tree is fitted on, children of a node, sample vectors aimed for in a leaf, and rows of a part of a leaf.
 SAMPLE, BRANCHES, LEAF, PART = 20_000, 8, 40, 8192
@@ -128,51 +128,73 @@ def _calibrate(tree: Tree, rows: np.ndarray, k: int, rng: np.random.Generator) -
     return int(np.sort(needed)[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))))])
 
 
+def _trees(found: DataFrame, k: int) -> dict[int, Tree]:
+    """A tree for each number of components.
+
+    Lengths share ``SAMPLE`` by their rows, but none gets less than an equal part of it; rows are taken by a threshold
+    on the hash of their ids. A length with few sampled rows has one leaf, which is scanned whole.
+    """
+    counts = {row["n"]: row["count"] for row in found.groupBy(F.size("vector").alias("n")).count().collect()}
+    rows = sum(counts.values())
+    wanted = {n: SAMPLE * max(count / rows, 1 / len(counts)) / count for n, count in counts.items()}
+    shares = found.sparkSession.createDataFrame(list(wanted.items()), "n int, share double")
+    at = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
+    drawn = found.join(F.broadcast(shares), F.size("vector") == F.col("n")).filter(at < F.col("share"))
+    sampled = {n: data for n, _, data in by_length(drawn.limit(3 * SAMPLE).select("vector").toArrow().column(0).combine_chunks())}
+    return {n: fit(sampled.get(n, np.zeros((0, n))), k) for n in sorted(counts)}
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest vectors found for each query, nearest first, ties to smaller ids.
 
     The score is the Euclidean distance in double precision. ``queries`` has the columns of ``vectors``; a row with the
-    query's id is no candidate. Vectors of another number of components than most take no part, nor do those left out
-    by :func:`dimflow.llm.vectors.usable`; an empty side gives an empty result. Where fewer than ``k`` candidates exist,
-    all are returned. ``SAMPLE`` vectors reach the driver, and the tree built of them is broadcast.
+    query's id is no candidate. Vectors of each number of components have a tree of their own, and a query meets only
+    those of its length. Rows left out by :func:`dimflow.llm.vectors.usable` take no part; an empty side gives an empty
+    result. Where fewer than ``k`` candidates exist, all are returned. The driver takes a row per length and no more
+    than ``3 * SAMPLE`` vectors, and the trees built of them are broadcast.
     """
     spark = vectors.sparkSession
     found = stored(usable(vectors, key=key, vector=vector, zero=False), "vectors")
-    sizes = found.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    asked = usable(queries, key=key, vector=vector, zero=False)
     out = "query_id long, vec_id long, score double"
-    if sizes is None:
+    trees = _trees(found, k)
+    if not trees:
         return best(spark.createDataFrame([], out), k, F.asc("score"))
-    found = found.filter(F.size("vector") == sizes["n"])
-    asked = usable(queries, key=key, vector=vector, zero=False).filter(F.size("vector") == sizes["n"])
-    sample = found.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toArrow()
-    tree = fit(matrix(sample.column("vector")), k)
-    shared = spark.sparkContext.broadcast(tree)
+    starts = dict(zip(trees, np.cumsum([0, *(tree.leaves for tree in trees.values())]).tolist(), strict=False))
+    shared = spark.sparkContext.broadcast((trees, starts))  # leaves of a tree are numbered from its start
 
     def into_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, starts = shared.value
         for batch in batches:
-            leaf = shared.value.assign(matrix(batch.column(1))) if batch.num_rows else []
+            leaf = np.zeros(batch.num_rows, np.int32)
+            for n, at, rows in by_length(batch.column(1)):
+                leaf[at] = starts[n] + trees[n].assign(rows)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], names=["id", "vector", "leaf"])
 
     element = found.schema["vector"].dataType.simpleString()
     indexed = stored(found.mapInArrow(into_leaves, f"id long, vector {element}, leaf int"), "index")
-    counts = np.zeros(tree.leaves, np.int64)
-    for row in indexed.groupBy("leaf").count().collect():  # one row per leaf of the tree
+    counts = np.zeros(sum(tree.leaves for tree in trees.values()), np.int64)
+    for row in indexed.groupBy("leaf").count().collect():  # one row per leaf of the trees
         counts[row["leaf"]] = row["count"]
     parts = np.maximum(1, -(-counts // PART))
 
     def open_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        trees, starts = shared.value
         for batch in batches:
             taken, leaf, part = [], [], []
-            for i, query in enumerate(matrix(batch.column(1))):
-                seen = 0
-                for visit, at in enumerate(tree.visit(query)):
-                    if visit >= tree.visits and seen > k:  # one may be the query itself
-                        break
-                    seen += int(counts[at])
-                    taken += [i] * int(parts[at])
-                    leaf += [at] * int(parts[at])
-                    part += range(int(parts[at]))
+            for n, at, rows in by_length(batch.column(1)):
+                if n not in trees:
+                    continue
+                for i, query in zip(at.tolist(), rows, strict=True):
+                    seen = 0
+                    for visit, own in enumerate(trees[n].visit(query)):
+                        if visit >= trees[n].visits and seen > k:  # one may be the query itself
+                            break
+                        here = starts[n] + own
+                        seen += int(counts[here])
+                        taken += [i] * int(parts[here])
+                        leaf += [here] * int(parts[here])
+                        part += range(int(parts[here]))
             columns = [c.take(pa.array(taken, pa.int32())) for c in batch.columns]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(leaf, pa.int32()), pa.array(part, pa.int32())], names=["id", "vector", "leaf", "part"])
 

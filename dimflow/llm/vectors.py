@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,6 +36,14 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """A list column as (number of components, rows, their matrix), one for each length in it."""
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for n in np.unique(sizes):
+        at = np.flatnonzero(sizes == n)
+        yield int(n), at, matrix(column.take(pa.array(at)))
+
+
 def best(partial: DataFrame, k: int, score: Column) -> DataFrame:
     """The ``k`` first of every query in order of ``score`` and vec_id, from partial results of a few rows each."""
     order = Window.partitionBy("query_id").orderBy(score, "vec_id")

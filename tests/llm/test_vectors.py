@@ -108,3 +108,25 @@ def test_fewer_candidates_than_asked_for(spark):
 def test_best_bin_first_visits_every_leaf_once():
     tree = ann.fit(np.random.default_rng(2).normal(size=(2000, 4)), 10)
     assert sorted(tree.visit(np.zeros(4))) == list(range(tree.leaves)) and tree.leaves > 20
+
+
+def test_vectors_of_every_length_are_answered(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    data = {i: rng.normal(size=2 if i < 149 else 3 if i < 3000 else 5) for i in range(3001)}
+    table = spark.createDataFrame([(i, [float(c) for c in x], "a") for i, x in data.items()], "vec_id long, embedding array<double>, label string")
+    monkeypatch.setattr(ann, "SAMPLE", 1200)  # fewer than there are rows
+    found = ann.search(table, table.filter("vec_id % 100 = 0"), 10).collect()
+    hits = 0
+    for q in (i for i in data if i % 100 == 0 and i < 3000):
+        same = {i: x for i, x in data.items() if len(x) == len(data[q])}
+        own = {r["vec_id"] for r in found if r["query_id"] == q}
+        assert len(own) == 10
+        hits += len(own & {i for i, _ in nearest(same, q, 10)})
+    assert hits / 300 >= 0.9
+    assert not [r for r in found if r["query_id"] == 3000]  # no other vector has its length
+
+
+def test_a_query_whose_length_no_vector_has(spark):
+    table = spark.createDataFrame([(i, [float(i), 1.0], "a") for i in range(5)], SCHEMA)
+    asked = spark.createDataFrame([(9, [1.0, 2.0, 3.0], "b"), (8, [2.0, 1.0], "b")], SCHEMA)
+    assert {r["query_id"] for r in ann.search(table, asked, 3).collect()} == {8}
