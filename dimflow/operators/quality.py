@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dimflow.functions.rules import Rule, UniqueRule, rule_names
 from dimflow.operators.incremental import insert_ignore
 from dimflow.operators.lookup import flag_unique
+from dimflow.sources.key_ranges import rows_of_files
 from dimflow.sources.tables import read_table, write_table
 
 Rules = Sequence[Rule | UniqueRule]
@@ -68,16 +69,27 @@ def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def load_validated(
-    spark: SparkSession, df: DataFrame, rules: Rules, split_path: str, target_path: str, load_date: str, keys: Sequence[str]
+    spark: SparkSession,
+    df: DataFrame,
+    rules: Rules,
+    split_path: str,
+    target_path: str,
+    load_date: str,
+    keys: Sequence[str],
+    key_ranges: bool = False,
 ) -> DataFrame:
     """Validate a load, quarantine its bad rows and insert the good ones that ``target_path`` lacks.
 
     Rows are validated once, on their way into ``split_path``. Loading a date again
-    replaces its split and inserts nothing twice. Returns the date's rule report.
+    replaces its split and inserts nothing twice. With ``key_ranges`` the target's files are indexed, and those that cannot
+    hold one of the keys are not read; worth its jobs on a large target. Returns the date's rule report.
     """
     write_split(validate(df, rules), split_path, load_date)
     day = spark.read.parquet(f"{split_path}/load_date={load_date}")
     valid = day.where("outcome = 'valid'").select(*df.columns)
-    target = read_table(spark, "parquet", {"path": target_path}, schema=valid.schema, missing_ok=True)
+    if key_ranges:
+        target = rows_of_files(spark, target_path, valid, keys)
+    else:
+        target = read_table(spark, "parquet", {"path": target_path}, schema=valid.schema, missing_ok=True)
     write_table(insert_ignore(target, valid, keys), "parquet", {"path": target_path}, mode="append")
     return rule_report(day.withColumn("is_valid", F.col("outcome") == "valid"), rules)

@@ -17,6 +17,7 @@ from dimflow.plans.inputs import (
 )
 from dimflow.schemas import conform
 from dimflow.sources.dimension_store import DimensionStore
+from dimflow.sources.key_ranges import rows_of_files
 
 LATER = "2024-09-30 00:00:00"
 
@@ -244,3 +245,21 @@ def insert_ignore(spark, sf_dir):
     again = customer.withColumn("c_name", F.concat(F.lit("Again "), "c_name"))
     target = load(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").selectExpr("o_custkey AS c_custkey")
     return first_of_new_keys(target, customer.unionByName(again), ["c_custkey"])
+
+
+@query("""
+    WITH known AS (SELECT DISTINCT o_custkey AS c_custkey, 'known' AS c_name FROM orders WHERE o_orderpriority = '1-URGENT')
+    SELECT c_custkey, c_name FROM known
+    UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM known)
+""")
+def insert_ignore_files(spark, sf_dir):
+    """Two upserts of the customers into a stored table, which read only the files that may hold a key of theirs."""
+    path = storage.scratch_dir(spark, "keyed")
+    urgent = load(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    known = urgent.selectExpr("o_custkey AS c_custkey", "'known' AS c_name").distinct()
+    known.repartitionByRange("c_custkey").write.parquet(path)
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    for _ in range(2):
+        new = first_of_new_keys(rows_of_files(spark, path, customer, ["c_custkey"]), customer, ["c_custkey"])
+        new.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
