@@ -144,17 +144,20 @@ def _trees(found: DataFrame, k: int) -> dict[int, Tree]:
     return {n: fit(sampled.get(n, np.zeros((0, n))), k) for n in sorted(counts)}
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def search(
+    vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id", vector: str = "embedding", every_row: bool = False
+) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest vectors found for each query, nearest first, ties to smaller ids.
 
     The score is the Euclidean distance in double precision. ``queries`` has the columns of ``vectors``; a row with the
-    query's id is no candidate. Vectors of each number of components have a tree of their own, and a query meets only
-    those of its length. Rows left out by :func:`dimflow.llm.vectors.usable` take no part; an empty side gives an empty
-    result. Where fewer than ``k`` candidates exist, all are returned. The driver takes a row per length and no more
-    than ``3 * SAMPLE`` vectors, and the trees built of them are broadcast.
+    query's id is no candidate. Of rows that repeat an id one is a candidate, or each with ``every_row``. Vectors of each
+    number of components have a tree of their own, and a query meets only those of its length. Rows left out by
+    :func:`dimflow.llm.vectors.usable` take no part; an empty side gives an empty result. Where fewer than ``k``
+    candidates exist, all are returned. The driver takes a row per length and no more than ``3 * SAMPLE`` vectors, and
+    the trees built of them are broadcast.
     """
     spark = vectors.sparkSession
-    found = stored(usable(vectors, key=key, vector=vector, zero=False), "vectors")
+    found = stored(usable(vectors, key=key, vector=vector, zero=False, copies=k if every_row else None), "vectors")
     asked = usable(queries, key=key, vector=vector, zero=False)
     out = "query_id long, vec_id long, score double"
     trees = _trees(found, k)
@@ -188,7 +191,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id
                 for i, query in zip(at.tolist(), rows, strict=True):
                     seen = 0
                     for visit, own in enumerate(trees[n].visit(query)):
-                        if visit >= trees[n].visits and seen > k:  # one may be the query itself
+                        if visit >= trees[n].visits and seen >= 2 * k:  # up to k may be copies of the query
                             break
                         here = starts[n] + own
                         seen += int(counts[here])
@@ -201,7 +204,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "vec_id
     visits = asked.mapInArrow(open_leaves, f"id long, vector {element}, leaf int, part int")
     hot = {i: int(n) for i, n in enumerate(parts) if n > 1}
     width = F.coalesce(F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])[F.col("leaf")], F.lit(1)) if hot else F.lit(1)
-    dealt = indexed.withColumn("part", F.pmod(F.xxhash64("id"), width).cast("int"))
+    dealt = indexed.withColumn("part", F.pmod(F.xxhash64("id", "vector"), width).cast("int"))
 
     def scan(rows: pa.Table, asked: pa.Table) -> pa.Table:
         result: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

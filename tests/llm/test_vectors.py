@@ -130,3 +130,21 @@ def test_a_query_whose_length_no_vector_has(spark):
     table = spark.createDataFrame([(i, [float(i), 1.0], "a") for i in range(5)], SCHEMA)
     asked = spark.createDataFrame([(9, [1.0, 2.0, 3.0], "b"), (8, [2.0, 1.0], "b")], SCHEMA)
     assert {r["query_id"] for r in ann.search(table, asked, 3).collect()} == {8}
+
+
+def test_rows_that_repeat_an_id_are_candidates_each(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    data = [(i, [float(c) for c in x]) for i, x in enumerate(rng.normal(size=(120, 4)))]
+    data += [data[i] for i in range(7, 120, 9) if i % 50] * 2 + [(61, [float(c) for c in rng.normal(size=4)])]
+    data += [(130, [9.0] * 4)] * 3000  # more than one result can hold
+    table = spark.createDataFrame([(i, x, "a") for i, x in data], SCHEMA)
+    table.write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in QUERIES["op5_top_products"](spark, str(tmp_path)).collect())
+    with duckdb.connect() as duck:
+        duck.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+        duck.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(row) for row in data])
+        expected = sorted(duck.execute(f"SELECT query_id, rank, vec_id, score FROM ({SQL['op5_top_products']})").fetchall())
+    assert found == expected
+    near = [r for r in QUERIES["op4_nearest_vectors"](spark, str(tmp_path)).collect() if r["query_id"] == 0]
+    away = sorted((float(np.linalg.norm(np.float64(np.float32(x)) - np.float64(np.float32(data[0][1])))), i) for i, x in data if i != 0)
+    assert [r["vec_id"] for r in sorted(near, key=lambda r: r["rank"])] == [i for _, i in away[:10]]
