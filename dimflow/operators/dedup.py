@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
-def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()) -> DataFrame:
-    """Keep the first row of each key group; NULL keys form one group.
+def dedup_by_key(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = (), rank: str | None = None
+) -> DataFrame:
+    """Keep the first row of each key group; NULL keys form one group. ``rank`` names a column that keeps its number, 1.
 
     The remaining columns (maps have no order) break ties, so the surviving row is the same on every run.
     Spark keeps only the best row per key in each map task before the shuffle
@@ -17,8 +19,9 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column |
     """
     ties = [f.name for f in df.schema.fields if f.name not in keys and not has_map(f.dataType)]
     order = [*order_by, *ties] or [F.lit(0)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    first = df.withColumn(rank or "__rank", number).where(F.col(rank or "__rank") == 1)
+    return first if rank else first.drop("__rank")
 
 
 def has_map(kind: DataType) -> bool:

@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dimflow.functions.predicates import all_present
-from dimflow.operators.dedup import dedup_by_key
+from dimflow.operators.dedup import dedup_by_key, has_map
 
 
 def lookup_join(
@@ -22,7 +22,8 @@ def lookup_join(
     """Left join ``columns`` (dim name -> output name) of ``dim`` onto ``fact``.
 
     ``on`` maps fact columns to dim columns. The dim is reduced to one row per key, so the fact never fans out. With
-    ``null_safe`` NULL keys match each other.
+    ``null_safe`` NULL keys match each other; otherwise they match nothing, and their rows are dealt by their other
+    columns, as a shuffle by the keys would send them all to one task.
     """
     clash = set(columns.values()) & set(fact.columns)
     if clash:
@@ -34,8 +35,16 @@ def lookup_join(
         *(F.col(d).alias(k) for d, k in zip(on.values(), side_keys)),
         *(F.col(c).alias(out) for c, out in columns.items()),
     )
-    side = dedup_by_key(side, side_keys)
-    return fact.join(side, _match(fact, side, list(on), side_keys, null_safe), "left").drop(*side_keys)
+    if null_safe:
+        side = dedup_by_key(side, side_keys)
+        return fact.join(side, _match(fact, side, list(on), side_keys, null_safe), "left").drop(*side_keys)
+    # Every dim row is the first of its key; fact rows without a key ask for numbers that no row has.
+    side = dedup_by_key(side, side_keys, rank="__first")
+    others = [f.name for f in fact.schema.fields if not has_map(f.dataType)]
+    spread = -1 - F.pmod(F.hash(*others), F.lit(1 << 30))
+    fact = fact.withColumn("__asked", F.when(all_present(on), F.lit(1)).otherwise(spread))
+    keys = _match(fact, side, [*on, "__asked"], [*side_keys, "__first"], null_safe)
+    return fact.join(side, keys, "left").drop(*side_keys, "__asked", "__first")
 
 
 def _match(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], null_safe: bool) -> Column:

@@ -51,6 +51,19 @@ def test_null_dim_key_matches_only_when_asked(spark):
     assert rows(lookup_join(fact, dim, {"k": "k"}, {"name": "n"}, null_safe=True)) == [(1, None, "none"), (2, 5, "five")]
 
 
+def test_rows_without_a_key_are_dealt_over_all_tasks(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fact = spark.range(8000).selectExpr("id", "CASE WHEN id % 4 > 0 THEN id END AS a", "'x' AS b")
+        joined = lookup_join(fact, spark.range(6000).selectExpr("id AS key", "'x' AS k", "id AS v"), {"a": "key", "b": "k"}, {"v": "v"})
+        counts = [r["count"] for r in joined.where("a IS NULL").groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert sum(counts) == 2000 and len(counts) == width > 1 and max(counts) < 2 * 2000 / width
+        assert joined.columns == ["id", "a", "b", "v"] and joined.where("v = a").count() == 4500
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_composite_key(spark):
     fact = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, None, 1)], "id int, x string, y int")
     dim = spark.createDataFrame([("a", 1, "yes"), (None, 1, "no")], "p string, q int, v string")
