@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import kept, key_crc, stored, tidy
+from dimflow.llm.common import give_back, kept, key_crc, stored, tidied, tidy
 
 #: Labelled rows to learn from (half of each class at most), and voters in the lexicon.
 SAMPLE, VOTERS = 20_000, 256
@@ -34,6 +34,8 @@ SAMPLE, VOTERS = 20_000, 256
 SUPPORT, EVIDENCE, ODDS = 4, 20.0, 20.0
 #: Lengths of word beginnings that count as stems.
 STEMS = (4, 5, 6, 7, 8)
+#: Entries or places that a worker gathers before it hands them on.
+GATHERED = 50_000
 
 # Insults in four languages that vote without any labels.
 INSULTS = (
@@ -142,6 +144,24 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[Da
     return stored(rows.select("label", "text"), "toxicity-sample"), totals
 
 
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(entry, other, toxic) counts of labelled texts, an entry as often as the worker handed its counts on."""
+
+    def handed_on(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+        names = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in counts)]
+        return pa.RecordBatch.from_arrays(columns, names=["entry", "other", "toxic"])
+
+    counts = (Counter(), Counter())
+    for batch in batches:
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            counts[label].update(entries(text.as_py()))
+            if len(counts[0]) + len(counts[1]) >= GATHERED:
+                yield handed_on(counts)
+                counts = (Counter(), Counter())
+    yield handed_on(counts)
+
+
 def _mine(sample: DataFrame) -> list[str]:
     """Entries that toxic rows have significantly more often, in independent places."""
     sizes = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}
@@ -149,16 +169,7 @@ def _mine(sample: DataFrame) -> list[str]:
     if not toxic or not other:
         return []
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
-        for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                counts[label].update(entries(text.as_py()))
-        names = list(counts[0].keys() | counts[1].keys())
-        columns = [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in counts)]
-        yield pa.RecordBatch.from_arrays(columns, names=["entry", "other", "toxic"])
-
-    counted = sample.select("label", "text").mapInArrow(tally, "entry string, other long, toxic long")
+    counted = sample.select("label", "text").mapInArrow(tidied(_tally), "entry string, other long, toxic long")
     counted = counted.groupBy("entry").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
 
     def term(n, expected):
@@ -185,6 +196,11 @@ def _mine(sample: DataFrame) -> list[str]:
     names = [row["entry"] for row in best]
     wanted = frozenset(names)
 
+    def handed_on(seen: set) -> pa.RecordBatch:
+        rows = list(zip(*seen, strict=True)) if seen else [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in rows], names=["entry", "place"])
+
+    @tidied
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
@@ -194,8 +210,10 @@ def _mine(sample: DataFrame) -> list[str]:
                     for entry in (word, *(word[:n] + "*" for n in STEMS if len(word) >= n)):
                         if entry in wanted:
                             seen.add((entry, f"{before} {after}"))
-        rows = list(zip(*seen, strict=True)) if seen else [(), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in rows], names=["entry", "place"])
+                if len(seen) >= GATHERED:
+                    yield handed_on(seen)
+                    seen = set()
+        yield handed_on(seen)
 
     found = sample.filter("label = 1").select("text").mapInArrow(places, "entry string, place string")
     spread = {row["entry"]: row["n"] for row in found.groupBy("entry").agg(F.count_distinct("place").alias("n")).collect()}
@@ -225,6 +243,7 @@ def _agreement(docs: DataFrame, text: str, lexicon: list[str]) -> np.ndarray:
                     voted = voters.votes(value.as_py())
                     pairs.update(a * voters.size + b for i, a in enumerate(voted) for b in voted[i:])
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in (pairs.keys(), pairs.values())], names=["pair", "n"])
+        give_back()
 
     size = len(lexicon) + len(_FORMS)
     counts = np.zeros((size, size))
@@ -309,6 +328,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
         for batch in batches:
             voted = pa.array([voters.votes(x.as_py()) for x in batch.column(1)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), voted], names=["label", "votes"])
+        give_back()
 
     rows = sample.select("label", "text").mapInArrow(ballots, "label int, votes array<int>").toArrow()  # SAMPLE rows
     given = rows.column("label").to_numpy()

@@ -4,9 +4,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 
-from dimflow.llm import toxicity
+from dimflow.llm import common, toxicity
 
 
 def held_out(i):
@@ -105,3 +107,25 @@ def test_a_cut_sample_keeps_the_true_share_of_toxic_rows(spark, monkeypatch):
     cut_prior, cut = fitted()
     assert cut_prior == pytest.approx(prior, abs=1e-9) and prior < 0.1
     assert cut[0] == pytest.approx(whole[0], abs=0.15) and cut[0] < 0.5 and cut[1] >= 0.7
+
+
+def test_a_worker_lets_go_of_other_operators_and_hands_counts_on(monkeypatch):
+    texts = [f"word{i} common text {'vile' if i % 2 else 'kind'}" for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 2 for i in range(300)], pa.int32()), pa.array(texts)], names=["label", "text"])
+
+    def totals(batches):
+        found = {}
+        for b in batches:
+            for entry, other, toxic in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                old = found.get(entry, (0, 0))
+                found[entry] = (old[0] + other, old[1] + toxic)
+        return found
+
+    sent = cloudpickle.loads(cloudpickle.dumps(common.tidied(toxicity._tally)))  # as Spark sends it to a worker
+    common.kept("another operator's", dict)
+    whole = [*sent(iter([batch]))]
+    assert not common._KEPT and len(whole) == 1
+    monkeypatch.setattr(toxicity, "GATHERED", 50)
+    parts = [*toxicity._tally(iter([batch]))]
+    assert len(parts) > 10 and max(b.num_rows for b in parts) < 70
+    assert totals(parts) == totals(whole) and totals(whole)["common"] == (150, 150)
