@@ -100,3 +100,43 @@ def test_tables_follow_the_restaurant_process():
 def test_packing():
     arrays = [np.arange(5, dtype=np.uint32), np.zeros(0, np.uint8), np.array([1.5, -2.0])]
     assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, py._unpack(py._pack(*arrays)), strict=True))
+
+
+def test_restaurants_are_of_whole_words(spark):
+    """Two words before that end alike are followed by different words."""
+    ids = iter(range(10**6))
+    learned = [i for i in ids if i < 400 and not held_out(i)][:80]
+    probes = [i for i in range(1000, 2000) if held_out(i)][:2]
+    rows = [(i, "one-ending yes " * 20 if n % 2 else "two-ending no " * 20) for n, i in enumerate(learned)]
+    rows += [(probes[0], "one-ending yes " * 10), (probes[1], "one-ending no " * 10)]
+    found = {r["doc_id"]: r["score"] for r in py.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[probes[0]] > found[probes[1]] + 10
+
+
+@pytest.mark.parametrize("dishes", [4000, py.FEW - 1])
+def test_sweeps_remove_and_seat_every_customer(dishes):
+    """Numbers of tables after sweeps follow their exact distribution, whatever the seats were at first."""
+    size, mass, discount = 7, 1.5, 0.4
+    ways = {(0, 0): 1.0}  # of seating n customers at t tables
+    for n in range(size):
+        for t in range(n + 2):
+            ways[n + 1, t] = ways.get((n, t - 1), 0.0) + (n - discount * t) * ways.get((n, t), 0.0)
+    weights = [ways[size, t] * mass**t for t in range(size + 1)]
+    exact = sum(t * w for t, w in enumerate(weights)) / sum(weights)
+    rng = np.random.default_rng(3)
+    counts = np.full(dishes, size)
+    seats, menu, tables = py.Seats(np.ones(dishes, np.int64), counts), py.Fixed(np.full(dishes, mass)), []
+    for sweep in range(12 if dishes > 100 else 800):
+        seats = py.reseat(seats, counts, menu, discount, rng)
+        assert seats.sizes.min() > 0 and (np.add.reduceat(seats.sizes, np.cumsum(seats.tables) - seats.tables) == size).all()
+        tables += [seats.tables.mean()] if sweep > 5 else []
+    assert np.mean(tables) == pytest.approx(exact, rel=0.02)
+
+
+def test_customers_that_come_and_leave():
+    rng = np.random.default_rng(4)
+    seats = py.Seats(np.array([2, 0, 1, 1]), np.array([3, 1, 1, 5]))
+    counts = np.array([2, 3, 0, 9])
+    after = py.reseat(seats, counts, py.Fixed(np.full(4, 0.7)), 0.3, rng)
+    ends = np.cumsum(after.tables)
+    assert [int(after.sizes[b - t : b].sum()) for t, b in zip(after.tables, ends, strict=True)] == counts.tolist()
